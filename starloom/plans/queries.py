@@ -64,18 +64,23 @@ class Star:
         return self.store.tables(SECOND_END)
 
     @cached_property
-    def warehouse(self) -> Warehouse:
-        """The star schema after the two daily runs."""
+    def first_run(self) -> Warehouse:
+        """The star schema after the daily run over the first window."""
         warehouse = Warehouse(self.spark, scratch_path(self.spark, "star"))
         run_batch(warehouse, self.first, FIRST_END)
-        run_batch(warehouse, self.second, SECOND_END)
         return warehouse
 
+    @cached_property
+    def second_run(self) -> Warehouse:
+        """The same after the daily run over the second window."""
+        run_batch(self.first_run, self.second, SECOND_END)
+        return self.first_run
+
     def before(self, table: str) -> DataFrame:
-        return self.warehouse.read(table, seq=1)
+        return self.first_run.read(table, seq=1)
 
     def after(self, table: str) -> DataFrame:
-        return self.warehouse.read(table, seq=2)
+        return self.second_run.read(table, seq=2)
 
     def dims(self) -> dict[str, DataFrame]:
         return {name: self.after(dim.table) for name, dim in DIMENSIONS.items()}
