@@ -39,7 +39,7 @@ def known_keys(large: DataFrame, small: DataFrame, key: str) -> DataFrame:
     distinct, so ``large`` is scanned on one column and not shuffled. Otherwise ``large`` is
     reduced to distinct keys in each task first, and both sides shuffle on the key.
     """
-    return large.select(key).distinct().join(small.select(key), key, "left_semi")
+    return large.select(key).distinct().join(small.select(key).distinct(), key, "left_semi")
 
 
 def unseen(small: DataFrame, large: DataFrame, key: str) -> DataFrame:

@@ -21,8 +21,13 @@ from ..sources.warehouse import Run, Warehouse
 
 OPEN_SEGMENT, CLOSED_SEGMENT = "open", "closed"
 
+# A dimension with fewer versions is left to Spark, which broadcasts it by its size or lets AQE
+# split skewed partitions. Beyond that, ids with at least this share of the sales are salted.
+SALT_FROM_VERSIONS = 1_000_000
+HOT_SHARE = 0.02
 
-def _together(jobs: list[Callable[[], object]]) -> list:
+
+def run_together(jobs: list[Callable[[], object]]) -> list:
     """Run independent Spark jobs at the same time."""
     with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
         return [f.result() for f in [pool.submit(job) for job in jobs]]
@@ -34,7 +39,7 @@ def extract_all(run: Run, tables: Mapping[str, DataFrame]) -> dict[str, DataFram
     def job(name: str) -> Callable[[], DataFrame]:
         return lambda: run.stage(f"extract_{name}", EXTRACTIONS[name](tables, run.previous, run.current))
 
-    return dict(zip(EXTRACTIONS, _together([job(n) for n in EXTRACTIONS])))
+    return dict(zip(EXTRACTIONS, run_together([job(n) for n in EXTRACTIONS])))
 
 
 def stage_all(run: Run, extracts: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
@@ -46,7 +51,7 @@ def stage_all(run: Run, extracts: Mapping[str, DataFrame]) -> dict[str, DataFram
     def job(name: str) -> Callable[[], DataFrame]:
         return lambda: run.stage(f"stg_{name}", plans[name], sort=STAGING_ORDER[name])
 
-    return dict(zip(plans, _together([job(n) for n in plans])))
+    return dict(zip(plans, run_together([job(n) for n in plans])))
 
 
 def load_dimension(run: Run, staged: DataFrame, dim: Dimension) -> None:
@@ -69,7 +74,7 @@ def load_statuses(run: Run) -> None:
     run.publish("dim_order_status", lacking, F.lit("all"))
 
 
-def load_fact(run: Run, staged: DataFrame, hot_share: float = 0.02) -> None:
+def load_fact(run: Run, staged: DataFrame, salt_from: int = SALT_FROM_VERSIONS) -> None:
     """Insert new orders, update moved ones. Only months with a moved order are rewritten.
 
     Rows without a valid version in every dimension stay in the run's ``keyed_sales``, where
@@ -77,7 +82,8 @@ def load_fact(run: Run, staged: DataFrame, hot_share: float = 0.02) -> None:
     """
     fact, statuses = run.read("fact_sales"), run.read("dim_order_status")
     dims = {name: run.read(dim.table) for name, dim in DIMENSIONS.items()}
-    hot = hot_values(staged, [dim.id for dim in DIMENSIONS.values()], hot_share)
+    large = [dim.id for name, dim in DIMENSIONS.items() if dims[name].count() >= salt_from]  # from file footers
+    hot = hot_values(staged, large, HOT_SHARE) if large else {}
     month = F.substring("order_date", 1, 6)
 
     updates = run.stage("order_updates", order_updates(staged, statuses))
@@ -90,16 +96,18 @@ def load_fact(run: Run, staged: DataFrame, hot_share: float = 0.02) -> None:
     run.publish("fact_sales", updated.unionByName(numbered), month, replaces=months)
 
 
-def run_batch(warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date) -> Run:
+def run_batch(
+    warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date, salt_from: int = SALT_FROM_VERSIONS
+) -> Run:
     """One daily run over the window since the last finished run."""
     run = warehouse.begin(*warehouse.next_window(run_date))
     staged = stage_all(run, extract_all(run, tables))
     dims: list[Callable[[], object]] = [
         lambda dim=dim: load_dimension(run, staged[dim.name], dim) for dim in DIMENSIONS.values()
     ]
-    _together([*dims, lambda: load_dates(run, staged["date"]), lambda: load_statuses(run)])
-    load_fact(run, staged["sales"])
+    run_together([*dims, lambda: load_dates(run, staged["date"]), lambda: load_statuses(run)])
+    load_fact(run, staged["sales"], salt_from)
     run.commit()
     cleared = {**{f"extract_{n}": s for n, s in EXTRACT.items()}, **{f"stg_{n}": s for n, s in STAGING.items()}}
-    _together([lambda n=n, s=s: run.clear(n, s) for n, s in cleared.items()])
+    run_together([lambda n=n, s=s: run.clear(n, s) for n, s in cleared.items()])
     return run

@@ -19,7 +19,7 @@ from ..session import scratch_path, tune
 from ..sources.files import export_csv, extract_path, import_csv, read_csv, read_parquet, write_csv, write_parquet
 from ..sources.warehouse import Warehouse
 from . import checks
-from .daily import run_batch
+from .daily import run_batch, run_together
 from .given_tables import FIRST_END, FIRST_START, SECOND_END, RetailStore
 
 CHANGE_DAY = dt.date(2022, 12, 1)
@@ -53,15 +53,33 @@ class Star:
         self.spark, self.store = spark, RetailStore(spark, folder)
         self._kept: dict[str, DataFrame] = {}
 
+    def _written(self, name: str, rows: DataFrame) -> DataFrame:
+        """The rows, written and read back under a name used once."""
+        if name not in self._kept:
+            path = scratch_path(self.spark, name)
+            write_parquet(rows, path)
+            self._kept[name] = read_parquet(self.spark, path, rows.schema)
+        return self._kept[name]
+
+    def _operational(self, day: dt.date) -> dict[str, DataFrame]:
+        """The operational tables at the end of a day, as stored tables: extraction starts from these."""
+        tables = self.store.tables(day)
+        dated = {"customers", "products", "staffs", "stores", "orders"}
+        stored = [n for n in tables if n != "order_status"]
+        made = run_together(
+            [lambda n=n: self._written(f"{n}-{day}" if n in dated else n, tables[n]) for n in stored]
+        )
+        return {**tables, **dict(zip(stored, made))}
+
     @cached_property
-    def first(self):
+    def first(self) -> dict[str, DataFrame]:
         """Operational tables at the end of the first window."""
-        return self.store.tables(FIRST_END)
+        return self._operational(FIRST_END)
 
     @cached_property
-    def second(self):
+    def second(self) -> dict[str, DataFrame]:
         """Operational tables at the end of the second window."""
-        return self.store.tables(SECOND_END)
+        return self._operational(SECOND_END)
 
     @cached_property
     def first_run(self) -> Warehouse:
@@ -96,17 +114,13 @@ class Star:
 
     def staged(self, name: str) -> DataFrame:
         """The second window's staging tables, written and read back as in the daily run."""
-        if name not in self._kept:
-            if name == "sales":
-                rows = stage_sales(self.extracted("orders"))
-            elif name == "date":
-                rows = stage_date(self.extracted("orders"))
-            else:
-                rows = STAGE[name](self.extracted(name))
-            path = scratch_path(self.spark, f"stg-{name}")
-            write_parquet(rows, path)
-            self._kept[name] = read_parquet(self.spark, path, STAGING[name])
-        return self._kept[name]
+        if name == "sales":
+            rows = stage_sales(self.extracted("orders"))
+        elif name == "date":
+            rows = stage_date(self.extracted("orders"))
+        else:
+            rows = STAGE[name](self.extracted(name))
+        return self._written(f"stg-{name}", rows)
 
     def changes(self, name: str) -> DataFrame:
         text = CHANGES_SQL[name]

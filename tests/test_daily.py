@@ -64,6 +64,15 @@ def test_three_days(spark, tmp_path):
     assert {r.run_id for r in warehouse.log().select("run_id").collect()} == {"20160106", "20160110", "20160111"}
 
 
+def test_salted_load_gives_the_same_fact(spark, tmp_path):
+    facts = []
+    for salt_from in (0, 10**9):
+        warehouse = Warehouse(spark, str(tmp_path / f"wh{salt_from}"))
+        run_batch(warehouse, tables(spark), dt.date(2016, 1, 6), salt_from)
+        facts.append(rows(warehouse.read("fact_sales")))
+    assert len(facts[0]) == 1 and facts[0] == facts[1]
+
+
 def test_only_months_with_a_moved_order_are_rewritten(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     feb = {**ORDER, "order_id": "2", "order_date": "2016-02-05", "updated_at": "2016-02-05"}
