@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +16,7 @@ from ..operators.scd2 import append_dates, scd2_rewrite
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
 from ..operators.versions import hot_values
 from ..schemas import ACTIVE, DIMENSIONS, EXTRACT, STAGING, Dimension
+from ..session import run_together
 from ..sources.warehouse import Run, Warehouse
 
 OPEN_SEGMENT, CLOSED_SEGMENT = "open", "closed"
@@ -27,12 +27,6 @@ SALT_FROM_VERSIONS = 1_000_000
 HOT_SHARE = 0.02
 
 
-def run_together(jobs: list[Callable[[], object]]) -> list:
-    """Run independent Spark jobs at the same time."""
-    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
-        return [f.result() for f in [pool.submit(job) for job in jobs]]
-
-
 def extract_all(run: Run, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five extracts of the run's window, written to its staging area."""
 

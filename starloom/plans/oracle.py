@@ -467,6 +467,8 @@ SQL: dict[str, str] = {
     "dq_columns": _dq_columns(),
     "csv_roundtrip": "SELECT * FROM {x_orders_2}",
     "csv_import": "SELECT * FROM {raw_products}",
+    "dataset_setup": "SELECT * FROM {bootstrap_customers}",
+    "transform_files": "SELECT * FROM {stg_sales_all}",
     "parquet_roundtrip": "SELECT * FROM {stg_sales_2}",
     "staging_publish_and_clear": "SELECT *, CAST(0 AS BIGINT) AS left_in_staging FROM {stg_date_all}",
     **REPORTS,

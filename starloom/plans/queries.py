@@ -15,12 +15,14 @@ from ..operators.keys import assign_keys
 from ..operators.scd2 import append_dates, scd2_merge, scd2_rewrite
 from ..operators.staging import STAGE, stage_date, stage_sales
 from ..schemas import DIMENSIONS, EXTRACT, RAW, STAGING
-from ..session import scratch_path, tune
+from ..session import run_together, scratch_path, tune
 from ..sources.files import export_csv, extract_path, import_csv, read_csv, read_parquet, write_csv, write_parquet
 from ..sources.warehouse import Warehouse
 from . import checks
-from .daily import run_batch, run_together
+from .daily import run_batch
 from .given_tables import FIRST_END, FIRST_START, SECOND_END, RetailStore
+from .setup import load_operational_tables, prepare_dataset
+from .transform import export_extracts, staging_path, transform_day
 
 CHANGE_DAY = dt.date(2022, 12, 1)
 
@@ -250,6 +252,20 @@ def _csv_import(s: Star) -> DataFrame:
     return import_csv(s.spark, f"{folder}/csv", {n: RAW[n] for n in raw}, f"{folder}/tables")["products"]
 
 
+def _dataset_setup(s: Star) -> DataFrame:
+    folder = scratch_path(s.spark, "setup")
+    export_csv(s.store.raw(), f"{folder}/dataset")
+    prepare_dataset(s.spark, f"{folder}/dataset", f"{folder}/prepared")
+    return load_operational_tables(s.spark, f"{folder}/prepared", f"{folder}/tables")["customers"]
+
+
+def _transform_files(s: Star) -> DataFrame:
+    folder = scratch_path(s.spark, "transform")
+    export_extracts(s.second, FIRST_START, SECOND_END, f"{folder}/raw", SECOND_END)
+    transform_day(s.spark, f"{folder}/raw", SECOND_END, f"{folder}/processed")
+    return read_parquet(s.spark, staging_path(f"{folder}/processed", SECOND_END, "sales"), STAGING["sales"])
+
+
 def _parquet_roundtrip(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "sales")
     write_parquet(stage_sales(s.extracted("orders")), path, sort=["order_id", "product_id"])
@@ -300,6 +316,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "cascade_rekey": _cascade_rekey,
     "csv_roundtrip": _csv_roundtrip,
     "csv_import": _csv_import,
+    "dataset_setup": _dataset_setup,
+    "transform_files": _transform_files,
     "parquet_roundtrip": _parquet_roundtrip,
     "staging_publish_and_clear": _publish_and_clear,
     "sales_monthly_trend": _report(reports.sales_monthly_trend, "fact_sales", "dim_date"),

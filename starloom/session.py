@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,9 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/starloom-{label}-{uuid.uuid4().hex}"
+
+
+def run_together(jobs: list[Callable[[], object]]) -> list:
+    """Run independent Spark jobs at the same time; their results in order."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]

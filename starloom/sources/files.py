@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import STAGING_RECORDS_PER_FILE
+from ..session import run_together
 
 
 def extract_path(root: str, run_date: dt.date | str, table: str, kind: str = "csv") -> str:
@@ -58,14 +59,14 @@ def write_parquet(
 
 def import_csv(spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], target: str) -> dict[str, DataFrame]:
     """Load ``folder/<table>.csv`` for every table into parquet under ``target``; returns the tables."""
-    tables = {}
-    for name, schema in schemas.items():
-        write_parquet(read_csv(spark, f"{folder}/{name}.csv", schema), f"{target}/{name}")
-        tables[name] = read_parquet(spark, f"{target}/{name}", schema)
-    return tables
+
+    def load(name: str) -> DataFrame:
+        write_parquet(read_csv(spark, f"{folder}/{name}.csv", schemas[name]), f"{target}/{name}")
+        return read_parquet(spark, f"{target}/{name}", schemas[name])
+
+    return dict(zip(schemas, run_together([lambda n=n: load(n) for n in schemas])))
 
 
 def export_csv(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Write every table to ``folder/<table>.csv``."""
-    for name, table in tables.items():
-        write_csv(table, f"{folder}/{name}.csv")
+    run_together([lambda n=n, t=t: write_csv(t, f"{folder}/{n}.csv") for n, t in tables.items()])
