@@ -47,14 +47,14 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
 def write_parquet(
     df: DataFrame, path: str, sort: Sequence[str] = (), records_per_file: int = STAGING_RECORDS_PER_FILE
 ) -> None:
-    """Parquet, replacing what is there, in files of a size AQE picks and a bounded row count.
+    """Parquet, replacing what is there, one or more files per task with a bounded row count.
 
-    ``sort`` orders rows inside each file, which is what readers gain from (row-group statistics).
+    The tasks are those of the plan: AQE has sized them after a shuffle, the scan otherwise, so
+    the rows are not moved once more for the write. ``sort`` orders rows inside each file, which
+    is what readers gain from (row-group statistics).
     """
-    sized = df.hint("rebalance")
-    if sort:
-        sized = sized.sortWithinPartitions(*sort)
-    sized.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).parquet(path)
+    rows = df.sortWithinPartitions(*sort) if sort else df
+    rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).parquet(path)
 
 
 def import_csv(spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], target: str) -> dict[str, DataFrame]:
