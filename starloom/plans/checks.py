@@ -9,14 +9,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.quality import column_violations, duplicate_keys, orphan_keys
-from ..schemas import FOREIGN_KEYS, OPERATIONAL, OPERATIONAL_LENGTHS, PRIMARY_KEYS, UNIQUE_COLUMNS, required_columns
+from ..schemas import (
+    FOREIGN_KEYS,
+    OPERATIONAL,
+    OPERATIONAL_LENGTHS,
+    PRIMARY_KEYS,
+    STAGING,
+    STAGING_KEYS,
+    UNIQUE_COLUMNS,
+    required_columns,
+    warehouse_lengths,
+)
 
 
 def check_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per primary key and unique column: how many values repeat, and in how many rows."""
-    keys = [(t, k) for t, k in PRIMARY_KEYS.items() if t in tables]
-    keys += [(t, [c]) for t, columns in UNIQUE_COLUMNS.items() if t in tables for c in columns]
+    """Per primary key and unique column of the operational tables: how many values repeat, in how many rows."""
+    unique = [(t, [c]) for t, columns in UNIQUE_COLUMNS.items() for c in columns]
+    return _repeated(tables, [*PRIMARY_KEYS.items(), *unique])
 
+
+def check_staging_keys(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """The same for the keys of the staging tables."""
+    return _repeated(staged, list(STAGING_KEYS.items()))
+
+
+def _repeated(tables: Mapping[str, DataFrame], keys: list[tuple[str, list[str]]]) -> DataFrame:
     def check(table: str, columns: list[str]) -> DataFrame:
         found = duplicate_keys(tables[table], columns)
         totals = found.agg(F.count("*").alias("repeated"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
@@ -24,7 +41,7 @@ def check_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
             F.lit(table).alias("table_name"), F.lit(",".join(columns)).alias("key"), "repeated", "rows"
         )
 
-    return reduce(DataFrame.unionByName, [check(t, k) for t, k in keys])
+    return reduce(DataFrame.unionByName, [check(t, k) for t, k in keys if t in tables])
 
 
 def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -42,9 +59,17 @@ def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def check_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per operational column: rows that break NOT NULL or the length limit."""
+    return _violations(tables, OPERATIONAL, OPERATIONAL_LENGTHS)
+
+
+def check_staging_columns(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """Per staging column: the same against the warehouse's limits, which are narrower in places."""
+    return _violations(staged, STAGING, {n: warehouse_lengths(s) for n, s in STAGING.items()})
+
 
+def _violations(tables: Mapping[str, DataFrame], schemas: Mapping, lengths: Mapping) -> DataFrame:
     def check(table: str) -> DataFrame:
-        found = column_violations(tables[table], required_columns(OPERATIONAL[table]), OPERATIONAL_LENGTHS.get(table))
+        found = column_violations(tables[table], required_columns(schemas[table]), lengths.get(table))
         return found.withColumn("table_name", F.lit(table))
 
-    return reduce(DataFrame.unionByName, [check(t) for t in OPERATIONAL if t in tables])
+    return reduce(DataFrame.unionByName, [check(t) for t in schemas if t in tables])

@@ -7,7 +7,17 @@ from __future__ import annotations
 
 import re
 
-from ..schemas import FOREIGN_KEYS, OPERATIONAL, OPERATIONAL_LENGTHS, PRIMARY_KEYS, UNIQUE_COLUMNS, required_columns
+from ..schemas import (
+    FOREIGN_KEYS,
+    OPERATIONAL,
+    OPERATIONAL_LENGTHS,
+    PRIMARY_KEYS,
+    STAGING,
+    STAGING_KEYS,
+    UNIQUE_COLUMNS,
+    required_columns,
+    warehouse_lengths,
+)
 from .given_tables import _HISTORY_SQL, AS_OF_SQL, FIRST_END, FIRST_START, GIVEN, RAW_SQL, SECOND_END
 from .queries import CHANGE_DAY, CHANGES_SQL
 
@@ -364,11 +374,13 @@ _STATE = {n: "{" + n + "_2}" for n in ("customers", "products", "staffs", "store
 }
 
 
-def _dq_keys() -> str:
-    keys = [*PRIMARY_KEYS.items(), *((t, [c]) for t, cs in UNIQUE_COLUMNS.items() for c in cs)]
+_STAGED = {n: "{stg_" + n + "_2}" for n in STAGING}
+
+
+def _dq_keys(keys: list[tuple[str, list[str]]], state: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name, '{",".join(k)}' AS key, count(*) AS repeated, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows
-            FROM (SELECT count(*) AS n FROM {_STATE[t]} GROUP BY {", ".join(k)} HAVING count(*) > 1) g"""
+            FROM (SELECT count(*) AS n FROM {state[t]} GROUP BY {", ".join(k)} HAVING count(*) > 1) g"""
         for t, k in keys
     )
 
@@ -382,13 +394,13 @@ def _dq_references() -> str:
     )
 
 
-def _dq_columns() -> str:
+def _dq_columns(schemas: dict, lengths: dict[str, dict[str, int]], state: dict[str, str]) -> str:
     rules = []
-    for table in OPERATIONAL:
-        rules += [(table, c, "not null", f"{c} IS NULL") for c in required_columns(OPERATIONAL[table])]
-        rules += [(table, c, "length", f"length({c}) > {n}") for c, n in OPERATIONAL_LENGTHS[table].items()]
+    for table in schemas:
+        rules += [(table, c, "not null", f"{c} IS NULL") for c in required_columns(schemas[table])]
+        rules += [(table, c, "length", f"length({c}) > {n}") for c, n in lengths[table].items()]
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{r}' AS rule, count(*) AS violations FROM {_STATE[t]} WHERE {bad}"
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{r}' AS rule, count(*) AS violations FROM {state[t]} WHERE {bad}"
         for t, c, r, bad in rules
     )
 
@@ -462,9 +474,11 @@ SQL: dict[str, str] = {
     "fact_update": "SELECT * FROM {updated}",
     "end_to_end_star": "SELECT * FROM {fact_2}",
     **CDC,
-    "dq_keys": _dq_keys(),
+    "dq_keys": _dq_keys([*PRIMARY_KEYS.items(), *((t, [c]) for t, cs in UNIQUE_COLUMNS.items() for c in cs)], _STATE),
+    "dq_staging_keys": _dq_keys(list(STAGING_KEYS.items()), _STAGED),
+    "dq_staging_columns": _dq_columns(STAGING, {n: warehouse_lengths(s) for n, s in STAGING.items()}, _STAGED),
     "dq_references": _dq_references(),
-    "dq_columns": _dq_columns(),
+    "dq_columns": _dq_columns(OPERATIONAL, OPERATIONAL_LENGTHS, _STATE),
     "csv_roundtrip": "SELECT * FROM {x_orders_2}",
     "csv_import": "SELECT * FROM {raw_products}",
     "dataset_setup": "SELECT * FROM {bootstrap_customers}",

@@ -312,6 +312,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "dq_keys": lambda s: checks.check_keys(s.second),
     "dq_references": lambda s: checks.check_references(s.second),
     "dq_columns": lambda s: checks.check_columns(s.second),
+    "dq_staging_keys": lambda s: checks.check_staging_keys({n: s.staged(n) for n in STAGING}),
+    "dq_staging_columns": lambda s: checks.check_staging_columns({n: s.staged(n) for n in STAGING}),
     "cascade_retain": _cascade_retain,
     "cascade_rekey": _cascade_rekey,
     "csv_roundtrip": _csv_roundtrip,
