@@ -9,6 +9,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
 
+# Freed Arrow memory goes back to the system at once; workers stay alive between tasks.
+pa.set_memory_pool(pa.system_memory_pool())
+
 
 def dump(arrays: dict) -> bytes:
     """Arrays and plain values in few bytes. Numbers are stored byte plane by byte plane, then compressed."""
@@ -58,6 +61,25 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def by_frequency(codes: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Codes and words with new numbers: frequent words get small ones, equally frequent ones stand in order of the alphabet.
+
+    Both pack well.
+    """
+    count = np.bincount(codes, minlength=len(words))
+    alphabet = np.asarray(pc.sort_indices(words), np.int64)
+    order = alphabet[np.argsort(-count[alphabet], kind="stable")]
+    rank = np.empty(len(words), np.uint32)
+    rank[order] = np.arange(len(words), dtype=np.uint32)
+    return rank[codes], words.take(pa.array(order))
+
+
+def parts_of_words(words: pa.Array, parts: int) -> np.ndarray:
+    """The part that each word is dealt to, by its hash."""
+    data, at = as_bytes(words)
+    return (range_hashes(data, at[:-1], at[1:]) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
+
+
 def per_run(ufunc, values: np.ndarray, at: np.ndarray, empty) -> np.ndarray:
     """``ufunc`` over each run; ``empty`` for a run without values. Values may have more axes."""
     out = np.full((len(at) - 1, *values.shape[1:]), empty, values.dtype)

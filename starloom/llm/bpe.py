@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +18,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes, bounds, range_hashes, runs_at
-from .blocks import assemble, cut_words, deal, join_words, pack, part_count, solve
+from .arrays import bounds, by_frequency, parts_of_words, runs_at
+from .blocks import cut_words, deal, join_words, look_up, own, part_count
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 # A word that begins and ends as the cut asks: white space inside does no harm.
 _NO_SPACE = r"[^\s\p{Z}\x{85}\x1c-\x1f]"
 _WHOLE = rf"^[ \n]?({_NO_SPACE}|{_NO_SPACE}(?s:.)*{_NO_SPACE})$"
 
+_PLAIN = re.compile(r"[ \n]?[A-Za-zÀ-ÖØ-öø-ÿ]+([.,;:!?]?)\Z")
+
 
 def cut_texts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
     """Each text's words as numbers, the texts' bounds among them, and the distinct words by number."""
@@ -86,29 +89,34 @@ class Vocabulary:
         self.piece_bytes = np.frombuffer(b"".join(pieces), np.uint8)
         self.piece_length = np.array([len(p) for p in pieces], np.int64)
         self.piece_at = bounds(self.piece_length)
+        self.alphabet = str.maketrans({b: c for c, b in byte_of.items()})
+        self.single = {c: self.tokenizer.token_to_id(self.shown(c)) for c in "\n.,;:!?"}
         self.id_type = np.uint16 if size <= 1 << 16 else np.uint32
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the words, and the words' bounds among them."""
-        n = np.zeros(len(words), np.int64)
-        parts: list[np.ndarray | None] = [None] * len(words)
-        joined = [i for i, w in enumerate(words) if len(w) > 1 and w[0] in " \n" and not w[1].isspace() and not w[-1].isspace() and "<|" not in w and "|>" not in w]
-        # Words that begin with a blank can be encoded one behind the other and told apart by their bytes.
-        for k in range(0, len(joined), 2000):
-            some = joined[k : k + 2000]
-            ids = np.array(self.tokenizer.encode("".join([words[i] for i in some]), add_special_tokens=False).ids, np.int64)
-            ends = np.cumsum(self.piece_length[ids])
-            stops = np.searchsorted(ends, np.cumsum([len(words[i].encode()) for i in some])) + 1
-            for i, part in zip(some, np.split(ids, stops[:-1])):
-                parts[i] = part
-        alone = [i for i, p in enumerate(parts) if p is None]
-        for k in range(0, len(alone), 2000):
-            some = alone[k : k + 2000]
+        tokenize, single = self.tokenizer.model.tokenize, self.single
+        parts: list[list[int] | None] = [None] * len(words)
+        rest = []
+        for i, (word, shown) in enumerate(zip(words, self.shown("\0".join(words)).split(self.shown("\0")) if words else [])):
+            # Letters with at most a blank or line end before and a mark after them: the model alone decides.
+            plain = _PLAIN.match(word)
+            if plain is None:
+                rest.append(i)
+                continue
+            before, after = word[0] == "\n", plain[1]
+            ids = [t.id for t in tokenize(shown[1 if before else 0 : -1 if after else None])]
+            parts[i] = [*([single["\n"]] if before else []), *ids, *([single[after]] if after else [])]
+        for k in range(0, len(rest), 2000):
+            some = rest[k : k + 2000]
             for i, one in zip(some, self.tokenizer.encode_batch([words[i] for i in some], add_special_tokens=False)):
-                parts[i] = np.array(one.ids, np.int64)
-        n[:] = [len(p) for p in parts]
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        return flat.astype(self.id_type), bounds(n)
+                parts[i] = one.ids
+        flat = np.fromiter(chain.from_iterable(parts), self.id_type)
+        return flat, bounds(np.fromiter(map(len, parts), np.int64, len(parts)))
+
+    def shown(self, text: str) -> str:
+        """The text's bytes in the alphabet of the vocabulary."""
+        return text.encode().decode("latin-1").translate(self.alphabet)
 
     def pieces(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of each run of ids, with the runs' bounds."""
@@ -133,19 +141,19 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
     parts = part_count(spark)
     kept = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text"))
 
-    def make(batch: pa.RecordBatch) -> tuple[dict, dict]:
+    def make(batch: pa.RecordBatch) -> tuple[Callable[[], dict], Callable[[], dict]]:
         codes, at, words = cut_texts(batch.column("text"))
-        # Frequent words get small numbers, which pack well.
-        order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
-        rank = np.empty(len(words), np.uint32)
-        rank[order] = np.arange(len(words), dtype=np.uint32)
-        words = words.take(pa.array(order))
-        data, ends = as_bytes(words)
-        part_of = (range_hashes(data, ends[:-1], ends[1:]) % np.uint64(parts)).astype(np.uint16 if parts < 1 << 16 else np.uint32)
-        all_words = words.cast(pa.large_binary()).to_pylist()
-        ids = pa.concat_arrays([batch.column("id")])
-        texts = {"ids": ids.take(pa.array(np.arange(len(ids)))), "n": np.diff(at).astype(np.uint32), "codes": rank[codes], "part_of": part_of}
-        return texts, {p: join_words([all_words[i] for i in where]) for p, where in deal(part_of).items()}
+        codes, words = by_frequency(codes, words)
+        part_of = parts_of_words(words, parts)
+
+        def texts() -> dict:
+            return {"ids": own(batch.column("id")), "n": np.diff(at).astype(np.uint32), "codes": codes, "part_of": part_of}
+
+        def entries() -> dict:
+            every = words.cast(pa.large_binary()).to_pylist()
+            return {p: join_words([every[i] for i in where]) for p, where in deal(part_of).items()}
+
+        return texts, entries
 
     def answer(asked: list[dict]) -> Iterator[dict]:
         number: dict[bytes, int] = {}
@@ -156,7 +164,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
             n = lengths[numbers]
             yield {"n": n.astype(np.uint32), "ids": flat[runs_at(at[:-1][numbers], n)]}
 
-    def finish(_: int, texts: dict, answers: dict) -> Iterator[pa.RecordBatch]:
+    def finish(texts: dict | None, answers: dict) -> Iterator[pa.RecordBatch]:
         size = len(texts["part_of"])
         length, start = np.zeros(size, np.int64), np.zeros(size, np.int64)
         flat, total = [np.zeros(0, np.uint16)], 0
@@ -169,8 +177,8 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
         every = np.concatenate(flat)
         text_at, codes, row = bounds(texts["n"]), texts["codes"], 0
         while row < len(texts["n"]):
-            # About a million words at a time, in whole texts.
-            stop = max(row + 1, int(np.searchsorted(text_at, text_at[row] + 1_000_000, side="right")) - 1)
+            # Some hundred thousand words at a time, in whole texts.
+            stop = max(row + 1, int(np.searchsorted(text_at, text_at[row] + 300_000, side="right")) - 1)
             own = codes[text_at[row] : text_at[stop]]
             n = length[own]
             at = bounds(n)[text_at[row : stop + 1] - text_at[row]]
@@ -179,8 +187,7 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
             row = stop
 
     kind = kept.schema["id"].dataType.simpleString()
-    solved = solve(pack(kept, "text", make), answer)
-    return assemble(solved, finish, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_column)
+    return look_up(kept, "text", make, answer, finish, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_column)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:

@@ -5,16 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, token_files
+from . import bpe, kd_search, secrets, token_files
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Whole texts go to Python in batches of about so many bytes, which bounds a worker's memory. It sets the caller's session.
+BATCH_BYTES = "16m"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -24,6 +29,25 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.read_documents(spark, path))
 
 
+def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents"), columns=["doc_id"])
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(count(r.kind) for r in secrets.BASE_RULES),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
+def op9_kd_search(spark: SparkSession, folder: str) -> DataFrame:
+    return kd_search.exact_top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     encoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY)
     decoded = bpe.decode_ids(encoded, VOCABULARY)
@@ -33,8 +57,8 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op10_bpe)}
+    return {f.__name__: f for f in (op2_token_files, op5_secrets, op9_kd_search, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_kd_search": kd_search.SQL}

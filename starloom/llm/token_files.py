@@ -17,18 +17,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import bounds, by_size, runs_at
+from .arrays import as_bytes, bounds, by_size, range_hashes, runs_at
 from .bpe import Vocabulary, as_bytes_of_binary, cut_texts
 from .elias_fano import EliasFano
 
-#: Distinct words whose ids a Python worker remembers, at most (about 150 bytes each).
-REMEMBERED = 1_500_000
+#: Distinct words whose ids a Python worker remembers, at most (about 30 bytes each).
+REMEMBERED = 3_000_000
 #: Text bytes of a block, about.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class WordIds:
-    """Ids of words seen by this worker. Forgets all when full; a forgotten word is encoded again."""
+    """Ids of words seen by this worker, by a 64-bit hash. Forgets all when full; a forgotten word is encoded again."""
 
     _of: dict[str, WordIds] = {}
 
@@ -43,26 +43,38 @@ class WordIds:
         return cls._of[path]
 
     def _clear(self) -> None:
-        self.number: dict[str, int] = {}
-        self.flat = np.zeros(0, self.vocabulary.id_type)
+        self.known = np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.uint32)
+        self.flat = np.zeros(0, self.vocabulary.id_type)
+
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(self.known, hashes)
+        there = np.zeros(len(hashes), bool)
+        within = place < len(self.known)
+        there[within] = self.known[place[within]] == hashes[within]
+        return place, there
 
-    def ids(self, words: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all codes in turn, and the number of ids of each code."""
-        if len(self.number) > REMEMBERED:
+        data, ends = as_bytes(words)
+        hashes = range_hashes(data, ends[:-1], ends[1:])
+        if len(self.known) + len(words) > REMEMBERED:
             self._clear()
-        new = [w for w in words if w not in self.number]
-        if new:
+        _, there = self._places(hashes)
+        if not there.all():
+            new = words.filter(pa.array(~there)).to_pylist()
             flat, at = self.vocabulary.encode_words(new)
-            for w in new:
-                self.number[w] = len(self.number)
-            self.start = np.concatenate([self.start, at[:-1] + len(self.flat)])
-            self.length = np.concatenate([self.length, np.diff(at)])
+            added = hashes[~there]
+            order = np.argsort(added)
+            to = np.searchsorted(self.known, added[order])
+            self.known = np.insert(self.known, to, added[order])
+            self.start = np.insert(self.start, to, (at[:-1] + len(self.flat))[order])
+            self.length = np.insert(self.length, to, np.diff(at)[order])
             self.flat = np.concatenate([self.flat, flat])
-        known = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[codes]
-        n = self.length[known]
-        return self.flat[runs_at(self.start[known], n)], n
+        place, _ = self._places(hashes)
+        n = self.length[place][codes].astype(np.int64)
+        return self.flat[runs_at(self.start[place][codes], n)], n
 
 
 def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, id_column: str = "doc_id", text: str = "text") -> None:
@@ -80,7 +92,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str, end_id: int =
         for batch in batches:
             for piece in by_size(batch, "text", BLOCK_BYTES):
                 codes, at, distinct = cut_texts(piece.column("text"))
-                ids, n = words.ids(distinct.to_pylist(), codes)
+                ids, n = words.ids(distinct, codes)
                 at = bounds(n)[at]
                 # Every document gets one place more, for its end.
                 whole = np.full(len(ids) + len(at) - 1, end_id, ids.dtype)
