@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, kd_search, secrets, token_files
+from . import bpe, kd_search, minhash, secrets, token_files
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -23,6 +23,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, folder, "documents"), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
     token_files.write_token_files(table(spark, folder, "documents"), path, VOCABULARY)
@@ -57,7 +62,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_token_files, op5_secrets, op9_kd_search, op10_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_files, op5_secrets, op9_kd_search, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
