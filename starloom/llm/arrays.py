@@ -155,6 +155,15 @@ def range_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk:
     return out
 
 
+def rolling_hashes(text: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit hash of text[i:i + width] for every i."""
+    n = len(text)
+    power, inverse = _power_tables(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(_BYTE[text] * power[:n], dtype=np.uint64, out=total[1:])
+    return mix((total[width:] - total[:-width]) * inverse[: n + 1 - width])
+
+
 def word_hashes(text: np.ndarray, at: np.ndarray, is_space: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of every text, and each text's bounds among them.
 
