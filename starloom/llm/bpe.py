@@ -118,11 +118,12 @@ class Vocabulary:
         """The text's bytes in the alphabet of the vocabulary."""
         return text.encode().decode("latin-1").translate(self.alphabet)
 
-    def pieces(self, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The bytes of each run of ids, with the runs' bounds."""
+    def texts(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
+        """The text of each run of ids: their pieces, looked up by id, one after the other."""
         lengths = self.piece_length[ids]
-        ends = bounds(lengths)
-        return self.piece_bytes[runs_at(self.piece_at[ids], lengths)], ends[at]
+        ends = bounds(lengths)[at].tolist()
+        raw = self.piece_bytes[runs_at(self.piece_at[ids], lengths)].tobytes()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
 
 
 def _packed(flat: np.ndarray, at: np.ndarray) -> pa.Array:
@@ -131,9 +132,11 @@ def _packed(flat: np.ndarray, at: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(np.ascontiguousarray(at * 4, np.int64)), pa.py_buffer(data)])
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
     """Ids of every whole text: the id column, ``n_tokens`` and ``ids`` (packed little-endian 32-bit integers).
 
+    ``decoded`` adds the text that the ids stand for, as ``decode_ids`` does, in the same pass.
+
     One row for each input row, also for repeated rows and ids and for null ids. A null or empty text has no ids. Other columns
     are left out, so their names cannot clash. A word is encoded once in the whole table, not once per text.
     """
@@ -182,12 +185,15 @@ def encode_documents(docs: DataFrame, vocabulary: str, id_column: str = "doc_id"
             own = codes[text_at[row] : text_at[stop]]
             n = length[own]
             at = bounds(n)[text_at[row : stop + 1] - text_at[row]]
-            ids = _packed(every[runs_at(start[own], n)], at)
-            yield pa.RecordBatch.from_arrays([texts["ids"].slice(row, stop - row), pa.array(np.diff(at), pa.int64()), ids], ["id", "n_tokens", "ids"])
+            flat_ids = every[runs_at(start[own], n)]
+            columns = [texts["ids"].slice(row, stop - row), pa.array(np.diff(at), pa.int64()), _packed(flat_ids, at)]
+            again = [pa.array(Vocabulary.of(vocabulary).texts(flat_ids, at), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*columns, *again], ["id", "n_tokens", "ids", "decoded"][: 3 + decoded])
             row = stop
 
     kind = kept.schema["id"].dataType.simpleString()
-    return look_up(kept, "text", make, answer, finish, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_column)
+    schema = f"id {kind}, n_tokens bigint, ids binary" + ", decoded string" * decoded
+    return look_up(kept, "text", make, answer, finish, schema).withColumnRenamed("id", id_column)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
@@ -202,9 +208,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str, ids: str = "ids", decoded: s
         for batch in batches:
             column = batch.column(ids)
             data, at = as_bytes_of_binary(column)
-            flat, ends = table.pieces(data.view("<u4").astype(np.int64), at // 4)
-            raw = flat.tobytes()
-            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            texts = table.texts(data.view("<u4"), at // 4)
             empty = np.asarray(pc.is_null(column), bool)
             texts = pa.array([None if e else t for t, e in zip(texts, empty)], pa.string())
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), texts], [*names, decoded])

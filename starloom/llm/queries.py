@@ -59,8 +59,7 @@ def op9_kd_search(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    encoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY)
-    decoded = bpe.decode_ids(encoded, VOCABULARY)
+    decoded = bpe.encode_documents(table(spark, folder, "documents"), VOCABULARY, decoded=True)
     return decoded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
