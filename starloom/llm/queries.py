@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, kd_search, minhash, secrets, suffix_dedup, token_files
+from . import bpe, decontaminate, kd_search, minhash, secrets, suffix_dedup, token_files
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -49,6 +49,11 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.drop("text_key")
+
+
 def op8_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -66,7 +71,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_files, op5_secrets, op8_suffix_dedup, op9_kd_search, op10_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_files, op5_secrets, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
