@@ -61,6 +61,23 @@ def sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return total[at[1:]] - total[at[:-1]]
 
 
+def split_words(texts: pa.Array, lower: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Each text's words as numbers, the texts' bounds among them, and the distinct words. ASCII white space parts words.
+
+    ``lower``: A-Z count as a-z.
+    """
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts) if lower else texts)
+    at = np.asarray(lists.offsets, np.int64)
+    coded = pc.dictionary_encode(lists.flatten())
+    codes, words = np.asarray(coded.indices, np.int64), coded.dictionary
+    # White space at an end leaves an empty word.
+    full = np.asarray(pc.binary_length(words), np.int64) > 0
+    stays = full[codes]
+    at = np.concatenate([[0], np.cumsum(stays)])[at - at[0]]
+    return (np.cumsum(full) - 1)[codes[stays]], at, words.filter(pa.array(full))
+
+
 def by_frequency(codes: np.ndarray, words: pa.Array) -> tuple[np.ndarray, pa.Array]:
     """Codes and words with new numbers: frequent words get small ones, equally frequent ones stand in order of the alphabet.
 

@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, kd_search, minhash, secrets, suffix_dedup, token_files
+from . import bpe, decontaminate, kd_search, language_model, minhash, secrets, suffix_dedup, token_files, trie_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 #: Whole texts go to Python in batches of about so many bytes, which bounds a worker's memory. It sets the caller's session.
@@ -34,6 +35,14 @@ def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_files.digests(token_files.read_documents(spark, path))
 
 
+def op3_trie_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_counts.token_counts(table(spark, folder, "documents"), PIECES)
+
+
+def op4_language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score_documents(table(spark, folder, "documents"))
+
+
 def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scan(table(spark, folder, "documents"), columns=["doc_id"])
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE_RULES]))
@@ -71,7 +80,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_files, op5_secrets, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_files, op3_trie_counts, op4_language_model, op5_secrets, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
