@@ -192,12 +192,12 @@ def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
-    """For each row: id, text_key, n_shingles, component_id (smallest id reachable by links, its own included) and kept.
+    """For each row: id, text_key, n_shingles, component_id (smallest id reachable by links, its own included), kept and chosen.
 
     A document's set: its distinct runs of ``width`` words; with fewer words the whole as one; without words or text (null, empty) the set is empty
     and links with nothing. Documents are linked if 100 * shared >= percent * united. Every input row gives one row, whatever
     repeats. A null id takes part but is never the smallest, unless a component has no other (then ``component_id`` is null). kept: the id is the
-    component's. ``text_key`` is Spark's xxhash64 of the text. Other columns are left out, so their names cannot clash.
+    component's; chosen: besides, of several texts with that id, the one with the smallest key (rows alike in both are chosen together). ``text_key`` is Spark's xxhash64 of the text. Other columns are left out, so their names cannot clash.
     """
     threshold = percent / 100
     signed = stored(_signed(docs, id_column, text, width), "signed")
@@ -205,7 +205,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     classes = stored(
         by_set.agg(
             F.min("id").alias("first_id"),
-            F.min(F.struct("id", "text_key")).alias("source"),
+            F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")).alias("source"),
             *(F.first(c).alias(c) for c in ("n_shingles", "bands", "compared")),
         ),
         "classes",
@@ -241,9 +241,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
             break
         most *= 8
 
-    homes = classes.select("digest", "first_id").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    least = homes.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    of_class = homes.join(least, "component").select("digest", "component_id")
+    homes = classes.select("digest", "first_id", "source").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    least = homes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("source").alias("first"))
+    of_class = homes.join(least, "component").select("digest", "component_id", "first")
     whole = signed.select("id", "text_key", "n_shingles", "digest").join(of_class, "digest", "left")
     component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return whole.select(F.col("id").alias(id_column), "text_key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
+    chosen = F.col("first").isNull() | (F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_key") == F.col("first.text_key")))
+    return whole.select(
+        F.col("id").alias(id_column), "text_key", "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"), chosen.alias("chosen")
+    )

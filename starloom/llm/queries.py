@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, kd_search, language_model, minhash, secrets, suffix_dedup, token_files, trie_counts
+from . import bpe, decontaminate, kd_search, language_model, minhash, quality, secrets, suffix_dedup, token_files, trie_counts
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -58,6 +58,11 @@ def op5_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents that stay, with their posteriors."""
+    return quality.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), ["doc_id", "source", "lang"]).where("kept")
+
+
 def op7_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.drop("text_key")
@@ -80,7 +85,7 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_files, op3_trie_counts, op4_language_model, op5_secrets, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_files, op3_trie_counts, op4_language_model, op5_secrets, op6_quality, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

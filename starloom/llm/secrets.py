@@ -184,12 +184,13 @@ class TrigramIndex:
         return out
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, columns: list[str] | None = None, text: str = "text", spans: str = "spans") -> DataFrame:
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, columns: list[str] | None = None, text: str = "text", spans: str = "spans", redacted: bool = False) -> DataFrame:
     """Add the secrets of every whole text as ``spans``: an array of (kind, start, end) in code points, end exclusive.
 
     For each kind they are the leftmost matches that do not overlap, without those that do not fit; sorted by start, then by the order of the
     rules. ``columns``: those to keep (all if left out; one that is named like the new column gives way). A null or empty text has
-    no spans. Every input row gives one row. No shuffle: each input split is indexed where it is read.
+    no spans. Every input row gives one row. No shuffle: each input split is indexed where it is read. ``redacted`` replaces the
+    spans in the kept text column by marks; ``spans`` still counts in the given text.
     """
     kept = [c for c in (columns or docs.columns) if c != spans]
     wanted = sorted(set().union(*(_trigrams(r.query) for r in rules)))
@@ -207,7 +208,8 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, columns: list[str] |
                     for i in index.documents(rule.query).tolist():
                         found[i] += [(m.start(), order, m.end()) for m in expression.finditer(texts[i]) if rule.fits(m)]
                 listed = [[{"kind": rules[k].kind, "start": a, "end": b} for a, k, b in sorted(f)] for f in found]
-                yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in kept), pa.array(listed, kind_type)], [*kept, spans])
+                clean = pa.array(redact(column.to_pylist(), listed), pa.string()) if redacted else column
+                yield pa.RecordBatch.from_arrays([*(clean if c == text else piece.column(c) for c in kept), pa.array(listed, kind_type)], [*kept, spans])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*kept).schema)
     given = docs.select(*kept, F.col(text).alias("__text"))
