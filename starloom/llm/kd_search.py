@@ -165,9 +165,11 @@ def exact_top_k(
 
     def search(asked: DataFrame, points: DataFrame) -> DataFrame:
         def pair(_, left: pa.Table, right: pa.Table) -> pa.Table:
-            return search_shard(left, right, k)
+            return search_shard(left, right.rename_columns([c.removeprefix("q_") for c in right.column_names]), k)
 
-        return points.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(pair, _FOUND)
+        # New names on one side: both come from the same table.
+        asked = asked.select(*(F.col(c).alias(f"q_{c}") for c in [*key, "id", "v", "copies", "kth"]))
+        return points.groupBy(*key).cogroup(asked.groupBy(*(f"q_{c}" for c in key))).applyInArrow(pair, _FOUND)
 
     own = search(queries.withColumn("kth", F.lit(None).cast("bigint")), copied)
     by_query = Window.partitionBy("query_id", "query")
@@ -176,7 +178,7 @@ def exact_top_k(
     first = own.withColumn("before", before).where(F.col("before") < k).where(F.col("before") + F.col("copies") >= k)
     kth = first.select(F.col("query_id").alias("id"), F.col("query").alias("v"), F.col("score").alias("kth"))
     others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>"), lambda s: s != F.col("home")))
-    onward = queries.join(kth, ["id", "v"], "left").withColumnRenamed("shard", "home").withColumn("shard", others)
+    onward = queries.drop("asks", "digest").join(kth, ["id", "v"], "left").withColumnRenamed("shard", "home").withColumn("shard", others)
     found = own.unionByName(search(onward.select(*key, "id", "v", "copies", "kth"), copied)) if shards > 1 else own
     ranked = found.withColumn("before", before).where(F.col("before") < k)
     ranks = F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("copies"), F.lit(k))).cast("array<int>")

@@ -23,9 +23,10 @@ from .arrays import as_bytes, by_size, distinct, per_run, split_words, sums, wor
 from .stored import stored
 
 #: Labelled documents in the sample to fit, at most: those with the smallest digests of their ids.
-FIT_ROWS = 8192
+FIT_ROWS = 16384
 #: A word is used if its shares on both sides differ by so many standard errors, in so many documents at least; so many words at most.
-WORD_ERRORS, WORD_DOCUMENTS, WORDS = 6.0, 8, 256
+WORD_ERRORS, WORD_DOCUMENTS, WORDS = 5.0, 4, 256
+RIDGE = 0.1
 PIECE_BYTES = 4 << 20
 #: Shares of a site stay inside these bounds, so that no site decides by itself.
 LEAST_SHARE = 0.02
@@ -102,7 +103,7 @@ class Head:
         head = cls(middle, scale, chosen, np.zeros(1 + len(middle) + len(chosen)), prior)
         if 0 < yes < n:
             x = head._columns(measures, words)
-            ridge = np.full(x.shape[1], 1.0)
+            ridge = np.full(x.shape[1], RIDGE)
             ridge[0] = 1e-3
             for _ in range(25):
                 p = 1 / (1 + np.exp(-np.clip(x @ head.weights, -30, 30)))
@@ -147,7 +148,11 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     seen = sample.select("id", "quality", "toxic", "text").mapInArrow(task, f"id {kind}, quality int, toxic int, measures binary, words binary")
     # Documents that share an id could be many: the bound holds for them as well.
     got = seen.orderBy("id", "quality", "toxic", F.xxhash64("words", "measures")).limit(rows).collect()
-    heads = {}
+    # Copies would make all their words look telling: of documents with the same three smallest word hashes the first stands for all.
+    first = {}
+    for r in got:
+        first.setdefault((r.quality, r.toxic, *np.sort(np.frombuffer(r.words, np.uint64))[:3].tolist()), r)
+    got, heads = list(first.values()), {}
     for name, column in (("good", "quality"), ("toxic", "toxic")):
         own = [r for r in got if r[column] is not None]
         measures = np.array([np.frombuffer(r.measures) for r in own]).reshape(len(own), -1) if own else np.zeros((0, style(pa.array([""])).shape[1]))
