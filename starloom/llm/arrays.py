@@ -13,7 +13,7 @@ import zstandard
 pa.set_memory_pool(pa.system_memory_pool())
 
 
-def dump(arrays: dict) -> bytes:
+def dump(arrays: dict, level: int = 3) -> bytes:
     """Arrays and plain values in few bytes. Numbers are stored byte plane by byte plane, then compressed."""
     flat = {}
     for name, value in arrays.items():
@@ -24,7 +24,7 @@ def dump(arrays: dict) -> bytes:
             flat[name] = (None, value)
         else:
             flat[name] = value
-    return zstandard.ZstdCompressor(level=3).compress(pickle.dumps(flat, protocol=5))
+    return zstandard.ZstdCompressor(level=level).compress(pickle.dumps(flat, protocol=5))
 
 
 def load(data: bytes) -> dict:
@@ -108,7 +108,7 @@ def per_run(ufunc, values: np.ndarray, at: np.ndarray, empty) -> np.ndarray:
 
 def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts in one array, and each text's bounds. Null counts as empty."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if len(texts) == 0:
         return np.zeros(0, np.uint8), np.zeros(1, np.int64)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 import public_tokenizers
@@ -20,6 +21,9 @@ BATCH_BYTES = "16m"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. Python workers that start later find this library where the driver has it, unless told otherwise."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -19,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes, bounds, range_hashes, rolling_hashes, runs_at
+from .arrays import as_bytes, bounds, dump, load, range_hashes, rolling_hashes, runs_at
 from .blocks import deal, gather, look_up, own, part_count
 from .stored import stored
 
 #: Bytes of a string that counts; bytes of a marker; neighbouring windows that travel together, at most.
-WIDTH, K, RUN = 50, 26, 64
+WIDTH, K, RUN = 50, 20, 64
 #: A marker of more documents than this is hot.
 HOT = 5000
 CHUNK = 1 << 20
@@ -148,7 +148,7 @@ def owners(pieces: list[bytes], runs: np.ndarray, least: np.ndarray) -> np.ndarr
 
 
 def _shared_markers(docs: DataFrame, parts: int) -> DataFrame:
-    """Blocks of documents with the windows whose marker another document holds too, one packed row each."""
+    """Documents without a shared marker, which stay whole; and the others in packed blocks, with the windows of shared markers."""
 
     def make(batch: pa.RecordBatch) -> tuple[Callable[[], dict], Callable[[], dict]]:
         text, at = as_bytes(batch.column("text"))
@@ -169,7 +169,8 @@ def _shared_markers(docs: DataFrame, parts: int) -> DataFrame:
             return out
 
         def texts() -> dict:
-            return {"ids": own(batch.column("id")), "at": np.diff(at).astype(np.uint32), "text": text.tobytes()}
+            data = dump({"text": text.tobytes()}, LEVEL)
+            return {"ids": own(batch.column("id")), "lengths": np.diff(at).astype(np.uint32), "data": data}
 
         return texts, entries
 
@@ -182,7 +183,7 @@ def _shared_markers(docs: DataFrame, parts: int) -> DataFrame:
         yield from ({"kind": k} for k in np.split(kind[place], np.cumsum([len(m) for m in markers])[:-1]))
 
     def finish(texts: dict | None, answers: dict) -> Iterator[pa.RecordBatch]:
-        text, at = np.frombuffer(texts["text"], np.uint8), bounds(texts["at"])
+        text, at = np.frombuffer(load(texts["data"])["text"], np.uint8), bounds(texts["lengths"])
         start, run, marker = windows(text, at)
         each, place = np.unique(marker, return_inverse=True)
         kind = gather((each % np.uint64(parts)).astype(np.int64), answers, "kind", np.uint8(0))[place]
@@ -192,16 +193,41 @@ def _shared_markers(docs: DataFrame, parts: int) -> DataFrame:
         key = np.concatenate([marker[kind == 1], range_hashes(text, single, single + WIDTH)])
         run = np.concatenate([run[kind == 1], np.ones(len(single), np.int64)])
         order = np.argsort(start, kind="stable")
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([v], t) for v, t in ((texts["text"], pa.binary()), (texts["at"].tobytes(), pa.binary()), (texts["ids"].to_pylist(), pa.list_(pa.int64())), (start[order].astype(np.uint32).tobytes(), pa.binary()), (run[order].astype(np.uint8).tobytes(), pa.binary()), (key[order].tobytes(), pa.binary()))],
-            list(_BLOCK),
-        )
-
-    schema = ", ".join(f"{n} {t}" for n, t in _BLOCK.items())
-    return stored(look_up(docs, "text", make, answer, finish, schema), "windows")
-
-
-_BLOCK = {"text": "binary", "lengths": "binary", "ids": "array<bigint>", "starts": "binary", "runs": "binary", "keys": "binary"}
+        start, run, key = start[order], run[order], key[order]
+        n_bytes = np.diff(at)
+        doc = np.searchsorted(at, start, side="right") - 1
+        busy = np.zeros(len(n_bytes), bool)
+        busy[doc] = True
+        whole = text.tobytes()
+        done = np.flatnonzero(~busy)
+        yield _rows(texts["ids"].take(pa.array(done)), n_bytes[done], [whole[at[i] : at[i + 1]] for i in done], 0 * done, 0 * done)
+        if busy.any():
+            # The busy documents move together; windows keep their place in their document.
+            left = np.flatnonzero(busy)
+            moved = bounds(n_bytes[left])
+            data = {
+                "text": b"".join([whole[at[i] : at[i + 1]] for i in left]),
+                "lengths": n_bytes[left].astype(np.uint32),
+                "ids": np.asarray(texts["ids"].take(pa.array(left)).fill_null(NO_ID), np.int64),
+                "no_id": np.asarray(texts["ids"].take(pa.array(left)).is_null(), bool),
+                "gaps": np.diff(start - at[doc] + moved[np.searchsorted(left, doc)], prepend=0).astype(np.uint32),
+                "runs": run.astype(np.uint8),
+                "keys": key,
+            }
+            yield pa.RecordBatch.from_arrays([pa.array([None], f.type) for f in _OUT] + [pa.array([dump(data, LEVEL)], pa.binary())], [*_OUT.names, "data"])
+
+    return stored(look_up(docs, "text", make, answer, finish, f"{_RESULT}, data binary"), "windows")
+
+
+#: Compression of whole texts: they are shuffled, so their size counts.
+LEVEL = 9
+_RESULT = "id bigint, n_bytes bigint, kept binary, n_removed bigint, n_spans bigint"
+_OUT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("kept", pa.binary()), ("n_removed", pa.int64()), ("n_spans", pa.int64())])
+
+
+def _rows(ids: pa.Array, n_bytes: np.ndarray, kept: list[bytes], n_removed: np.ndarray, n_spans: np.ndarray, data: bool = True) -> pa.RecordBatch:
+    columns = [pa.array(c, f.type) for c, f in zip((ids, n_bytes, kept, n_removed, n_spans), _OUT)]
+    return pa.RecordBatch.from_arrays([*columns, *([pa.nulls(len(ids), pa.binary())] if data else [])], [*_OUT.names, *(["data"] if data else [])])
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
@@ -214,10 +240,10 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
     parts = part_count(docs.sparkSession)
     given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
 
-    def unpack(row: dict) -> tuple:
-        lengths, starts, runs, keys = (np.frombuffer(row[n], t) for n, t in (("lengths", np.uint32), ("starts", np.uint32), ("runs", np.uint8), ("keys", np.uint64)))
-        ids = np.array([NO_ID if i is None else i for i in row["ids"]], np.int64)
-        return np.frombuffer(row["text"], np.uint8), bounds(lengths), ids, starts.astype(np.int64), runs.astype(np.int64), keys
+    def unpack(data: bytes) -> tuple:
+        row = load(data)
+        starts = np.cumsum(row["gaps"].astype(np.int64))
+        return row, np.frombuffer(row["text"], np.uint8), bounds(row["lengths"]), starts, row["runs"].astype(np.int64)
 
     def distinct_runs(text: np.ndarray, starts: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first of each distinct run of windows, and for each run which distinct one it is."""
@@ -225,20 +251,20 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         return first, which
 
     def make(batch: pa.RecordBatch) -> tuple[Callable[[], dict], Callable[[], dict]]:
-        row = {n: batch.column(n)[0].as_py() for n in _BLOCK}
+        packed = batch.column("data")[0].as_py()
 
         def entries() -> dict:
-            text, at, ids, starts, runs, keys = unpack(row)
+            row, text, at, starts, runs = unpack(packed)
             first, which = distinct_runs(text, starts, runs)
             least = np.full(len(first), NO_ID)
-            np.minimum.at(least, which, ids[np.searchsorted(at, starts, side="right") - 1])
+            np.minimum.at(least, which, row["ids"][np.searchsorted(at, starts, side="right") - 1])
             data, out = row["text"], {}
-            for part, where in deal((keys[first] % np.uint64(parts)).astype(np.int64)).items():
+            for part, where in deal((row["keys"][first] % np.uint64(parts)).astype(np.int64)).items():
                 s, r = starts[first[where]], runs[first[where]]
                 out[part] = {"bytes": b"".join([data[a:b] for a, b in zip(s.tolist(), (s + r + WIDTH - 1).tolist())]), "runs": r.astype(np.uint8), "least": least[where]}
             return out
 
-        return lambda: row, entries
+        return lambda: {"packed": packed}, entries
 
     def answer(asked: list[dict]) -> Iterator[dict]:
         number: dict[bytes, int] = {}
@@ -254,19 +280,21 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         runs = np.fromiter(map(len, pieces), np.int64, len(pieces)) - WIDTH + 1
         owner, at = owners(pieces, runs, least), bounds(runs)
         for which in wanted:
-            yield {"owner": owner[runs_at(at[which], runs[which])], "runs": runs[which]}
+            # Few owners, many windows.
+            each, place = np.unique(owner[runs_at(at[which], runs[which])], return_inverse=True)
+            yield {"each": each, "owner": place.astype(np.uint16 if len(each) < 1 << 16 else np.uint32)}
 
-    def finish(row: dict | None, answers: dict) -> Iterator[pa.RecordBatch]:
-        text, at, ids, starts, runs, keys = unpack(row)
+    def finish(texts: dict | None, answers: dict) -> Iterator[pa.RecordBatch]:
+        row, text, at, starts, runs = unpack(texts["packed"])
         first, which = distinct_runs(text, starts, runs)
         begin, total, flat = np.zeros(len(first), np.int64), 0, [np.zeros(0, np.int64)]
-        for part, where in deal((keys[first] % np.uint64(parts)).astype(np.int64)).items():
-            begin[where] = total + bounds(answers[part]["runs"])[:-1]
-            flat.append(answers[part]["owner"])
+        for part, where in deal((row["keys"][first] % np.uint64(parts)).astype(np.int64)).items():
+            begin[where] = total + bounds(runs[first[where]])[:-1]
+            flat.append(answers[part]["each"][answers[part]["owner"]])
             total += len(flat[-1])
         owner = np.concatenate(flat)[runs_at(begin[which], runs)]
         place = runs_at(starts, runs)
-        taken = place[owner < np.repeat(ids[np.searchsorted(at, starts, side="right") - 1], runs)]
+        taken = place[owner < np.repeat(row["ids"][np.searchsorted(at, starts, side="right") - 1], runs)]
         cover = np.zeros(len(text) + 1, np.int32)
         np.add.at(cover, taken, 1)
         np.add.at(cover, taken + WIDTH, -1)
@@ -277,9 +305,11 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         n_bytes = np.diff(at)
         kept_at = bounds(n_bytes - n_gone)
         kept = text[~gone]
-        rows = [pa.array(row["ids"], pa.int64()), pa.array(n_bytes), pa.array([kept[a:b].tobytes() for a, b in zip(kept_at, kept_at[1:])], pa.binary()), pa.array(n_gone), pa.array(n_spans)]
-        yield pa.RecordBatch.from_arrays(rows, ["id", "n_bytes", "kept", "n_removed", "n_spans"])
-
-    schema = "id bigint, n_bytes bigint, kept binary, n_removed bigint, n_spans bigint"
-    # Each stored row is a block already.
-    return look_up(_shared_markers(given, parts), "text", make, answer, finish, schema, size=1).withColumnRenamed("id", id_column)
+        ids = pa.array(row["ids"], pa.int64(), mask=row["no_id"])
+        yield _rows(ids, n_bytes, [kept[a:b].tobytes() for a, b in zip(kept_at, kept_at[1:])], n_gone, n_spans, data=False)
+
+    marked = _shared_markers(given, parts)
+    whole = marked.where("data IS NULL").drop("data")
+    # Each packed row is a block already.
+    shared = look_up(marked.where("data IS NOT NULL").select("data"), "data", make, answer, finish, _RESULT, size=1)
+    return whole.unionByName(shared).withColumnRenamed("id", id_column)
