@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .stored import stored
+from .stored import stored, tasks_for
+
+#: Links of a task, about.
+LINKS = 100_000
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -19,6 +22,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = stored(links.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select(*ends).distinct(), "links")
     before = None
     while True:
+        # No step makes more than two links of one.
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("high", "low").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             return edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
@@ -28,5 +32,5 @@ def components(links: DataFrame) -> DataFrame:
         large = edges.join(smallest, "low").select("high", F.col("to").alias("low")).distinct()
         least = large.groupBy("high").agg(F.min("low").alias("to"))
         small = large.join(least, "high").select(F.explode(F.array(F.struct(F.col("low").alias("high"), F.col("to").alias("low")), F.struct("high", F.col("to").alias("low")))).alias("e"))
-        edges = stored(small.select("e.*").where("high <> low").distinct(), "links")
+        edges = stored(small.select("e.*").where("high <> low").distinct(), "links", tasks_for(2 * state[0], LINKS))
 

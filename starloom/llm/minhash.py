@@ -5,8 +5,9 @@
    probability (1 - s^ROWS)^BANDS: 6e-7 at 0.8, less above.
 3. In each bucket the class that meets most others is the hub, and all others are compared with it. In a group of copies of one original,
    however large, the original is the hub, and n - 1 comparisons join the group.
-4. Buckets that still hold different components are compared in tiles of bounded size, only across components. A tile names the best
-   partners of each member first and all of them in the end, so that no link between different components is left out.
+4. Buckets that still hold different components are compared in tiles of bounded size, only across components and only in the first
+   bucket that a pair shares. A tile names the best partners of each member first and all of them in the end, so that no link between
+   different components is left out.
 5. Every comparison goes through batches of hashes: after each, a pair is dropped if the posterior probability that its similarity reaches
    the threshold is below MISS. What survives is confirmed on the full sets of shingles.
 """
@@ -25,13 +26,15 @@ from pyspark.sql import functions as F
 
 from .arrays import ASCII_LOWER, ASCII_SPACE, as_bytes, by_size, distinct, mix, per_run, shingles, word_hashes
 from .components import components
-from .stored import stored
+from .stored import stored, tasks_for
 
 BANDS, ROWS = 36, 5
 #: Hashes compared, in batches, by their lowest byte; the chance that a wrongly dropped pair reaches the threshold, for each batch.
-COMPARED, BATCH, MISS = 128, 32, 1e-6
+COMPARED, BATCH, MISS = BANDS * ROWS, 36, 2e-5
 #: Members of a tile on each side.
 TILE = 256
+#: Pairs of a task, about: when bytes are compared, and when whole texts are.
+PAIRS, TEXTS = 20_000, 500
 PIECE_BYTES = 4 << 20
 
 _rng = np.random.default_rng(20240229)
@@ -149,7 +152,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
 def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
     """Candidate pairs (a, b, whole) across components of the same bucket: the ``most`` best partners of each member in each tile.
 
-    ``members``: bucket, digest, component, compared. ``whole`` is false where a tile held more than it names.
+    ``members``: bucket, band, digest, component, compared. ``whole`` is false where a tile held more than it names.
     """
     steps = least_matches(threshold)
     sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -163,7 +166,7 @@ def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
     with_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda u: row("m", F.col("own"), u))
     as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda u: row("m", u, F.col("own")))
     dealt = spot.where("others > 0").withColumn("tile", F.explode(F.when(F.col("main"), as_main).otherwise(F.concat(among, with_main))))
-    keyed = dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "main", "digest", "component", "compared")
+    keyed = dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "band", "main", "digest", "component", "compared")
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -172,15 +175,19 @@ def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
 
         for _, some in groupby(rows(), key=lambda r: r[0]):
             some = list(some)
-            main = np.array([r[1] for r in some])
-            names, homes = [r[2] for r in some], np.unique([r[3].hex() for r in some], return_inverse=True)[1]
-            seen = np.frombuffer(b"".join(r[4] for r in some), np.uint8).reshape(-1, COMPARED)
+            band, main = some[0][1], np.array([r[2] for r in some])
+            names, homes = [r[3] for r in some], np.unique([r[4].hex() for r in some], return_inverse=True)[1]
+            seen = np.frombuffer(b"".join(r[5] for r in some), np.uint8).reshape(-1, COMPARED)
+            bands = seen.reshape(len(some), BANDS, ROWS)[:, :band]
             out: dict[tuple[bytes, bytes], bool] = {}
             for i in range(len(some)):
                 if main[i]:
                     continue
                 at = np.flatnonzero((homes != homes[i]) & (main | (np.arange(len(some)) > i)))
                 alive, matches = go_on(np.broadcast_to(seen[i], (len(at), COMPARED)), seen[at], steps)
+                # A pair that shares an earlier band is compared in that one's bucket.
+                first = ~(bands[i] == bands[at[alive]]).all(axis=2).any(axis=1)
+                alive, matches = alive[first], matches[first]
                 order = np.argsort(-matches, kind="stable")
                 for j in at[alive[order[:most]]]:
                     out[min(names[i], names[j]), max(names[i], names[j])] = len(order) <= most
@@ -211,35 +218,35 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         "classes",
     )
     number = F.xxhash64("digest")
-    listed = classes.select(number.alias("c"), F.explode("bands").alias("bucket"))
+    listed = classes.select(number.alias("c"), F.posexplode("bands").alias("band", "bucket"))
     counts = listed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(listed.join(counts, "bucket"), "buckets")
     popular = shared.groupBy("c").agg(F.sum("n").alias("met"))
     known = classes.withColumn("c", number)
-    members = stored(shared.join(popular, "c").join(known.select("c", "digest"), "c").select("bucket", "n", "met", "digest"), "members")
+    members = stored(shared.join(popular, "c").join(known.select("c", "digest"), "c").select("bucket", "band", "n", "met", "digest"), "members")
     hubs = members.groupBy("bucket").agg(F.max(F.struct("met", "digest")).alias("hub"))
     spokes = members.join(hubs, "bucket").select(F.least("digest", "hub.digest").alias("a"), F.greatest("digest", "hub.digest").alias("b"))
     tried = stored(spokes.where("a <> b").distinct(), "pairs")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        alive = stored(_survivors(pairs, classes, threshold), "survivors")
-        return stored(_confirmed(alive, classes, docs, id_column, text, width, percent), "confirmed")
+        alive = stored(_survivors(pairs, classes, threshold), "survivors", tasks_for(pairs.count(), PAIRS))
+        return stored(_confirmed(alive, classes, docs, id_column, text, width, percent), "confirmed", tasks_for(alive.count(), TEXTS))
 
-    links, most = confirmed(tried), 4
+    links, most = confirmed(tried), 16
     while True:
         found = stored(components(links), "components")
         # Buckets of two are done with their hub; larger ones go on while they hold several components.
         larger = members.where("n > 2").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
         split = larger.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "compared"), "digest").select("bucket", "digest", "component", "compared")
+        still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "compared"), "digest").select("bucket", "band", "digest", "component", "compared")
         named = stored(_tiles(still, most, threshold), "named")
-        new = stored(named.select("a", "b").join(tried, ["a", "b"], "left_anti"), "new")
+        new = stored(named.select("a", "b").join(tried, ["a", "b"], "left_anti"), "new", tasks_for(named.count(), PAIRS))
         if not new.isEmpty():
             links = links.unionByName(confirmed(new))
             tried = tried.unionByName(new)
         elif named.where("NOT whole").isEmpty():
             break
-        most *= 8
+        most *= 16
 
     homes = classes.select("digest", "first_id", "source").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = homes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("source").alias("first"))
