@@ -117,7 +117,7 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def by_size(batch: pa.RecordBatch, column: str, limit: int):
-    """Slices of whole rows whose text makes up about ``limit`` bytes at most; a longer text stands alone."""
+    """Batches of whole rows whose text makes up about ``limit`` bytes at most; a longer text stands alone."""
     if batch.num_rows == 0:
         return
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64)
@@ -125,7 +125,8 @@ def by_size(batch: pa.RecordBatch, column: str, limit: int):
     while start < len(sizes):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
-        yield batch.slice(start, stop - start)
+        # A copy: some Arrow kernels misread the offsets of a slice.
+        yield batch.take(pa.array(np.arange(start, stop)))
         start = stop
 
 
