@@ -14,14 +14,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ACTIVE, INACTIVE
-from .rows import unseen
 
 AUDIT_COLUMNS = ("created_at", "updated_at", "is_active")
 
 
-def _fold(changes: DataFrame, key: str, payload: list[str]) -> DataFrame:
+def _fold(changes: DataFrame, key: str, payload: list[str], after: str | None = None) -> DataFrame:
+    """One row per key: its first insert, last update and last delete. Inserts and updates count only if later than ``after``."""
+    counts = F.lit(True) if after is None else F.col(after).isNull() | (F.col("seq") > F.col(after)) | (F.col("op") == "D")
+
     def of(op: str, value: Column) -> Column:
-        return F.when(F.col("op") == op, value)
+        return F.when((F.col("op") == op) & counts, value)
 
     row, seq = F.struct(*payload), F.col("seq")
     return changes.groupBy(key).agg(
@@ -47,25 +49,26 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str, run_date: dt
     payload = _payload(current, key)
     folded = _fold(changes, key, payload)
 
-    updated, deleted = F.col("u_seq").isNotNull(), F.col("d_seq").isNotNull()
-    kept = current.join(folded, key, "left").select(
-        key,
-        *[F.when(updated, F.col(f"u.{c}")).otherwise(F.col(c)).alias(c) for c in payload],
-        "created_at",
-        F.when(updated | deleted, today).otherwise(F.col("updated_at")).alias("updated_at"),
-        F.when(deleted, F.lit(INACTIVE)).otherwise(F.col("is_active")).alias("is_active"),
-    )
-    inserted = unseen(folded.filter("i_seq IS NOT NULL"), current, key)
+    known, updated, deleted = F.col("_known").isNotNull(), F.col("u_seq").isNotNull(), F.col("d_seq").isNotNull()
     later = F.coalesce(F.col("u_seq") > F.col("i_seq"), F.lit(False))
     gone = F.coalesce(F.col("d_seq") > F.col("i_seq"), F.lit(False))
-    added = inserted.select(
+    met = current.withColumn("_known", F.lit(1)).join(folded, key, "full").filter(known | F.col("i_seq").isNotNull())
+    return met.select(
         key,
-        *[F.when(later, F.col(f"u.{c}")).otherwise(F.col(f"i.{c}")).alias(c) for c in payload],
-        today.alias("created_at"),
-        today.alias("updated_at"),
-        F.when(gone, F.lit(INACTIVE)).otherwise(F.lit(ACTIVE)).alias("is_active"),
-    )
-    return kept.unionByName(added).select(*current.columns)
+        *[_after(c, known, updated, later) for c in payload],
+        F.when(known, F.col("created_at")).otherwise(today).alias("created_at"),
+        F.when(known & ~(updated | deleted), F.col("updated_at")).otherwise(today).alias("updated_at"),
+        F.when(known, F.when(deleted, F.lit(INACTIVE)).otherwise(F.col("is_active")))
+        .otherwise(F.when(gone, F.lit(INACTIVE)).otherwise(F.lit(ACTIVE)))
+        .alias("is_active"),
+    ).select(*current.columns)
+
+
+def _after(column: str, known: Column, updated: Column, later: Column) -> Column:
+    """A column after the changes: of the last update, the row as it was, or the first insert."""
+    old = F.when(updated, F.col(f"u.{column}")).otherwise(F.col(column))
+    new = F.when(later, F.col(f"u.{column}")).otherwise(F.col(f"i.{column}"))
+    return F.when(known, old).otherwise(new).alias(column)
 
 
 def soft_delete(current: DataFrame, ids: DataFrame, key: str, run_date: dt.date | str) -> DataFrame:
@@ -86,21 +89,13 @@ def apply_order_changes(orders: DataFrame, changes: DataFrame, run_date: dt.date
     payload = _payload(orders, key)
     # Only what follows the last delete of a key still matters, and the key starts out absent.
     deletes = changes.filter("op = 'D'").groupBy(key).agg(F.max("seq").alias("_last"))
-    live = changes.join(deletes, key, "left").filter("_last IS NULL OR seq > _last").drop("_last")
-    remaining = orders.join(deletes.select(key), key, "left_anti")
-
-    folded = _fold(live, key, payload)
+    folded = _fold(changes.join(deletes, key, "left"), key, payload, after="_last")
+    known = F.col("_known").isNotNull() & F.col("d_seq").isNull()
     updated = F.col("u_seq").isNotNull()
-    kept = remaining.join(folded, key, "left").select(
-        key,
-        *[F.when(updated, F.col(f"u.{c}")).otherwise(F.col(c)).alias(c) for c in payload],
-        F.when(updated, today).otherwise(F.col("updated_at")).alias("updated_at"),
-    )
-    inserted = unseen(folded.filter("i_seq IS NOT NULL"), remaining, key)
     later = F.coalesce(F.col("u_seq") > F.col("i_seq"), F.lit(False))
-    added = inserted.select(
+    met = orders.withColumn("_known", F.lit(1)).join(folded, key, "full").filter(known | F.col("i_seq").isNotNull())
+    return met.select(
         key,
-        *[F.when(later, F.col(f"u.{c}")).otherwise(F.col(f"i.{c}")).alias(c) for c in payload],
-        today.alias("updated_at"),
-    )
-    return kept.unionByName(added).select(*orders.columns)
+        *[_after(c, known, updated, later) for c in payload],
+        F.when(known & ~updated, F.col("updated_at")).otherwise(today).alias("updated_at"),
+    ).select(*orders.columns)

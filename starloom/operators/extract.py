@@ -60,10 +60,14 @@ def extraction_windows(runs: DataFrame, started: str, succeeded: str, first: str
 
     ``runs`` is reduced to one row per calendar day before the days are put in order.
     """
-    days = runs.groupBy(business_date(started).alias("current_date")).agg(
-        F.count("*").alias("runs"), F.max(F.col(succeeded).cast("int")).alias("_ok")
-    )
+    return windows_of_days(runs.select(business_date(started).alias("current_date"), F.col(succeeded).alias("succeeded")), first)
+
+
+def windows_of_days(runs: DataFrame, first: str = FIRST_WINDOW_START) -> DataFrame:
+    """The same for runs whose business day (``current_date``) is known; ``succeeded`` is NULL for one still to come."""
+    days = runs.groupBy("current_date").agg(F.count("*").alias("runs"), F.max(F.col("succeeded").cast("int")).alias("_ok"))
+    # One row per calendar day: small enough for one task.
     earlier = Window.partitionBy(F.lit(0)).orderBy("current_date").rowsBetween(Window.unboundedPreceding, -1)
     last_ok = F.last(F.when(F.col("_ok") == 1, F.col("current_date")), ignorenulls=True).over(earlier)
     previous = F.coalesce(last_ok, F.lit(first).cast("date"))
-    return days.select("current_date", previous.alias("previous_date"), "runs", (F.col("_ok") == 1).alias("succeeded"))
+    return days.select("current_date", previous.alias("previous_date"), "runs", F.coalesce(F.col("_ok") == 1, F.lit(False)).alias("succeeded"))

@@ -2,37 +2,41 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import key_to_date
 from ..schemas import DIMENSIONS, SERVING, STAGING
-from .rows import keep_one, unseen
+from .rows import keep_one
 from .versions import version_on
 
 FACT_COLUMNS = SERVING["fact_sales"].names
 FACT_IDENTITY = ["order_id", "product_key"]
-
+ORDER_COLUMNS = SERVING["fact_orders"].names
 
 KEYS = [*(dim.key for dim in DIMENSIONS.values()), "order_status_id"]
 
 
-def keyed_sales(
-    staged: DataFrame,
-    fact: DataFrame,
-    dims: Mapping[str, DataFrame],
-    statuses: DataFrame,
-    hot: Mapping[str, Sequence[str]] | None = None,
-) -> DataFrame:
-    """Staged rows of orders the fact does not hold yet, with every key; NULL where none is valid.
+def compared_orders(staged: DataFrame, known: DataFrame, statuses: DataFrame) -> DataFrame:
+    """The state of each staged order next to what the fact holds of it: one row per order, one join.
 
-    ``hot`` names ids that hold a large share of the rows, per id column (see ``hot_values``).
+    ``known`` has a narrow row per order in the fact (``fact_orders``). ``known_date`` is NULL for an order the fact does not
+    hold; ``moved`` says that its shipping or rejection date differs.
     """
-    rows = unseen(staged, fact, "order_id").withColumn("_ordered_on", key_to_date("order_date"))
+    held = known.select("order_id", F.col("order_date").alias("known_date"), F.col("shipped_date").alias("_s"), F.col("rejected_date").alias("_r"))
+    same = F.col("shipped_date").eqNullSafe(F.col("_s")) & F.col("rejected_date").eqNullSafe(F.col("_r"))
+    met = order_updates(staged, statuses).join(held, "order_id", "left")
+    return met.withColumn("moved", F.col("known_date").isNotNull() & F.col("order_status_id").isNotNull() & ~same).drop("_s", "_r")
+
+
+def keyed_sales(staged: DataFrame, compared: DataFrame, dims: Mapping[str, DataFrame], statuses: DataFrame) -> DataFrame:
+    """Staged rows of orders the fact does not hold yet, with every key; NULL where none is valid."""
+    held = compared.where("known_date IS NOT NULL").select("order_id")
+    rows = staged.join(held, "order_id", "left_anti").withColumn("_ordered_on", key_to_date("order_date"))
     for name, dim in DIMENSIONS.items():
-        rows = version_on(rows, dims[name], dim, "_ordered_on", "left", hot=(hot or {}).get(dim.id, ()))
+        rows = version_on(rows, dims[name], dim, "_ordered_on", "left")
     return rows.drop("_ordered_on").join(statuses, "order_status", "left")
 
 
@@ -55,25 +59,27 @@ def rejected_rows(keyed: DataFrame) -> DataFrame:
 def order_updates(staged: DataFrame, statuses: DataFrame) -> DataFrame:
     """The state of each staged order, one row per order. All lines of an order agree on it."""
     state = staged.select("order_id", "shipped_date", "rejected_date", "order_status")
-    return keep_one(state, ["order_id"]).join(statuses, "order_status").drop("order_status")
+    return keep_one(state, ["order_id"]).join(statuses, "order_status", "left").drop("order_status")
 
 
-def update_fact(fact: DataFrame, updates: DataFrame) -> DataFrame:
-    """Take over shipping, rejection and status where the shipping or rejection date has moved."""
+def update_fact(fact: DataFrame, compared: DataFrame) -> DataFrame:
+    """Take over shipping, rejection and status of the orders whose shipping or rejection date has moved."""
     state = ["shipped_date", "rejected_date", "order_status_id"]
-    new = updates.select("order_id", F.struct(*state).alias("new"))
-    moved = F.col("new").isNotNull() & ~(
-        F.col("shipped_date").eqNullSafe(F.col("new.shipped_date"))
-        & F.col("rejected_date").eqNullSafe(F.col("new.rejected_date"))
-    )
+    new = compared.where("moved").select("order_id", F.struct(*state).alias("new"))
     joined = fact.join(new, "order_id", "left")
+    moved = F.col("new").isNotNull()
     return joined.select(
-        *[F.when(moved, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) if c in state else F.col(c) for c in FACT_COLUMNS]
+        *[F.when(moved, F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) if c in state else F.col(c) for c in fact.columns]
     )
 
 
-def moved_orders(fact: DataFrame, updates: DataFrame) -> DataFrame:
-    """Fact rows whose shipping or rejection date differs from ``updates``."""
-    new = updates.select("order_id", F.col("shipped_date").alias("_shipped"), F.col("rejected_date").alias("_rejected"))
-    same = F.col("shipped_date").eqNullSafe(F.col("_shipped")) & F.col("rejected_date").eqNullSafe(F.col("_rejected"))
-    return fact.join(new, "order_id").filter(~same).select(*fact.columns)
+def update_orders(known: DataFrame, compared: DataFrame) -> DataFrame:
+    """The same for the narrow rows of the orders."""
+    new = compared.where("moved").select("order_id", F.struct("shipped_date", "rejected_date").alias("new"))
+    dates = [F.when(F.col("new").isNotNull(), F.col(f"new.{c}")).otherwise(F.col(c)).alias(c) for c in ("shipped_date", "rejected_date")]
+    return known.join(new, "order_id", "left").select("order_id", "order_date", *dates)
+
+
+def orders_of(rows: DataFrame) -> DataFrame:
+    """The narrow row of each order in some fact rows."""
+    return keep_one(rows.select(*ORDER_COLUMNS), ["order_id"])

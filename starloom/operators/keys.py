@@ -7,19 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Hex digits of the bucket: 16**3 = 4096 buckets, and as many offset rows. Raise it to 4 for
-# batches beyond some ten billion rows; the numbering depends on it, so keep it per table.
-BUCKET_DIGITS = 3
-
 
 def assign_keys(
     rows: DataFrame,
     key: str,
     identity: Sequence[str],
-    taken: DataFrame | None = None,
-    digits: int = BUCKET_DIGITS,
+    taken: int = 0,
+    digits: int = 3,
 ) -> DataFrame:
-    """Number the rows whose ``key`` is NULL from ``max(taken) + 1`` on, without gaps.
+    """Number the rows whose ``key`` is NULL from ``taken + 1`` on, without gaps. They are read twice: store them first.
 
     ``identity`` names columns that together are unique among the new rows. Rows go to
     buckets by a digest of their identity, which spreads them evenly whatever the values are;
@@ -30,13 +26,9 @@ def assign_keys(
     new = rows.filter(F.col(key).isNull()).withColumn("_bucket", F.substring(digest, 1, digits))
 
     sizes = new.groupBy("_bucket").agg(F.count("*").alias("_size"))
-    if taken is not None:
-        # The keys in use count as one more bucket, ahead of all others.
-        in_use = taken.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("_size"))
-        sizes = sizes.unionByName(in_use.withColumn("_bucket", F.lit("")))
-    # At most 16**digits + 1 rows from here on: small enough for one task and to broadcast.
+    # At most 16**digits rows from here on: small enough for one task and to broadcast.
     before = Window.partitionBy(F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    offsets = sizes.select("_bucket", (F.lit(taken) + F.coalesce(F.sum("_size").over(before), F.lit(0))).alias("_offset"))
 
     within = Window.partitionBy("_bucket").orderBy(*identity)
     numbered = (

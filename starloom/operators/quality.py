@@ -37,8 +37,9 @@ def column_violations(
 
 
 def retain_children(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
-    """Child rows whose parent still exists: the effect of a cascading delete."""
-    return child.join(parent.select(F.col(parent_column).alias(column)), column, "left_semi").select(*child.columns)
+    """Child rows whose parent still exists, or that name none: the effect of a cascading delete."""
+    there = child.join(parent.select(F.col(parent_column).alias(column)), column, "left_semi").select(*child.columns)
+    return there.unionByName(child.filter(F.col(column).isNull()))
 
 
 def rekey_children(child: DataFrame, column: str, renamed: DataFrame) -> DataFrame:

@@ -96,7 +96,8 @@ def append_dates(dim_date: DataFrame, staged: DataFrame) -> DataFrame:
     return staged.join(dim_date.select("date_key"), "date_key", "left_anti").select(*dim_date.columns)
 
 
-def add_missing_rows(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
-    """The table with those of ``rows`` whose key it lacks; safe to repeat."""
-    return table.unionByName(rows.join(table.select(key), key, "left_anti").select(*table.columns))
+def late_rows(current: DataFrame, batch: DataFrame, dim: Dimension) -> DataFrame:
+    """Batch rows not later than the open version of their id: merging them would make versions overlap."""
+    opened = current.filter(F.col("active_flag") == ACTIVE).select(dim.id, F.col("eff_date").alias("_open"))
+    return batch.join(opened, dim.id).filter("eff_date <= _open").select(*batch.columns)
 

@@ -63,26 +63,31 @@ def stage_sales(orders: DataFrame, repeated: str = "first") -> DataFrame:
     ``repeated`` says what happens to further lines of the same product in one order:
     ``"first"`` keeps one of them, ``"sum"`` adds up their quantities and amounts.
     """
-    keys = STAGING_KEYS["sales"]
     lines = orders.dropna(subset=[c for c in orders.columns if c != "shipped_date"])
     if repeated == "first":
-        lines = keep_one(lines, keys)
+        lines = keep_one(lines, STAGING_KEYS["sales"])
     elif repeated != "sum":
         raise ValueError(f"repeated must be 'first' or 'sum', not {repeated!r}")
     lines = lines.withColumns({"rejected_date": rejected_on(), **sales_measures()})
+    if repeated == "sum":
+        lines = _add_up(lines)
     dates = {c: date_key(c) for c in ("order_date", "required_date", "shipped_date", "rejected_date")}
-    staged = lines.withColumns(dates).select(*STAGING["sales"].names)
-    return _add_up(staged, keys) if repeated == "sum" else staged
+    return lines.withColumns(dates).select(*STAGING["sales"].names)
 
 
-def _add_up(staged: DataFrame, keys: list[str]) -> DataFrame:
+def _add_up(lines: DataFrame) -> DataFrame:
+    """One row per order and product: summed amounts, and the percentage that they come to, rounded.
+
+    An extract holds one state of each order, so the order's columns are part of the grouping and only numbers are aggregated.
+    """
     added = ["quantity", "discount_amount", "total_price", "total_price_with_discount"]
     kinds = {f.name: f.dataType for f in STAGING["sales"].fields}
-    once = [c for c in staged.columns if c not in keys and c not in added]
-    totals = staged.groupBy(*keys).agg(
-        *[F.sum(c).cast(kinds[c]).alias(c) for c in added], *[F.max(c).alias(c) for c in once]
-    )
-    return totals.select(*STAGING["sales"].names)
+    of_order = ["customer_id", "store_id", "staff_id", "order_date", "required_date", "shipped_date", "rejected_date", "order_status"]
+    totals = lines.groupBy(*STAGING_KEYS["sales"], *of_order).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in added])
+    # In cents, so that the division is one of whole numbers.
+    cents = "CAST(total_price * 100 AS BIGINT)"
+    percent = F.expr(f"CAST(CASE WHEN {cents} = 0 THEN 0 ELSE (CAST(discount_amount * 100 AS BIGINT) * 200 + {cents}) DIV (2 * {cents}) END AS INT)")
+    return totals.withColumn("discount_percent", percent)
 
 
 STAGE = {

@@ -2,55 +2,20 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import Dimension
 
 
-def hot_values(rows: DataFrame, columns: Sequence[str], share: float = 0.02) -> dict[str, list[str]]:
-    """Per column, the values that hold at least ``share`` of all rows: at most ``1 / share`` each."""
-    least = max(1, math.ceil(share * rows.count()))
-    pairs = rows.select(
-        F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in columns])).alias("p")
-    )
-    counts = pairs.groupBy("p.name", "p.value").count().filter(F.col("count") >= least)
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in counts.collect():  # bounded: len(columns) / share rows
-        found[row["name"]].append(row["value"])
-    return {c: sorted(v) for c, v in found.items()}
-
-
-def version_on(
-    rows: DataFrame,
-    versions: DataFrame,
-    dim: Dimension,
-    on: str,
-    how: str = "inner",
-    hot: Sequence[str] = (),
-    spread: Sequence[str] = ("order_id", "product_id"),
-    salts: int = 64,
-) -> DataFrame:
+def version_on(rows: DataFrame, versions: DataFrame, dim: Dimension, on: str, how: str = "inner") -> DataFrame:
     """Add the surrogate key of the version whose validity (both ends included) covers date ``on``.
 
-    The id is an equality key and the interval a residual condition, so Spark picks a
-    broadcast hash join when the dimension is small and a sort-merge join otherwise. For the
-    latter, ids listed in ``hot`` are spread over ``salts`` sub-keys on the fact side, and
-    only their few versions are repeated on the dimension side; no row is lost or doubled.
+    The id is an equality key and the interval a residual condition, so Spark picks a broadcast hash join when the
+    dimension is small and a sort-merge join otherwise, in which AQE splits a hot id.
     """
     side = versions.select(
         F.col(dim.id).alias("_id"), F.col(dim.key), F.col("eff_date").alias("_from"), F.col("exp_date").alias("_to")
     )
     match = (F.col(dim.id) == F.col("_id")) & F.col(on).between(F.col("_from"), F.col("_to"))
-    if hot:
-        salt = F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-        rows = rows.withColumn("_salt", F.when(F.col(dim.id).isin(*hot), salt).otherwise(0))
-        every = F.sequence(F.lit(0), F.lit(salts - 1))
-        side = side.withColumn(
-            "_piece", F.explode(F.when(F.col("_id").isin(*hot), every).otherwise(F.array(F.lit(0))))
-        )
-        match = match & (F.col("_salt") == F.col("_piece"))
-    return rows.join(side, match, how).drop("_id", "_from", "_to", "_salt", "_piece")
+    return rows.join(side, match, how).drop("_id", "_from", "_to")

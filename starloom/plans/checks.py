@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import column_violations, duplicate_keys, orphan_keys
+from ..operators.quality import column_violations, duplicate_keys, orphan_keys, retain_children
 from ..schemas import (
     FOREIGN_KEYS,
     OPERATIONAL,
@@ -21,6 +21,9 @@ from ..schemas import (
     warehouse_lengths,
 )
 
+# Parents before their children.
+TABLE_ORDER = ("stores", "staffs", "categories", "brands", "products", "customers", "order_status", "orders", "order_items", "stocks")
+
 
 def check_keys(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per primary key and unique column of the operational tables: how many values repeat, in how many rows."""
@@ -57,6 +60,19 @@ def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, [check(*key[:4]) for key in FOREIGN_KEYS if key[0] in tables and key[2] in tables])
 
 
+def follow_deletes(tables: Mapping[str, DataFrame], left: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All tables after some parents are gone: ``left`` holds what remains of those. Children follow where FOREIGN_KEYS says so,
+    parents first, so that a delete runs through all levels."""
+    out: dict[str, DataFrame] = {}
+    for name in TABLE_ORDER:
+        kept = left.get(name, tables[name])
+        for child, column, parent, parent_column, rule in FOREIGN_KEYS:
+            if child == name and rule == "cascade":
+                kept = retain_children(kept, column, out[parent], parent_column)
+        out[name] = kept
+    return out
+
+
 def check_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per operational column: rows that break NOT NULL or the length limit."""
     return _violations(tables, OPERATIONAL, OPERATIONAL_LENGTHS)
@@ -73,3 +89,20 @@ def _violations(tables: Mapping[str, DataFrame], schemas: Mapping, lengths: Mapp
         return found.withColumn("table_name", F.lit(table))
 
     return reduce(DataFrame.unionByName, [check(t) for t in schemas if t in tables])
+
+
+def never_extracted(orders: DataFrame) -> DataFrame:
+    """Orders without ``updated_at``, which no window ever reaches: how many, by status."""
+    return orders.filter(F.col("updated_at").isNull()).groupBy("order_status_id").agg(F.count("*").alias("orders"))
+
+
+def run_findings(staged: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """What a daily run checks, in one table. ``strict`` rules are those the warehouse declares; the others are only recorded."""
+    keys = check_staging_keys(staged).select("table_name", F.col("key").alias("column_name"), F.lit("unique").alias("rule"), F.col("repeated").alias("violations"))
+    columns = check_staging_columns(staged).select("table_name", "column_name", "rule", "violations")
+    # The store gives texts longer than the warehouse's narrowest columns; Spark tables keep them whole.
+    strict = keys.unionByName(columns.filter("rule <> 'length'")).withColumn("strict", F.lit(True))
+    lost = never_extracted(tables["orders"]).agg(F.coalesce(F.sum("orders"), F.lit(0)).cast("long").alias("violations"))
+    lost = lost.select(F.lit("orders").alias("table_name"), F.lit("updated_at").alias("column_name"), F.lit("never extracted").alias("rule"), "violations")
+    noted = columns.filter("rule = 'length'").unionByName(lost)
+    return strict.unionByName(noted.withColumn("strict", F.lit(False)))

@@ -10,23 +10,17 @@ from pyspark.sql import functions as F
 
 from ..operators.bootstrap import order_status_lookup
 from ..operators.extract import EXTRACTIONS
-from ..operators.fact import FACT_IDENTITY, keyed_sales, moved_orders, new_fact_rows, order_updates, update_fact
+from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fact_rows, orders_of, rejected_rows, update_fact, update_orders
 from ..operators.keys import assign_keys
 from ..operators.scd2 import append_dates, scd2_rewrite
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
-from ..operators.versions import hot_values
-from ..schemas import ACTIVE, DIMENSIONS, EXTRACT, STAGING, Dimension
+from ..schemas import ACTIVE, DIMENSIONS, KEY_DIGITS, Dimension
 from ..session import run_together
 from ..sources.warehouse import Run, Warehouse
+from . import checks
 
 OPEN_SEGMENT, CLOSED_SEGMENT = "open", "closed"
 
-# A dimension with fewer versions is left to Spark, which broadcasts it by its size or lets AQE
-# split skewed partitions. Beyond that, ids with at least this share of the sales are salted.
-SALT_FROM_VERSIONS = 1_000_000
-HOT_SHARE = 0.02
-
-
 def extract_all(run: Run, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five extracts of the run's window, written to its staging area."""
 
@@ -49,12 +43,16 @@ def stage_all(run: Run, extracts: Mapping[str, DataFrame]) -> dict[str, DataFram
 
 
 def load_dimension(run: Run, staged: DataFrame, dim: Dimension) -> None:
-    """Merge one staged dimension. Open versions are rewritten, closed ones only added to."""
-    current = run.read(dim.table)
-    merged = run.stage(f"merged_{dim.name}", scd2_rewrite(current, staged, dim))
-    numbered = assign_keys(merged, dim.key, [dim.id, "eff_date"], taken=current)
+    """Merge one staged dimension. Open versions are rewritten, closed ones only added to.
+
+    Only the versions that this batch opens are stored for numbering; the others go straight to the published table.
+    """
+    rewritten = scd2_rewrite(run.read(dim.table), staged, dim)
+    opened = run.stage(f"opened_{dim.name}", rewritten.filter(F.col(dim.key).isNull()))
+    numbered = assign_keys(opened, dim.key, [dim.id, "eff_date"], run.top_key(dim.table), KEY_DIGITS[dim.table])
     segment = F.when(F.col("active_flag") == ACTIVE, OPEN_SEGMENT).otherwise(CLOSED_SEGMENT)
-    run.publish(dim.table, numbered, segment, replaces=[OPEN_SEGMENT])
+    rows = rewritten.filter(F.col(dim.key).isNotNull()).unionByName(numbered)
+    run.publish(dim.table, rows, segment, replaces=[OPEN_SEGMENT], key=dim.key)
 
 
 def load_dates(run: Run, staged: DataFrame) -> None:
@@ -68,40 +66,56 @@ def load_statuses(run: Run) -> None:
     run.publish("dim_order_status", lacking, F.lit("all"))
 
 
-def load_fact(run: Run, staged: DataFrame, salt_from: int = SALT_FROM_VERSIONS) -> None:
-    """Insert new orders, update moved ones. Only months with a moved order are rewritten.
+def load_fact(run: Run, staged: DataFrame) -> None:
+    """Insert new orders, update moved ones. Of the fact only months with a moved order are read and rewritten.
 
-    Rows without a valid version in every dimension stay in the run's ``keyed_sales``, where
-    ``rejected_rows`` finds them.
+    What the fact holds of an order stands in ``fact_orders``. Rows without a valid version in every dimension go to the run's
+    ``rejected_sales``.
     """
-    fact, statuses = run.read("fact_sales"), run.read("dim_order_status")
+    statuses = run.read("dim_order_status")
     dims = {name: run.read(dim.table) for name, dim in DIMENSIONS.items()}
-    large = [dim.id for name, dim in DIMENSIONS.items() if dims[name].count() >= salt_from]  # from file footers
-    hot = hot_values(staged, large, HOT_SHARE) if large else {}
     month = F.substring("order_date", 1, 6)
 
-    updates = run.stage("order_updates", order_updates(staged, statuses))
-    moved = moved_orders(fact, updates).select(month.alias("month")).distinct()
+    compared = run.stage("compared_orders", compared_orders(staged, run.read("fact_orders"), statuses))
+    moved = compared.where("moved").select(F.substring("known_date", 1, 6).alias("month")).distinct()
     months = [row["month"] for row in moved.collect()]  # bounded: one row per calendar month
 
-    keyed = run.stage("keyed_sales", keyed_sales(staged, fact, dims, statuses, hot))
-    numbered = assign_keys(new_fact_rows(keyed), "sales_id", FACT_IDENTITY, taken=fact)
-    updated = update_fact(run.read("fact_sales", months), updates)
-    run.publish("fact_sales", updated.unionByName(numbered), month, replaces=months)
+    keyed = run.stage("keyed_sales", keyed_sales(staged, compared, dims, statuses))
+    new = new_fact_rows(keyed)
+    numbered = assign_keys(new, "sales_id", FACT_IDENTITY, run.top_key("fact_sales"), KEY_DIGITS["fact_sales"])
+    orders = update_orders(run.read("fact_orders", months), compared).unionByName(orders_of(new))
+    run_together(
+        [
+            lambda: run.stage("rejected_sales", rejected_rows(keyed)),
+            lambda: run.publish("fact_sales", update_fact(run.read("fact_sales", months), compared).unionByName(numbered), month, months, "sales_id"),
+            lambda: run.publish("fact_orders", orders, month, months),
+        ]
+    )
 
 
-def run_batch(
-    warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date, salt_from: int = SALT_FROM_VERSIONS
-) -> Run:
-    """One daily run over the window since the last finished run."""
+def run_batch(warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date) -> Run:
+    """One daily run over the window since the last finished run.
+
+    The staging tables are checked before anything is published: repeated keys, missing values and texts that are too
+    long end the run, with no trace but its staging area. All that it found is stored as ``quality``.
+    """
     run = warehouse.begin(*warehouse.next_window(run_date))
     staged = stage_all(run, extract_all(run, tables))
+    check_staging(run, staged, tables)
     dims: list[Callable[[], object]] = [
         lambda dim=dim: load_dimension(run, staged[dim.name], dim) for dim in DIMENSIONS.values()
     ]
     run_together([*dims, lambda: load_dates(run, staged["date"]), lambda: load_statuses(run)])
-    load_fact(run, staged["sales"], salt_from)
+    load_fact(run, staged["sales"])
     run.commit()
-    cleared = {**{f"extract_{n}": s for n, s in EXTRACT.items()}, **{f"stg_{n}": s for n, s in STAGING.items()}}
-    run_together([lambda n=n, s=s: run.clear(n, s) for n, s in cleared.items()])
+    run.clear_all(keep=["rejected_sales", "quality"])
     return run
+
+
+def check_staging(run: Run, staged: Mapping[str, DataFrame], tables: Mapping[str, DataFrame]) -> None:
+    """Store what the integrity checks find; fail on a rule that the warehouse declares."""
+    found = run.stage("quality", checks.run_findings(staged, tables))
+    broken = found.where("strict AND violations > 0").limit(20).collect()
+    if broken:
+        listed = ", ".join(f"{r.table_name}.{r.column_name}: {r.violations} x {r.rule}" for r in broken)
+        raise ValueError(f"the staging tables break rules of the warehouse: {listed}")

@@ -6,7 +6,8 @@ run it on both sides. ``{name}`` stands for a given table or for another entry o
 
 Orders start in 1995; 7670 days move them to start on 2016-01-01, the fixed first audit date.
 Every entity has a day it appears and two later days on which it is changed, deleted or merely
-touched, so that a table as of a day holds all kinds of change.
+touched, so that a table as of a day holds all kinds of change. Nearly all entities appear in the first window and change in
+the second, so that nearly every order finds a version of everything it refers to.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from ..operators.bootstrap import bootstrap_orders, order_status_lookup
 GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 # Two windows: (FIRST_START, FIRST_END] and (FIRST_END, SECOND_END].
-FIRST_START, FIRST_END, SECOND_END = dt.date(2015, 12, 31), dt.date(2016, 3, 31), dt.date(2022, 12, 31)
+FIRST_START, FIRST_END, SECOND_END = dt.date(2015, 12, 31), dt.date(2019, 12, 31), dt.date(2022, 12, 31)
 
 RAW_SQL = {
     "raw_orders": """
@@ -89,31 +90,33 @@ RAW_SQL = {
 _HISTORY_SQL = {
     "customer_days": """
         SELECT c_custkey, first_order AS appeared,
-               first_order + (c_nationkey + 1) * CASE WHEN c_nationkey < 22 THEN 30 ELSE 3000 END AS t1,
-               first_order + (c_nationkey + 1) * CASE WHEN c_nationkey < 22 THEN 30 ELSE 3000 END + 20 AS t2,
+               greatest(first_order + 30, DATE '2021-09-01' + (c_nationkey + 1) * CASE WHEN c_nationkey < 22 THEN 20 ELSE 60 END) AS t1,
+               greatest(first_order + 30, DATE '2021-09-01' + (c_nationkey + 1) * CASE WHEN c_nationkey < 22 THEN 20 ELSE 60 END) + 20 AS t2,
                c_acctbal < 3000 AS changed1, c_mktsegment = 'MACHINERY' AND c_acctbal > 8000 AS deleted1,
                c_mktsegment = 'BUILDING' AS changed2, c_mktsegment = 'FURNITURE' AND c_acctbal > 7000 AS deleted2
         FROM {customer}
         JOIN (SELECT o_custkey, min(CAST(o_orderdate AS DATE) + 7670) AS first_order
               FROM {orders} GROUP BY o_custkey) o ON c_custkey = o_custkey""",
     "product_days": """
-        SELECT p_partkey, p_retailprice, p_type, appeared, appeared + p_size * 30 AS t1, appeared + p_size * 30 + 20 AS t2
-        FROM (SELECT p_partkey, p_retailprice, p_type, p_size,
-                     CASE WHEN p_size <= 40 THEN DATE '2016-01-01' ELSE DATE '2016-01-01' + p_size * 40 END AS appeared
-              FROM {part}) p""",
+        SELECT p_partkey, p_retailprice, p_type, appeared, t1, greatest(t1 + 20, DATE '2021-10-01' + p_size * 9) AS t2
+        FROM (SELECT *, CASE WHEN p_size <= 2 THEN appeared + p_size * 30
+                             ELSE greatest(appeared + 30, DATE '2021-09-15' + p_size * 9) END AS t1
+              FROM (SELECT p_partkey, p_retailprice, p_type, p_size,
+                           CASE WHEN p_size <= 48 THEN DATE '2016-01-01' ELSE DATE '2016-01-01' + p_size * 30 END AS appeared
+                    FROM {part}) p) q""",
     "staff_days": """
-        SELECT s_suppkey, s_nationkey, s_acctbal, appeared, appeared + (s_nationkey + 1) * 40 AS t1,
-               appeared + (s_nationkey + 1) * 40 + 20 AS t2
+        SELECT s_suppkey, s_nationkey, s_acctbal, appeared, DATE '2022-03-01' + (s_nationkey + 1) * 11 AS t1,
+               DATE '2022-03-01' + (s_nationkey + 1) * 11 + 20 AS t2
         FROM (SELECT s_suppkey, s_nationkey, s_acctbal,
                      CASE WHEN s_acctbal < 8000 THEN DATE '2016-01-01'
-                          ELSE DATE '2016-01-01' + CAST(s_suppkey % 5 + 1 AS INT) * 500 END AS appeared
+                          ELSE DATE '2016-01-01' + CAST(s_suppkey % 5 + 1 AS INT) * 15 END AS appeared
               FROM {supplier}) s""",
     "store_days": """
-        SELECT n_nationkey, n_regionkey, appeared, appeared + (n_nationkey + 1) * 40 AS t1,
-               appeared + (n_nationkey + 1) * 40 + 20 AS t2
+        SELECT n_nationkey, n_regionkey, appeared, DATE '2022-03-01' + (n_nationkey + 1) * 11 AS t1,
+               DATE '2022-03-01' + (n_nationkey + 1) * 11 + 20 AS t2
         FROM (SELECT n_nationkey, n_regionkey,
                      CASE WHEN n_regionkey < 4 THEN DATE '2016-01-01'
-                          ELSE DATE '2016-01-01' + n_nationkey * 100 END AS appeared
+                          ELSE DATE '2016-01-01' + n_nationkey * 10 END AS appeared
               FROM {nation}) n""",
 }
 
@@ -171,6 +174,16 @@ AS_OF_SQL = {
 }
 
 
+# Parents that are gone: what is left of each table, for the checks of references and cascades.
+LEFT_SQL = {
+    **{n: "is_active = 'Y'" for n in ("customers", "products", "staffs", "stores")},
+    "orders": "updated_at IS NOT NULL",
+    "brands": "brand_name <> 'Brand#11'",
+    "categories": "category_name <> 'PROMO'",
+    "order_status": "order_status <> 'Rejected'",
+}
+
+
 class RetailStore:
     """The given tables of one folder, seen as raw dataset and as operational tables."""
 

@@ -1,6 +1,7 @@
 """The registered queries as plain SQL over the given tables, written apart from the operators.
 
-Only the mapping of the given tables (``given_tables``) is shared with the Spark side.
+Shared with the Spark side are the mapping of the given tables (``given_tables``) and, from ``schemas``, column names, keys and lengths.
+References are written out here.
 """
 
 from __future__ import annotations
@@ -8,7 +9,7 @@ from __future__ import annotations
 import re
 
 from ..schemas import (
-    FOREIGN_KEYS,
+    RAW,
     OPERATIONAL,
     OPERATIONAL_LENGTHS,
     PRIMARY_KEYS,
@@ -18,7 +19,7 @@ from ..schemas import (
     required_columns,
     warehouse_lengths,
 )
-from .given_tables import _HISTORY_SQL, AS_OF_SQL, FIRST_END, FIRST_START, GIVEN, RAW_SQL, SECOND_END
+from .given_tables import _HISTORY_SQL, AS_OF_SQL, FIRST_END, FIRST_START, GIVEN, LEFT_SQL, RAW_SQL, SECOND_END
 from .queries import CHANGE_DAY, CHANGES_SQL
 
 START, END1, END2, TODAY = (f"DATE '{d}'" for d in (FIRST_START, FIRST_END, SECOND_END, CHANGE_DAY))
@@ -362,6 +363,8 @@ CDC = {
                      bool_or(value > 300) AS ok FROM {{events}} GROUP BY 1) d""",
     "cascade_retain": """
         SELECT * FROM {raw_order_items} WHERE order_id IN (SELECT order_id FROM {orders_1})""",
+    "dq_never_extracted": """
+        SELECT order_status_id, count(*) AS orders FROM {orders_2} WHERE updated_at IS NULL GROUP BY order_status_id""",
     "cascade_rekey": """
         SELECT i.* REPLACE (coalesce(new_key, product_id) AS product_id)
         FROM {raw_order_items} i LEFT JOIN {renamed_products} r ON i.product_id = r.old_key""",
@@ -385,12 +388,44 @@ def _dq_keys(keys: list[tuple[str, list[str]]], state: dict[str, str]) -> str:
     )
 
 
+def _left(table: str) -> str:
+    return f"(SELECT * FROM {_STATE[table]} WHERE {LEFT_SQL[table]})" if table in LEFT_SQL else _STATE[table]
+
+
+# Fixed values, written out apart from the schemas: child, column, parent, parent's key, whether the child follows a delete.
+REFERENCES = [
+    ("staffs", "store_id", "stores", "store_id", True), ("staffs", "manager_id", "staffs", "staff_id", False),
+    ("products", "category_id", "categories", "category_id", True), ("products", "brand_id", "brands", "brand_id", True),
+    ("orders", "customer_id", "customers", "customer_id", True),
+    ("orders", "order_status_id", "order_status", "order_status_id", False),
+    ("orders", "store_id", "stores", "store_id", True), ("orders", "staff_id", "staffs", "staff_id", False),
+    ("order_items", "order_id", "orders", "order_id", True), ("order_items", "product_id", "products", "product_id", True),
+    ("stocks", "store_id", "stores", "store_id", True), ("stocks", "product_id", "products", "product_id", True),
+]
+
+
 def _dq_references() -> str:
     return " UNION ALL ".join(
         f"""SELECT '{child}' AS child, '{column}' AS child_column, '{parent}' AS parent, count(DISTINCT {column}) AS orphans,
                    count({column}) AS rows
-            FROM {_STATE[child]} WHERE {column} NOT IN (SELECT {key} FROM {_STATE[parent]})"""
-        for child, column, parent, key, _ in FOREIGN_KEYS
+            FROM {_left(child)} c WHERE {column} NOT IN (SELECT {key} FROM {_left(parent)} p)"""
+        for child, column, parent, key, _ in REFERENCES
+    )
+
+
+# What is left of each table when children have followed their parents; parents first.
+for _name in ("stores", "staffs", "categories", "brands", "products", "customers", "order_status", "orders", "order_items", "stocks"):
+    _gone = [f"{c} NOT IN (SELECT {k} FROM {{left_{p}}})" for t, c, p, k, follows in REFERENCES if t == _name and follows]
+    CTE[f"left_{_name}"] = f"SELECT * FROM {_left(_name)} t" + "".join(f" WHERE NOT coalesce({' OR '.join(_gone)}, FALSE)" for _ in _gone[:1])
+
+
+def _digests(tables: dict[str, tuple[str, list[str]]]) -> str:
+    """Per table and first byte of a row's digest: rows, smallest and largest digest. Given: source and columns of each table."""
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, substr(r, 1, 2) AS bucket, count(*) AS rows, min(r) AS low, max(r) AS high
+            FROM (SELECT md5(concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in sorted(columns))})) AS r
+                  FROM {source} s) d GROUP BY 2"""
+        for name, (source, columns) in tables.items()
     )
 
 
@@ -426,15 +461,17 @@ def _natural(name: str, source: str) -> str:
 CTE["products_again"] = _merge("products", "{dim_products_2}", "{stg_products_2}")
 CTE["products_reactivated"] = _merge("products", "{dim_products_1}", "{stg_products_2}", reactivate=True)
 
+CTE["boot_staffs"] = _constant(
+    "staff_id, first_name, last_name, email, phone, store_id, "
+    "CAST(CAST(coalesce(manager_id, 1) AS INT) AS VARCHAR) AS manager_id", "{raw_staffs}",
+)
+CTE["boot_products"] = _constant("*", "{raw_products}")
+CTE["boot_stores"] = _constant("*", "{raw_stores}")
+
 SQL: dict[str, str] = {
     **{f"extract_{n}_window": f"SELECT * FROM {{x_{n}_2}}" for n in (*ENTITIES, "orders")},
     "bootstrap_customers": "SELECT * FROM {bootstrap_customers}",
-    "bootstrap_staffs": _constant(
-        "staff_id, first_name, last_name, email, phone, store_id, "
-        "CAST(CAST(coalesce(manager_id, 1) AS INT) AS VARCHAR) AS manager_id", "{raw_staffs}",
-    ),
-    "bootstrap_products": _constant("*", "{raw_products}"),
-    "bootstrap_stores": _constant("*", "{raw_stores}"),
+    **{f"bootstrap_{n}": f"SELECT * FROM {{boot_{n}}}" for n in ("staffs", "products", "stores")},
     "bootstrap_orders": "SELECT * FROM {all_orders}",
     "order_status_lookup": """
         SELECT s.order_status_id, s.order_status, n AS orders FROM {order_status} s
@@ -444,13 +481,14 @@ SQL: dict[str, str] = {
     "stg_date": "SELECT * FROM {stg_date_all}",
     "stg_sales": "SELECT * FROM {stg_sales_all}",
     "stg_sales_summed": f"""
-        SELECT order_id, product_id, max(customer_id) AS customer_id, max(store_id) AS store_id, max(staff_id) AS staff_id,
-               max(order_date) AS order_date, max(required_date) AS required_date, max(shipped_date) AS shipped_date,
-               max(rejected_date) AS rejected_date, max(order_status) AS order_status, CAST(sum(quantity) AS INT) AS quantity,
-               max(discount_percent) AS discount_percent, CAST(sum(discount_amount) AS DECIMAL(15,2)) AS discount_amount,
-               CAST(sum(total_price) AS DECIMAL(15,2)) AS total_price,
-               CAST(sum(total_price_with_discount) AS DECIMAL(15,2)) AS total_price_with_discount
-        FROM ({_sales("{x_orders_all}", first=False)}) s GROUP BY order_id, product_id""",
+        SELECT *, CAST(CASE WHEN total_price = 0 THEN 0
+                            ELSE (CAST(discount_amount * 100 AS BIGINT) * 200 + CAST(total_price * 100 AS BIGINT))
+                                 // (2 * CAST(total_price * 100 AS BIGINT)) END AS INT) AS discount_percent
+        FROM (SELECT order_id, product_id, customer_id, store_id, staff_id, order_date, required_date, shipped_date, rejected_date,
+                     order_status, CAST(sum(quantity) AS INT) AS quantity,
+                     CAST(sum(discount_amount) AS DECIMAL(15,2)) AS discount_amount, CAST(sum(total_price) AS DECIMAL(15,2)) AS total_price,
+                     CAST(sum(total_price_with_discount) AS DECIMAL(15,2)) AS total_price_with_discount
+              FROM ({_sales("{x_orders_all}", first=False)}) s GROUP BY ALL) t""",
     **{f"scd2_{n}": _natural(n, "{dim_" + n + "_2}") for n in ENTITIES},
     "scd2_second_batch": _natural("products", "{products_again}"),
     "scd2_reactivated": _natural("products", "{products_reactivated}"),
@@ -480,9 +518,23 @@ SQL: dict[str, str] = {
     "dq_references": _dq_references(),
     "dq_columns": _dq_columns(OPERATIONAL, OPERATIONAL_LENGTHS, _STATE),
     "csv_roundtrip": "SELECT * FROM {x_orders_2}",
-    "csv_import": "SELECT * FROM {raw_products}",
-    "dataset_setup": "SELECT * FROM {bootstrap_customers}",
-    "transform_files": "SELECT * FROM {stg_sales_all}",
+    "csv_import": _digests({n: ("{raw_" + n + "}", RAW[n].names) for n in RAW}),
+    "dataset_setup": _digests(
+        {
+            "stores": ("{boot_stores}", OPERATIONAL["stores"].names), "staffs": ("{boot_staffs}", OPERATIONAL["staffs"].names),
+            "products": ("{boot_products}", OPERATIONAL["products"].names),
+            "customers": ("{bootstrap_customers}", OPERATIONAL["customers"].names),
+            "orders": ("{all_orders}", OPERATIONAL["orders"].names),
+            "order_status": ("{order_status}", OPERATIONAL["order_status"].names),
+            **{n: ("{raw_" + n + "}", OPERATIONAL[n].names) for n in ("categories", "brands", "order_items", "stocks")},
+        }
+    ),
+    # A CSV file cannot tell an empty text from a missing one.
+    "transform_files": _digests(
+        {n: ("{stg_" + n + "_all}", STAGING[n].names) for n in STAGING}
+        | {"customers": ("(SELECT * REPLACE (nullif(phone, '') AS phone) FROM {stg_customers_all})", STAGING["customers"].names)}
+    ),
+    "cascade_all": _digests({n: ("{left_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
     "parquet_roundtrip": "SELECT * FROM {stg_sales_2}",
     "staging_publish_and_clear": "SELECT *, CAST(0 AS BIGINT) AS left_in_staging FROM {stg_date_all}",
     **REPORTS,

@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
-from functools import cached_property
+from collections.abc import Callable, Mapping
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import bootstrap, cdc, extract, quality, reports
-from ..operators.fact import FACT_IDENTITY, keyed_sales, new_fact_rows, order_updates, rejected_rows, update_fact
+from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fact_rows, rejected_rows, update_fact
 from ..operators.keys import assign_keys
 from ..operators.scd2 import append_dates, scd2_merge, scd2_rewrite
 from ..operators.staging import STAGE, stage_date, stage_sales
-from ..schemas import DIMENSIONS, EXTRACT, RAW, STAGING
+from ..schemas import DIMENSIONS, EXTRACT, KEY_DIGITS, OPERATIONAL, RAW, STAGING
 from ..session import run_together, scratch_path, tune
 from ..sources.files import export_csv, extract_path, import_csv, read_csv, read_parquet, write_csv, write_parquet
 from ..sources.warehouse import Warehouse
 from . import checks
 from .daily import run_batch
-from .given_tables import FIRST_END, FIRST_START, SECOND_END, RetailStore
+from .given_tables import FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
 from .setup import load_operational_tables, prepare_dataset
 from .transform import export_extracts, staging_path, transform_day
 
@@ -192,21 +192,28 @@ def _scd2_reactivated(s: Star) -> DataFrame:
 def _customer_keys(s: Star) -> DataFrame:
     dim = DIMENSIONS["customers"]
     before = s.before(dim.table)
-    merged = scd2_rewrite(before, s.staged("customers"), dim)
-    numbered = assign_keys(merged, dim.key, [dim.id, "eff_date"], taken=before)
+    rewritten = scd2_rewrite(before, s.staged("customers"), dim)
+    opened = s._written("opened-customers", rewritten.filter(F.col(dim.key).isNull()))
+    numbered = assign_keys(opened, dim.key, [dim.id, "eff_date"], s.second_run.top_key(dim.table, seq=1), KEY_DIGITS[dim.table])
+    numbered = rewritten.filter(F.col(dim.key).isNotNull()).unionByName(numbered)
     return numbered.select(dim.key, dim.id, "eff_date", "exp_date", "active_flag")
 
 
+def _compared(s: Star) -> DataFrame:
+    return s._written("compared", compared_orders(s.staged("sales"), s.before("fact_orders"), s.after("dim_order_status")))
+
+
 def _keyed(s: Star) -> DataFrame:
-    return keyed_sales(s.staged("sales"), s.before("fact_sales"), s.dims(), s.after("dim_order_status"))
+    return s._written("keyed", keyed_sales(s.staged("sales"), _compared(s), s.dims(), s.after("dim_order_status")))
 
 
 def _fact_insert(s: Star) -> DataFrame:
-    return assign_keys(new_fact_rows(_keyed(s)), "sales_id", FACT_IDENTITY, taken=s.before("fact_sales"))
+    top = s.second_run.top_key("fact_sales", seq=1)
+    return assign_keys(new_fact_rows(_keyed(s)), "sales_id", FACT_IDENTITY, top, KEY_DIGITS["fact_sales"])
 
 
 def _fact_update(s: Star) -> DataFrame:
-    return update_fact(s.before("fact_sales"), order_updates(s.staged("sales"), s.after("dim_order_status")))
+    return update_fact(s.before("fact_sales"), _compared(s))
 
 
 # --- change capture, checks, files ------------------------------------------------------
@@ -231,6 +238,27 @@ def _etl_windows(s: Star) -> DataFrame:
     return extract.extraction_windows(runs, "ts", "ok")
 
 
+def _left(s: Star) -> dict[str, DataFrame]:
+    return {n: s.second[n].filter(what) for n, what in LEFT_SQL.items()}
+
+
+def _cascade_all(s: Star) -> DataFrame:
+    return _digests(checks.follow_deletes(s.second, _left(s)))
+
+
+def _digests(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Every row of every table, as number, smallest and largest digest of the rows in each of 256 buckets."""
+
+    def of(name: str) -> DataFrame:
+        table = tables[name]
+        row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in sorted(table.columns)]))
+        rows = table.select(row.alias("row"))
+        found = rows.groupBy(F.substring("row", 1, 2).alias("bucket")).agg(F.count("*").alias("rows"), F.min("row").alias("low"), F.max("row").alias("high"))
+        return found.select(F.lit(name).alias("table_name"), "bucket", "rows", "low", "high")
+
+    return reduce(DataFrame.unionByName, [of(n) for n in tables])
+
+
 def _cascade_retain(s: Star) -> DataFrame:
     return quality.retain_children(s.store["raw_order_items"], "order_id", s.first["orders"], "order_id")
 
@@ -249,21 +277,21 @@ def _csv_import(s: Star) -> DataFrame:
     raw = s.store.raw()
     folder = scratch_path(s.spark, "dataset")
     export_csv(raw, f"{folder}/csv")
-    return import_csv(s.spark, f"{folder}/csv", {n: RAW[n] for n in raw}, f"{folder}/tables")["products"]
+    return _digests(import_csv(s.spark, f"{folder}/csv", {n: RAW[n] for n in raw}, f"{folder}/tables"))
 
 
 def _dataset_setup(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "setup")
     export_csv(s.store.raw(), f"{folder}/dataset")
     prepare_dataset(s.spark, f"{folder}/dataset", f"{folder}/prepared")
-    return load_operational_tables(s.spark, f"{folder}/prepared", f"{folder}/tables")["customers"]
+    return _digests(load_operational_tables(s.spark, f"{folder}/prepared", f"{folder}/tables"))
 
 
 def _transform_files(s: Star) -> DataFrame:
     folder = scratch_path(s.spark, "transform")
     export_extracts(s.second, FIRST_START, SECOND_END, f"{folder}/raw", SECOND_END)
     transform_day(s.spark, f"{folder}/raw", SECOND_END, f"{folder}/processed")
-    return read_parquet(s.spark, staging_path(f"{folder}/processed", SECOND_END, "sales"), STAGING["sales"])
+    return _digests({n: read_parquet(s.spark, staging_path(f"{folder}/processed", SECOND_END, n), STAGING[n]) for n in STAGING})
 
 
 def _parquet_roundtrip(s: Star) -> DataFrame:
@@ -310,10 +338,12 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "cdc_order_changes": _order_changes,
     "etl_window_dates": _etl_windows,
     "dq_keys": lambda s: checks.check_keys(s.second),
-    "dq_references": lambda s: checks.check_references(s.second),
+    "dq_references": lambda s: checks.check_references({**s.second, **_left(s)}),
+    "dq_never_extracted": lambda s: checks.never_extracted(s.second["orders"]),
     "dq_columns": lambda s: checks.check_columns(s.second),
     "dq_staging_keys": lambda s: checks.check_staging_keys({n: s.staged(n) for n in STAGING}),
     "dq_staging_columns": lambda s: checks.check_staging_columns({n: s.staged(n) for n in STAGING}),
+    "cascade_all": _cascade_all,
     "cascade_retain": _cascade_retain,
     "cascade_rekey": _cascade_rekey,
     "csv_roundtrip": _csv_roundtrip,

@@ -190,6 +190,10 @@ SERVING = {
         rejected_date=STRING, order_status_id=INT, quantity=INT, discount_percent=INT,
         discount_amount=MONEY, total_price=MONEY, total_price_with_discount=MONEY,
     ),
+    # One narrow row per order in the fact, so that a run need not read the fact to know its orders.
+    "fact_orders": _table(
+        "order_id order_date", order_id=STRING, order_date=STRING, shipped_date=STRING, rejected_date=STRING,
+    ),
 }
 
 
@@ -232,6 +236,10 @@ DIMENSIONS = {
     ),
 }
 
+# Hex digits of the buckets in which new rows of a table are numbered: 16**3 tasks at most. For batches beyond some ten
+# billion rows give the table 4; its numbering depends on it, so it stays as it is once chosen.
+KEY_DIGITS = {**{d.table: 3 for d in DIMENSIONS.values()}, "fact_sales": 3}
+
 # Constraints, checked by jobs in operators.quality because parquet enforces none of them.
 PRIMARY_KEYS = {
     "stores": ["store_id"], "staffs": ["staff_id"], "categories": ["category_id"],

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -21,8 +23,6 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-_local_scratch: dict[str, str] = {}
-
 
 def build_session(app: str = "starloom", master: str | None = None, **settings: str) -> SparkSession:
     """A session with the settings above. ``settings`` uses ``__`` for the dots in a name."""
@@ -44,17 +44,15 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without it; it then gets a temporary folder.
+    Only a session of a single machine may go without it; it then gets a folder of its own there.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if context.applicationId not in _local_scratch:
-        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="run-")
-    return _local_scratch[context.applicationId]
+    return os.path.join(tempfile.gettempdir(), f"starloom-{context.applicationId}")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

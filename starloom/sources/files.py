@@ -8,7 +8,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schemas import STAGING_RECORDS_PER_FILE
 from ..session import run_together
 
 
@@ -45,16 +44,16 @@ def read_parquet(spark: SparkSession, path: str | Sequence[str], schema: T.Struc
 
 
 def write_parquet(
-    df: DataFrame, path: str, sort: Sequence[str] = (), records_per_file: int = STAGING_RECORDS_PER_FILE
+    df: DataFrame, path: str, sort: Sequence[str] = (), records_per_file: int | None = None
 ) -> None:
-    """Parquet, replacing what is there, one or more files per task with a bounded row count.
+    """Parquet, replacing what is there. ``records_per_file`` bounds the rows of a file, as the staging outputs ask.
 
     The tasks are those of the plan: AQE has sized them after a shuffle, the scan otherwise, so
     the rows are not moved once more for the write. ``sort`` orders rows inside each file, which
     is what readers gain from (row-group statistics).
     """
     rows = df.sortWithinPartitions(*sort) if sort else df
-    rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file).parquet(path)
+    rows.write.mode("overwrite").option("maxRecordsPerFile", records_per_file or 0).parquet(path)
 
 
 def import_csv(spark: SparkSession, folder: str, schemas: Mapping[str, T.StructType], target: str) -> dict[str, DataFrame]:

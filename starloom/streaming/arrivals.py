@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.scd2 import late_rows
 from ..operators.staging import STAGE
 from ..plans.daily import load_dimension
 from ..schemas import DIMENSIONS, EXTRACT
@@ -31,7 +32,10 @@ def dimension_loader(warehouse: Warehouse, name: str) -> Callable[[DataFrame, in
             if warehouse.has_run(job, run_id):
                 continue
             run = warehouse.begin(day - dt.timedelta(days=1), day, job, run_id)
-            load_dimension(run, run.stage(f"stg_{name}", stage(rows.filter(F.col("updated_at") == day))), dim)
+            staged = run.stage(f"stg_{name}", stage(rows.filter(F.col("updated_at") == day)))
+            # Rows not later than the open version would make versions overlap: they are listed, not merged.
+            late = run.stage(f"late_{name}", late_rows(run.read(dim.table), staged, dim))
+            load_dimension(run, staged.join(late.select(dim.id), dim.id, "left_anti"), dim)
             run.commit()
 
     return load

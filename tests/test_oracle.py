@@ -6,9 +6,10 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry
+from starloom.plans import oracle, queries as registry
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-SQL = entry.oracle_sql()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,10 +18,11 @@ def duck():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(registry.registered()) == set(SQL)
+    assert set(SQL) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query(spark, duck, name):
     assert differences(entry.queries()[name](spark, FOLDER), duck, SQL[name]) == []
 
