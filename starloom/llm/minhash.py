@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import sys
 from collections.abc import Iterable, Iterator
 from itertools import groupby
 
@@ -31,8 +32,8 @@ from .stored import stored, tasks_for
 BANDS, ROWS = 36, 5
 #: Hashes compared, in batches, by their lowest byte; the chance that a wrongly dropped pair reaches the threshold, for each batch.
 COMPARED, BATCH, MISS = BANDS * ROWS, 36, 2e-5
-#: Members of a tile on each side.
-TILE = 256
+#: Members of a tile on each side; partners that a tile names of each member at first, before it names all.
+TILE, NAMED = 1024, 4
 #: Pairs of a task, about: when bytes are compared, and when whole texts are.
 PAIRS, TEXTS = 20_000, 500
 PIECE_BYTES = 4 << 20
@@ -232,9 +233,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         alive = stored(_survivors(pairs, classes, threshold), "survivors", tasks_for(pairs.count(), PAIRS))
         return stored(_confirmed(alive, classes, docs, id_column, text, width, percent), "confirmed", tasks_for(alive.count(), TEXTS))
 
-    links, most = confirmed(tried), 16
-    while True:
-        found = stored(components(links), "components")
+    links = confirmed(tried)
+    found = stored(components(links), "components")
+    for most in (NAMED, sys.maxsize):
         # Buckets of two are done with their hub; larger ones go on while they hold several components.
         larger = members.where("n > 2").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
         split = larger.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
@@ -244,9 +245,10 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         if not new.isEmpty():
             links = links.unionByName(confirmed(new))
             tried = tried.unionByName(new)
-        elif named.where("NOT whole").isEmpty():
+            found = stored(components(links), "components")
+        # When all pairs have been named, joining components leaves none that is new.
+        if named.where("NOT whole").isEmpty():
             break
-        most *= 16
 
     homes = classes.select("digest", "first_id", "source").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = homes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("source").alias("first"))
