@@ -152,7 +152,8 @@ _BLOCKS = "data binary, train_texts bigint, top array<struct<word:binary,n:bigin
 
 def _counted(docs: DataFrame, id_column: str, text: str, held_out) -> DataFrame:
     """Blocks of coded texts with the training count of each word, and rows of what the parts know of all words."""
-    parts = part_count(docs.sparkSession)
+    # Each part gives its most frequent words: few parts, few of those.
+    parts = part_count(docs.sparkSession, each=1)
     given = docs.select(F.col(id_column).cast("bigint").alias("id"), (~held_out).alias("train"), F.col(text).alias("text"))
     types = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])), pa.list_(pa.struct([("g", pa.int32()), ("tokens", pa.int64()), ("words", pa.int64())]))
 
