@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes, bounds, by_size, shingles, word_hashes
+from .arrays import as_bytes, bounds, by_size, mix, shingles, word_hashes
 
 STEP, THRESHOLD, REST = 32, 0.5, 0.25
 WIDTH, OVERLAP = 5, 0.8
@@ -88,6 +88,9 @@ class ItemIndex:
         self.essential[order] = below > REST
         questions, answers = zip(*map(split_item, texts)) if texts else ((), ())
         self.parts = {n: shingles(*words_of(pa.array(t, pa.string())), WIDTH) for n, t in (("whole", texts), ("question", questions), ("answer", answers))}
+        # Lengths of an item's parts that are shorter than a run.
+        sizes = np.stack([np.diff(words_of(pa.array(t, pa.string()))[1]) for t in (texts, questions, answers)], axis=1)
+        self.short = [sorted({int(n) for n in row if 0 < n < WIDTH}) for row in sizes]
         common = np.zeros(1 << 16, bool)
         common[(self.terms & np.uint64(0xFFFF)).astype(np.int64)] = True
         self._maybe = common
@@ -189,10 +192,11 @@ def found_in(index: ItemIndex, texts: pa.Array) -> list[tuple[int, int, float, f
         for item, score in index.block_max_wand(np.unique(asked[asked >= 0])):
             reach = int(index.size[item]) + WIDTH
             a, b = max(int(at[i]), start - reach), min(int(at[i + 1]), stop + reach)
-            near, _ = shingles(words[a:b], np.array([0, b - a]), WIDTH)
-            if index.size[item] < WIDTH:
-                near = shingles(words[a:b], np.array([0, b - a]), max(1, int(index.size[item])))[0]
-            o = index.overlaps(item, near)
+            here = np.array([0, b - a])
+            near = [shingles(words[a:b], here, WIDTH)[0]]
+            # A part with fewer words is one run, marked by its length.
+            near += [mix(shingles(words[a:b], here, n)[0] + np.uint64(1 + n)) for n in index.short[item] if n <= b - a]
+            o = index.overlaps(item, np.concatenate(near))
             if o["whole"] >= OVERLAP or min(o["question"], o["answer"]) >= OVERLAP:
                 best[i, item] = max(best.get((i, item), ()), (o["whole"], score, o["question"], o["answer"]))
     return [(i, item, score, q, a, whole) for (i, item), (whole, score, q, a) in best.items()]
