@@ -153,9 +153,12 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
 def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
     """Candidate pairs (a, b, whole) across components of the same bucket: the ``most`` best partners of each member in each tile.
 
-    ``members``: bucket, band, digest, component, compared. ``whole`` is false where a tile held more than it names.
+    ``members``: bucket, digest, component, compared, and earlier: the buckets of the bands before this one. Without ``earlier`` a pair is named
+    in every bucket that it shares. ``whole`` is false where a tile held more than it names.
     """
     steps = least_matches(threshold)
+    if "earlier" not in members.columns:
+        members = members.withColumn("earlier", F.array().cast("array<bigint>"))
     sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
     # Members of a bucket's largest component meet only the others; the others meet everyone.
@@ -167,27 +170,29 @@ def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
     with_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda u: row("m", F.col("own"), u))
     as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda u: row("m", u, F.col("own")))
     dealt = spot.where("others > 0").withColumn("tile", F.explode(F.when(F.col("main"), as_main).otherwise(F.concat(among, with_main))))
-    keyed = dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "band", "main", "digest", "component", "compared")
+    keyed = dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "earlier", "main", "digest", "component", "compared")
 
     def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
-                yield from zip(*(c.to_pylist() for c in batch.columns))
+                lists = batch.column("earlier")
+                values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                earlier = [values[a:b] for a, b in zip(at[:-1], at[1:])]
+                yield from zip(batch.column("tile").to_pylist(), earlier, *(c.to_pylist() for c in batch.columns[2:]))
 
         for _, some in groupby(rows(), key=lambda r: r[0]):
             some = list(some)
-            band, main = some[0][1], np.array([r[2] for r in some])
+            earlier, main = np.stack([r[1] for r in some]), np.array([r[2] for r in some])
             names, homes = [r[3] for r in some], np.unique([r[4].hex() for r in some], return_inverse=True)[1]
             seen = np.frombuffer(b"".join(r[5] for r in some), np.uint8).reshape(-1, COMPARED)
-            bands = seen.reshape(len(some), BANDS, ROWS)[:, :band]
             out: dict[tuple[bytes, bytes], bool] = {}
             for i in range(len(some)):
                 if main[i]:
                     continue
                 at = np.flatnonzero((homes != homes[i]) & (main | (np.arange(len(some)) > i)))
                 alive, matches = go_on(np.broadcast_to(seen[i], (len(at), COMPARED)), seen[at], steps)
-                # A pair that shares an earlier band is compared in that one's bucket.
-                first = ~(bands[i] == bands[at[alive]]).all(axis=2).any(axis=1)
+                # A pair that shares an earlier bucket is compared there.
+                first = ~(earlier[i] == earlier[at[alive]]).any(axis=1)
                 alive, matches = alive[first], matches[first]
                 order = np.argsort(-matches, kind="stable")
                 for j in at[alive[order[:most]]]:
@@ -239,7 +244,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         # Buckets of two are done with their hub; larger ones go on while they hold several components.
         larger = members.where("n > 2").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
         split = larger.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "compared"), "digest").select("bucket", "band", "digest", "component", "compared")
+        still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "bands", "compared"), "digest")
+        still = still.select("bucket", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"), "digest", "component", "compared")
         named = stored(_tiles(still, most, threshold), "named")
         new = stored(named.select("a", "b").join(tried, ["a", "b"], "left_anti"), "new", tasks_for(named.count(), PAIRS))
         if not new.isEmpty():

@@ -83,6 +83,17 @@ def test_tiles_name_every_link_between_components(spark):
     assert not all(r.whole for r in minhash._tiles(members, 2, 0.8).collect())
 
 
+def test_tiles_leave_out_a_pair_only_where_it_met_in_an_earlier_bucket(spark):
+    # All lowest bytes agree; only the buckets tell whether the pair has met.
+    same = bytes(minhash.COMPARED)
+    rows = [(bucket, 1, bytes([bucket, i]), bytes([i]), same, [earlier[i]]) for bucket, earlier in ((1, (5, 6)), (2, (7, 7))) for i in range(2)]
+    members = spark.createDataFrame(
+        [(b, k, bytearray(d), bytearray(c), bytearray(x), e) for b, k, d, c, x, e in rows],
+        "bucket bigint, band int, digest binary, component binary, compared binary, earlier array<bigint>",
+    )
+    assert [(bytes(r.a), bytes(r.b)) for r in minhash._tiles(members, 4, 0.8).collect()] == [(b"\1\0", b"\1\1")]
+
+
 def test_bayesian_limits_keep_what_reaches_the_threshold():
     rng = np.random.default_rng(0)
     steps = minhash.least_matches(0.8)
