@@ -31,7 +31,7 @@ from .stored import stored, tasks_for
 
 BANDS, ROWS = 36, 5
 #: Hashes compared, in batches, by their lowest byte; the chance that a wrongly dropped pair reaches the threshold, for each batch.
-COMPARED, BATCH, MISS = BANDS * ROWS, 36, 2e-5
+COMPARED, BATCH, MISS = BANDS * ROWS, 36, 1e-6
 #: Members of a tile on each side; partners that a tile names of each member at first, before it names all.
 TILE, NAMED = 1024, 4
 #: Pairs of a task, about: when bytes are compared, and when whole texts are.

@@ -107,6 +107,18 @@ def test_bayesian_limits_keep_what_reaches_the_threshold():
     assert share_that_goes_on(0.5) < 0.01
 
 
+def test_a_link_at_the_threshold_is_hardly_ever_dropped():
+    # Exactly, over all batches: the chance that the matches of a pair of similarity 0.8 fall below a limit.
+    chance, lost, before = np.ones(1), 0.0, 0
+    t = 0.8 + 0.2 / 256
+    for n, least in minhash.least_matches(0.8):
+        for _ in range(n - before):
+            chance = np.append(chance * (1 - t), 0) + np.append(0, chance * t)
+        lost += chance[:least].sum()
+        chance[:least], before = 0, n
+    assert lost < 1e-5
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(k, k + 1) for k in range(400, 460)] + [(500, k) for k in range(501, 560)] + [(7, 7)]
