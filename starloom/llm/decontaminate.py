@@ -7,7 +7,8 @@ words; each is a query. Scores are shares of what an item would score against it
    for all passages at once, leave out the passages that cannot reach the threshold with any item.
 2. The others search the index by block-max WAND: posting lists in order of items, with the largest impact of each list and of each
    block of it; all items at or above the threshold come out.
-3. An item is found if its words stand near the passage: OVERLAP of the runs of WIDTH words of question and of answer, or of the item as a whole.
+3. An item is found if its words stand anywhere in the document: OVERLAP of the runs of WIDTH words of question and of answer, or of the item as
+   a whole.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes, bounds, by_size, mix, shingles, word_hashes
+from .arrays import as_bytes, bounds, by_size, distinct, mix, shingles, word_hashes
+from .stored import stored
 
 STEP, THRESHOLD, REST = 32, 0.5, 0.25
 WIDTH, OVERLAP = 5, 0.8
@@ -55,18 +57,26 @@ def split_item(text: str) -> tuple[str, str]:
 
 
 class ItemIndex:
-    """Inverted index of some items: impacts as shares of an item's own score, in blocks with their maxima."""
+    """Inverted index of some items: impacts as shares of an item's own score, in blocks with their maxima.
 
-    def __init__(self, ids: list, texts: list[str], step: int = STEP):
+    ``every``: of all items, if these are a part of them, how many there are, their mean length, and of each term here how many hold it.
+    """
+
+    def __init__(self, ids: list, texts: list[str], step: int = STEP, every: tuple[int, float, dict[int, int]] | None = None):
         words, at = words_of(pa.array(texts, pa.string()))
         self.ids, self.size = ids, np.diff(at)
         item = np.repeat(np.arange(len(ids)), self.size)
         pairs, tf = np.unique(np.stack([words, item.astype(np.uint64)]), axis=1, return_counts=True)
         self.terms, term = np.unique(pairs[0], return_inverse=True)
         item = pairs[1].astype(np.int64)
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((len(ids) - df + 0.5) / (df + 0.5))
-        length = self.size / max(1e-9, self.size.mean()) if len(ids) else self.size
+        if every:
+            count, mean, holding = every
+            df = np.array([holding[t] for t in self.terms.view(np.int64).tolist()], np.int64)
+        else:
+            count, mean = len(ids), self.size.mean() if len(ids) else 1.0
+            df = np.bincount(term, minlength=len(self.terms))
+        idf = np.log1p((count - df + 0.5) / (df + 0.5))
+        length = self.size / max(1e-9, mean)
         impact = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item]))
         # A passage covers that part of an item at least, wherever it starts.
         n = np.maximum(self.size, 1)
@@ -172,7 +182,7 @@ class ItemIndex:
 
 
 def found_in(index: ItemIndex, texts: pa.Array) -> list[tuple[int, int, float, float, float, float]]:
-    """(text, item, score, and overlaps of question, answer and whole), once for each text and item: at the best overlap."""
+    """(text, item, score, and overlaps of question, answer and whole), once for each text and item: at the best passage's score."""
     words, at = words_of(texts)
     term = index.term_numbers(words)
     sizes = np.diff(at)
@@ -183,38 +193,64 @@ def found_in(index: ItemIndex, texts: pa.Array) -> list[tuple[int, int, float, f
     text = np.searchsorted(at, known, side="right") - 1
     segment = first[text] + (known - at[text]) // STEP
     follows = np.append(text_of[1:] == text_of[:-1], False)[: len(text_of)]
-    best: dict[tuple[int, int], tuple] = {}
+    best: dict[int, dict[int, float]] = {}
     for s in index.passages_that_may_reach(term[known], segment, int(first[-1]), follows).tolist():
         i = int(text_of[s])
         start = int(at[i]) + (s - int(first[i])) * STEP
         stop = min(start + 2 * STEP, int(at[i + 1]))
         asked = term[start:stop]
         for item, score in index.block_max_wand(np.unique(asked[asked >= 0])):
-            reach = int(index.size[item]) + WIDTH
-            a, b = max(int(at[i]), start - reach), min(int(at[i + 1]), stop + reach)
-            here = np.array([0, b - a])
-            near = [shingles(words[a:b], here, WIDTH)[0]]
+            scores = best.setdefault(i, {})
+            scores[item] = max(scores.get(item, 0.0), score)
+    out = []
+    for i, scores in best.items():
+        text, here = words[at[i] : at[i + 1]], np.array([0, sizes[i]])
+        runs = {WIDTH: np.unique(shingles(text, here, WIDTH)[0])}
+        for item, score in scores.items():
             # A part with fewer words is one run, marked by its length.
-            near += [mix(shingles(words[a:b], here, n)[0] + np.uint64(1 + n)) for n in index.short[item] if n <= b - a]
-            o = index.overlaps(item, np.concatenate(near))
+            short = [n for n in index.short[item] if n <= sizes[i]]
+            for n in short:
+                if n not in runs:
+                    runs[n] = np.unique(mix(shingles(text, here, n)[0] + np.uint64(1 + n)))
+            o = index.overlaps(item, np.concatenate([runs[n] for n in (WIDTH, *short)]))
             if o["whole"] >= OVERLAP or min(o["question"], o["answer"]) >= OVERLAP:
-                best[i, item] = max(best.get((i, item), ()), (o["whole"], score, o["question"], o["answer"]))
-    return [(i, item, score, q, a, whole) for (i, item), (whole, score, q, a) in best.items()]
+                out.append((i, item, score, o["question"], o["answer"], o["whole"]))
+    return out
 
 
 _FOUND = "item_id bigint, score double, question_overlap double, answer_overlap double, overlap double"
 
 
 def indexes(items: DataFrame, id_column: str = "item_id", text: str = "text") -> Iterator[ItemIndex]:
-    """Indexes of all items, each of bounded size. Items without words are left out; the same text twice is two items."""
+    """Indexes of all items, each of bounded size; scores are those of one index of all. Items without words are left out; the same text twice is
+    two items.
+    """
     kept = items.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text")).where("text IS NOT NULL")
     count, size = kept.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     shards = max(1, -(-2 * count // INDEX_ITEMS), -(-2 * size // INDEX_BYTES))
+    kept = kept.withColumn("shard", F.pmod(F.xxhash64("text", "id"), F.lit(shards)).cast("int"))
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in by_size(batch, "text", PIECE_BYTES):
+                words, at = words_of(piece.column("text"))
+                each, each_at = distinct(words, at)
+                listed = pa.ListArray.from_arrays(pa.array(each_at, pa.int32()), pa.array(each.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([piece.column("shard"), pa.array(np.diff(at), pa.int64()), listed], ["shard", "size", "words"])
+
+    if shards > 1:
+        said = stored(kept.select("shard", "text").mapInArrow(task, "shard int, size bigint, words array<bigint>").where("size > 0"), "item-words")
+        many, words = said.agg(F.count(F.lit(1)), F.sum("size")).first()
+        terms = said.select("shard", F.explode("words").alias("word"))
+        holding = stored(terms.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "item-terms")
     for shard in range(shards):
-        own = kept.where(F.pmod(F.xxhash64("text", "id"), F.lit(shards)) == shard).orderBy("id", "text").collect()
+        own = kept.where(F.col("shard") == shard).orderBy("id", "text").collect()
         own = [r for r in own if len(words_of(pa.array([r.text]))[0])]
+        every = None
+        if own and shards > 1:
+            every = many, words / many, dict(map(tuple, holding.join(terms.where(F.col("shard") == shard), "word", "left_semi").collect()))
         if own:
-            yield ItemIndex([r.id for r in own], [r.text for r in own])
+            yield ItemIndex([r.id for r in own], [r.text for r in own], every=every)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:

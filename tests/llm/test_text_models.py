@@ -158,6 +158,27 @@ def test_benchmark_items_in_awkward_texts(spark):
     assert decontaminate.contaminated(docs.limit(0), items).count() == 0
 
 
+def test_items_that_stand_apart_in_a_document(spark):
+    say = lambda name, n: " ".join(f"{name}{k}" for k in range(n))
+    items = spark.createDataFrame([(1, say("ask", 20) + "? " + say("told", 10) + "."), (2, say("long", 60))], "item_id bigint, text string")
+    two = say("long", 60).split()
+    texts = [(1, f"{say('ask', 20)} {say('x', 400)} {say('told', 10)}"), (2, " ".join([*two[:32], say("y", 300), *two[32:]])), (3, f"{say('ask', 20)} {say('x', 400)}")]
+    found = decontaminate.contaminated(spark.createDataFrame(texts, "doc_id bigint, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (2, 2)}
+
+
+def test_scores_do_not_depend_on_the_number_of_indexes(spark, monkeypatch):
+    items = [(i, " ".join(f"w{(7 * i + k * k) % 90}" for k in range(12 + i))) for i in range(20)] + [(20, "")]
+    items = spark.createDataFrame(items, "item_id bigint, text string").coalesce(1)
+    docs = items.select(F.col("item_id").alias("doc_id"), F.concat(F.lit("before "), F.regexp_replace("text", " [^ ]+$", "")).alias("text"))
+    found = lambda: sorted(decontaminate.contaminated(docs, items).collect(), key=lambda r: (r.doc_id, r.item_id))
+    whole = found()
+    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 12)
+    split = found()
+    assert [(r.doc_id, r.item_id) for r in split] == [(r.doc_id, r.item_id) for r in whole]
+    assert [r.score for r in split] == pytest.approx([r.score for r in whole])
+
+
 def test_block_max_wand_finds_all_above_the_threshold(spark):
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect()]
     index = decontaminate.ItemIndex(list(range(len(texts))), texts)
