@@ -148,10 +148,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
     seen = sample.select("id", "quality", "toxic", "text").mapInArrow(task, f"id {kind}, quality int, toxic int, measures binary, words binary")
     # Documents that share an id could be many: the bound holds for them as well.
     got = seen.orderBy("id", "quality", "toxic", F.xxhash64("words", "measures")).limit(rows).collect()
-    # Copies would make all their words look telling: of documents with the same three smallest word hashes the first stands for all.
+    # Copies would make all their words look telling: of documents with the same set of words the first stands for all.
     first = {}
     for r in got:
-        first.setdefault((r.quality, r.toxic, *np.sort(np.frombuffer(r.words, np.uint64))[:3].tolist()), r)
+        first.setdefault((r.quality, r.toxic, bytes(r.words)), r)
     got, heads = list(first.values()), {}
     for name, column in (("good", "quality"), ("toxic", "toxic")):
         own = [r for r in got if r[column] is not None]

@@ -212,6 +212,19 @@ def test_quality_on_held_out_labels(spark):
     assert np.mean(bad) < 0.03
 
 
+def test_only_copies_are_left_out_of_the_fit(spark):
+    import pyarrow as pa
+
+    # Three frequent words with the smallest hashes are in every text; the others differ. The last text is a copy of the one before.
+    words = sorted((f"w{k}" for k in range(200)), key=lambda w: quality.vocabulary(pa.array([w]))[0][0])
+    texts = [" ".join([*words[:3], *words[a : a + 20]]) for a in (10, 40, 70, 100, 100)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    labels = spark.createDataFrame([(0, 1, 0), (1, 1, 0), (2, 1, 0), (3, 0, 0), (4, 0, 0)], "doc_id bigint, quality int, toxic int")
+    heads = quality.fit(docs, labels)
+    assert heads["good"].prior == pytest.approx(3.5 / 5)
+    assert heads["toxic"].prior == pytest.approx(0.5 / 5)
+
+
 def test_quality_of_awkward_texts(spark):
     docs = awkward(spark)
     labels = spark.createDataFrame([(8, 1, 0), (10, None, 0), (14, 0, None), (14, 0, 1), (None, 1, 1), (999, 1, 1), (3, 1, 0)], "doc_id bigint, quality int, toxic int")
