@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from frames import FOLDER, awkward, given, rows_of
+from documents_by_hand import FOLDER, awkward, given, rows_of
 
 from starloom.llm import minhash, queries, suffix_dedup
 from starloom.llm.components import components

@@ -5,7 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from frames import FOLDER, awkward, given, rows_of
+from documents_by_hand import FOLDER, awkward, given, rows_of
 from tokenizers import Tokenizer
 
 from starloom.llm import bpe, queries, token_files

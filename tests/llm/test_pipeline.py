@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from frames import FOLDER, awkward, given
+from documents_by_hand import FOLDER, awkward, given
 from test_duplicates import near_by_hand
 from test_encoding import encoded, little
 from test_text_models import shingles_by_hand, spans_by_hand

@@ -5,7 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
-from frames import FOLDER, awkward, given, rows_of
+from documents_by_hand import FOLDER, awkward, given, rows_of
 from pyspark.sql import functions as F
 
 from starloom.llm import decontaminate, language_model, quality, queries, secrets, trie_counts
