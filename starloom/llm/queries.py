@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontaminate, kd_search, language_model, minhash, quality, secrets, suffix_dedup, token_files, trie_counts
+from . import bpe, centroids, decontaminate, importance, kd_search, language_model, minhash, quality, secrets, suffix_dedup, token_files, trie_counts, url_filter
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -88,9 +88,26 @@ def op10_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page's verdict, by the fixed rules or by trees fitted to the labelled pages."""
+    pages = table(spark, folder, "pages")
+    model = url_filter.fit(url_filter.labelled_pages(pages, table(spark, folder, "labels")))
+    return url_filter.judged(pages, url_filter.RULES, model, ["page_id"])
+
+
+def op12_importance(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's weight toward the benchmark's texts, and the rank of those drawn."""
+    return importance.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Every kept vector's cluster after five rounds."""
+    return centroids.clustered(table(spark, folder, "embeddings"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_minhash, op2_token_files, op3_trie_counts, op4_language_model, op5_secrets, op6_quality, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe)}
+    return {f.__name__: f for f in (op1_minhash, op2_token_files, op3_trie_counts, op4_language_model, op5_secrets, op6_quality, op7_decontaminate, op8_suffix_dedup, op9_kd_search, op10_bpe, op11_url_filter, op12_importance, op13_centroids)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_kd_search": kd_search.SQL}
+    return {"op9_kd_search": kd_search.SQL, "op13_centroids": centroids.sql()}
