@@ -1,24 +1,28 @@
 """Exact search for the largest inner products, by KD-trees over shards of the vectors.
 
-Vectors are dealt into shards by a digest, queries into blocks. A task holds one shard and one block of queries. It builds
-the shard's tree: median splits of the widest axis, and for every node the tight box around its vectors. For a query q the
-box bounds every score inside: sum over axes of max(q*lo, q*hi). The nodes are opened best first, until the best bound is
-below the k-th score found. A first round searches one shard for each query; its k-th score is where the others start from.
+Vectors are dealt into shards by a digest. A task takes one shard's vectors, which are few, and builds their tree: median splits of
+the widest axis, and for every node the tight box around its vectors. The queries sent to that shard then stream by the tree, some at a time. For a
+query q the box bounds every score inside: sum over axes of max(q*lo, q*hi). The nodes are opened best first, until the best bound is
+below the k-th score found. A first round searches a query's own shard; its k-th score is where the others start from. A vector is shuffled once
+in each round, whatever the number of queries; only queries are copied.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Vectors in a leaf, in a shard, and queries in a block, about.
-LEAF, SHARD_ROWS, QUERY_ROWS = 128, 8192, 2048
+from .arrays import own_rows
+from .stored import stored, tasks_for
+
+#: Vectors in a leaf, in a shard, and queries that pass a tree together, about.
+LEAF, SHARD_ROWS, QUERY_ROWS = 128, 8192, 512
 _EXACT_DOUBLE = 1 << 53
 _LONG = (1 << 63) - 1
 
@@ -77,28 +81,40 @@ def _exact(*arrays: np.ndarray) -> list[np.ndarray]:
     return [a.astype(kind) for a in arrays]
 
 
-def _matrix(column: pa.ChunkedArray, rows: int) -> np.ndarray:
-    flat = pa.concat_arrays(column.chunks).flatten() if column.num_chunks else pa.array([], pa.int64())
-    return np.asarray(flat, np.int64).reshape(rows, -1)
+def _stopped(scores: np.ndarray) -> np.ndarray:
+    """Exact scores of any size, stopped at the ends of a long."""
+    return np.maximum(np.minimum(scores, _LONG), -_LONG - 1) if scores.dtype == object else scores
+
+
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    return np.asarray(column.flatten(), np.int64).reshape(len(column), dim)
+
+
+def search_shard(vectors: pa.RecordBatch, queries: pa.RecordBatch, dim: int, k: int, trees: dict[str, KdTree]) -> pa.RecordBatch:
+    """The k best of the shard's vectors for each query, each with its number of copies, the query's own row left out once.
+
+    ``trees`` keeps the shard's tree; there is more than one only if some queries have components too large for its kind of numbers.
+    """
+    points, asked = _exact(_matrix(vectors["v"], dim), _matrix(queries["v"], dim))
+    if points.dtype.str not in trees:
+        trees[points.dtype.str] = KdTree(points)
+    return _searched(trees[points.dtype.str], vectors, queries, asked, k)
 
 
-def search_shard(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The k best of the vectors for each query, each with its number of copies, the query's own row left out once."""
-    points, asked = _exact(_matrix(vectors["v"], vectors.num_rows), _matrix(queries["v"], queries.num_rows))
-    tree = KdTree(points)
-    ids = vectors["id"].combine_chunks()
+def _searched(tree: KdTree, vectors: pa.RecordBatch, queries: pa.RecordBatch, asked: np.ndarray, k: int) -> pa.RecordBatch:
+    ids = vectors["id"]
     missing = np.asarray(ids.is_null(), bool)[tree.order]
     id_at = np.asarray(ids.fill_null(0), np.int64)[tree.order]
     copies = np.asarray(vectors["copies"], np.int64)[tree.order]
     floor = queries["kth"].to_pylist()
     out: dict[str, list] = {"query": [], "id": [], "score": [], "copies": []}
-    bounds = tree.bounds(asked)
+    bounds = _stopped(tree.bounds(asked))
     for row, query_id in enumerate(queries["id"].to_pylist()):
-        q, found, kth = asked[row], [], -_LONG if floor[row] is None else floor[row]
+        q, found, kth = asked[row], [], -_LONG - 1 if floor[row] is None else floor[row]
         for bound, a, b in tree.best_first(bounds[row]):
             if bound < kth:
                 break
-            scores = tree.ordered[a:b] @ q
+            scores = _stopped(tree.ordered[a:b] @ q)
             at = np.flatnonzero(scores >= kth)
             if len(at) > k + 1:
                 cut = np.partition(scores[at], len(at) - k - 1)[len(at) - k - 1]
@@ -120,22 +136,53 @@ def search_shard(vectors: pa.Table, queries: pa.Table, k: int) -> pa.Table:
         for score, no_id, vec_id, n in found:
             out["query"].append(row)
             out["id"].append(None if no_id else vec_id)
-            out["score"].append(max(-_LONG - 1, min(_LONG, -score)))
+            out["score"].append(-score)
             out["copies"].append(min(n, k))
     rows = pa.array(out["query"], pa.int64())
-    return pa.table(
-        {
-            "query_id": queries["id"].take(rows),
-            "query": queries["v"].take(rows),
-            "query_copies": queries["copies"].take(rows),
-            "vec_id": pa.array(out["id"], pa.int64()),
-            "score": pa.array(out["score"], pa.int64()),
-            "copies": pa.array(out["copies"], pa.int64()),
-        }
-    )
+    found = [pa.array(out[c], pa.int64()) for c in ("id", "score", "copies")]
+    asking = [queries[c].take(rows) for c in ("id", "v", "copies")]
+    return pa.RecordBatch.from_arrays([*asking, *found], ["query_id", "query", "query_copies", "vec_id", "score", "copies"])
 
 
 _FOUND = "query_id bigint, query array<bigint>, query_copies bigint, vec_id bigint, score bigint, copies bigint"
+_COLUMNS = ["dim", "shard", "passes", "id", "v", "copies", "kth"]
+
+
+def _shards(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[tuple[int, pa.RecordBatch | None, pa.RecordBatch | None]]:
+    """Of rows sorted by dim, shard and passes: a shard's dim and all its vectors, then dim and its queries, some at a time. Queries of a shard
+    without vectors, and vectors without queries, are left out."""
+    key, points, open_ = None, [], False
+    for batch in batches:
+        names = [np.asarray(batch[c], np.int64) for c in ("dim", "shard", "passes")]
+        cuts = np.flatnonzero(np.any([n[1:] != n[:-1] for n in names], axis=0)) + 1 if batch.num_rows > 1 else []
+        for a, b in zip([0, *cuts], [*cuts, batch.num_rows]):
+            dim, shard, passes = (int(n[a]) for n in names)
+            if (dim, shard) != key:
+                key, points, open_ = (dim, shard), [], False
+            if not passes:
+                points.append(own_rows(batch, a, b))
+                continue
+            if points:
+                yield dim, pa.concat_batches(points), None
+                points, open_ = [], True
+            for start in range(a, b, rows) if open_ else ():
+                yield dim, None, own_rows(batch, start, min(b, start + rows))
+
+
+def _search(asked: DataFrame, points: DataFrame, k: int, rows: int) -> DataFrame:
+    """Every query against the vectors of the shard that it is sent to."""
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vectors, at, trees = None, None, {}
+        for dim, shard, queries in _shards(batches, rows):
+            if shard is not None:
+                vectors, at, trees = shard, dim, {}
+            else:
+                yield search_shard(vectors, queries, at, k, trees)
+
+    both = points.withColumns({"passes": F.lit(0), "kth": F.lit(None).cast("bigint")}).select(_COLUMNS)
+    both = both.unionByName(asked.withColumn("passes", F.lit(1)).select(_COLUMNS))
+    return both.repartition("dim", "shard").sortWithinPartitions("dim", "shard", "passes").mapInArrow(task, _FOUND)
 
 
 def exact_top_k(
@@ -146,7 +193,7 @@ def exact_top_k(
     A vector counts as floor(scale * x). Vectors that are null, or hold a null or a value that is not finite, take no part; a vector
     meets only vectors of its own length (those of length 0 score 0). Equal scores: smaller id first, null ids last. Repeated rows are
     rows of their own, as queries and as results; a query leaves out only its own row. A null id is no query. Scores
-    beyond a long stop at its ends. Other columns are left out. An empty table gives no rows.
+    beyond a long stop at its ends, and are equal there. Other columns are left out. An empty table gives no rows.
     """
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     taken = rows.where(F.col(vector).isNotNull() & finite).select(
@@ -156,30 +203,20 @@ def exact_top_k(
     )
     # Rows that are alike in all that counts are one row with a number of copies: a hot vector stays one row.
     each = taken.groupBy("id", "v", "asks").agg(F.count(F.lit(1)).alias("copies")).withColumn("digest", F.xxhash64("id", "v"))
-    sizes = each.agg(F.count(F.lit(1)), F.sum(F.col("asks").cast("bigint"))).first()
-    shards, blocks = max(1, -(-sizes[0] // shard_rows)), max(1, -(-(sizes[1] or 0) // query_rows))
-    key = ["dim", "shard", "block"]
-    dealt = each.withColumns({"dim": F.size("v"), "shard": F.pmod("digest", F.lit(shards))})
-    queries = dealt.where("asks").withColumn("block", F.pmod(F.xxhash64("digest"), F.lit(blocks)))
-    copied = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)).cast("array<bigint>")))
-
-    def search(asked: DataFrame, points: DataFrame) -> DataFrame:
-        def pair(_, left: pa.Table, right: pa.Table) -> pa.Table:
-            return search_shard(left, right.rename_columns([c.removeprefix("q_") for c in right.column_names]), k)
-
-        # New names on one side: both come from the same table.
-        asked = asked.select(*(F.col(c).alias(f"q_{c}") for c in [*key, "id", "v", "copies", "kth"]))
-        return points.groupBy(*key).cogroup(asked.groupBy(*(f"q_{c}" for c in key))).applyInArrow(pair, _FOUND)
-
-    own = search(queries.withColumn("kth", F.lit(None).cast("bigint")), copied)
+    each = stored(each, "vectors")
+    shards = tasks_for(each.count(), shard_rows)
+    points = each.withColumns({"dim": F.size("v"), "shard": F.pmod("digest", F.lit(shards)).cast("int")})
+    queries = points.where("asks")
+    own = _search(queries.withColumn("kth", F.lit(None).cast("bigint")), points, k, query_rows)
+    own = stored(own, "own-shard")
     by_query = Window.partitionBy("query_id", "query")
     best = by_query.orderBy(F.desc("score"), F.asc_nulls_last("vec_id")).rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("copies").over(best), F.lit(0))
     first = own.withColumn("before", before).where(F.col("before") < k).where(F.col("before") + F.col("copies") >= k)
-    kth = first.select(F.col("query_id").alias("id"), F.col("query").alias("v"), F.col("score").alias("kth"))
-    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)).cast("array<bigint>"), lambda s: s != F.col("home")))
-    onward = queries.drop("asks", "digest").join(kth, ["id", "v"], "left").withColumnRenamed("shard", "home").withColumn("shard", others)
-    found = own.unionByName(search(onward.select(*key, "id", "v", "copies", "kth"), copied)) if shards > 1 else own
+    kth = first.select(F.col("query_id").alias("of"), F.col("query").alias("of_v"), F.col("score").alias("kth"))
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(shards - 1)), lambda s: s != F.col("home")))
+    onward = queries.drop("asks", "digest").join(kth, (queries["id"] == kth["of"]) & (queries["v"] == kth["of_v"]), "left").withColumnRenamed("shard", "home").withColumn("shard", others)
+    found = own.unionByName(_search(onward, points, k, query_rows)) if shards > 1 else own
     ranked = found.withColumn("before", before).where(F.col("before") < k)
     ranks = F.sequence(F.col("before") + 1, F.least(F.col("before") + F.col("copies"), F.lit(k))).cast("array<int>")
     listed = ranked.select("query_id", F.explode(ranks).alias("rank"), "vec_id", "score", "query_copies")
