@@ -6,8 +6,9 @@
 3. In each bucket the class that meets most others is the hub, and all others are compared with it. In a group of copies of one original,
    however large, the original is the hub, and n - 1 comparisons join the group.
 4. Buckets that still hold different components are compared in tiles of bounded size, only across components and only in the first
-   bucket that a pair shares. A tile names the best partners of each member first and all of them in the end, so that no link between
-   different components is left out.
+   bucket that a pair shares. Pairs stay inside their tile: it first tells which members have any partner that survives verification, then gets
+   their texts, confirms the pairs, and gives only links that join components, fewer than its members. So the rows follow the
+   members, however many pairs of a large group lie near the threshold, and no two components with a link between them stay apart.
 5. Every comparison goes through batches of hashes: after each, a pair is dropped if the posterior probability that its similarity reaches
    the threshold is below MISS. What survives is confirmed on the full sets of shingles.
 """
@@ -16,8 +17,8 @@ from __future__ import annotations
 
 import hashlib
 import math
-import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from itertools import groupby
 
 import numpy as np
@@ -25,15 +26,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .arrays import ASCII_LOWER, ASCII_SPACE, as_bytes, by_size, distinct, mix, per_run, shingles, word_hashes
+from .arrays import ASCII_LOWER, ASCII_SPACE, as_bytes, bounds, by_size, distinct, mix, per_run, runs_at, shingles, sums, word_hashes
 from .components import components
 from .stored import stored, tasks_for
 
 BANDS, ROWS = 36, 5
 #: Hashes compared, in batches, by their lowest byte; the chance that a wrongly dropped pair reaches the threshold, for each batch.
 COMPARED, BATCH, MISS = BANDS * ROWS, 36, 1e-6
-#: Members of a tile on each side; partners that a tile names of each member at first, before it names all.
-TILE, NAMED = 1024, 4
+#: Members of a tile on each side, and their shingles, about.
+TILE, TILE_SHINGLES = 1024, 4 << 20
 #: Pairs of a task, about: when bytes are compared, and when whole texts are.
 PAIRS, TEXTS = 20_000, 500
 PIECE_BYTES = 4 << 20
@@ -125,6 +126,18 @@ def _survivors(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFr
     return met.select("a", "b", "ca", "cb").mapInArrow(task, "a binary, b binary")
 
 
+def _is_link(shared: np.ndarray, left: np.ndarray | int, right: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * shared >= percent * (left + right - shared)
+
+
+def _texts(wanted: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text: str, label: str) -> DataFrame:
+    """The text of one source document of each wanted class (column digest), found again by id and a key of its text."""
+    sources = wanted.distinct().join(classes.select("digest", "source"), "digest").select("digest", F.col("source.id").alias("source_id"), F.col("source.text_key").alias("text_key"))
+    given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
+    same = sources["source_id"].eqNullSafe(given["id"]) & (sources["text_key"] == given["text_key"])
+    return stored(given.join(sources, same).groupBy("digest").agg(F.first("text").alias("text")), label)
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column: str, text: str, width: int, percent: int) -> DataFrame:
     """Of pairs (a, b) of digests those whose full sets are similar enough."""
 
@@ -132,76 +145,109 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_column:
         for batch in batches:
             for piece in by_size(batch, "text_a", PIECE_BYTES):
                 (sa, ta), (sb, tb) = (shingle_sets(piece.column(n), width) for n in ("text_a", "text_b"))
-                linked = []
-                for i in range(piece.num_rows):
-                    x, y = sa[ta[i] : ta[i + 1]], sb[tb[i] : tb[i + 1]]
-                    shared = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                yield piece.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    # One source document of each class, found again by id and a key of its text.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("digest")).distinct()
-    sources = wanted.join(classes.select("digest", "source"), "digest").select("digest", F.col("source.id").alias("source_id"), F.col("source.text_key").alias("text_key"))
-    given = docs.select(F.col(id_column).cast("bigint").alias("id"), F.xxhash64(text).alias("text_key"), F.col(text).alias("text"))
-    same = sources["source_id"].eqNullSafe(given["id"]) & (sources["text_key"] == given["text_key"])
-    found = given.join(sources, same).groupBy("digest").agg(F.first("text").alias("text"))
-    texts = stored(found, "candidates")
+                shared = np.array([len(np.intersect1d(sa[ta[i] : ta[i + 1]], sb[tb[i] : tb[i + 1]], assume_unique=True)) for i in range(piece.num_rows)], np.int64)
+                yield piece.select(["a", "b"]).filter(pa.array(_is_link(shared, np.diff(ta), np.diff(tb), percent)))
+
+    texts = _texts(pairs.select("a").union(pairs.select("b")).toDF("digest"), classes, docs, id_column, text, "candidates")
     of = {s: texts.select(F.col("digest").alias(s), F.col("text").alias(f"text_{s}")) for s in "ab"}
     return pairs.join(of["a"], "a").join(of["b"], "b").mapInArrow(task, "a binary, b binary")
 
 
-def _tiles(members: DataFrame, most: int, threshold: float) -> DataFrame:
-    """Candidate pairs (a, b, whole) across components of the same bucket: the ``most`` best partners of each member in each tile.
+def _tiles(members: DataFrame) -> DataFrame:
+    """The members of all tiles: tile, earlier, main, digest, component, compared.
 
-    ``members``: bucket, digest, component, compared, and earlier: the buckets of the bands before this one. Without ``earlier`` a pair is named
-    in every bucket that it shares. ``whole`` is false where a tile held more than it names.
+    ``members``: bucket, digest, component, compared, n_shingles, and earlier: the buckets of the bands before this one. Members of a bucket's
+    largest component meet only the others; the others meet everyone.
     """
-    steps = least_matches(threshold)
-    if "earlier" not in members.columns:
-        members = members.withColumn("earlier", F.array().cast("array<bigint>"))
-    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"))
-    # Members of a bucket's largest component meet only the others; the others meet everyone.
+    sizes = members.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
+    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component", "weight")).alias("top"), F.sum("n").alias("all"), F.sum("weight").alias("weight"))
     sides = members.join(largest, "bucket").withColumn("main", F.col("component") == F.col("top.component"))
-    tiles = sides.withColumns({"mains": F.ceil(F.col("top.n") / TILE).cast("int"), "others": F.ceil((F.col("all") - F.col("top.n")) / TILE).cast("int")})
+    count = lambda n, weight: F.ceil(F.greatest(n / TILE, weight / TILE_SHINGLES)).cast("int")
+    tiles = sides.withColumns({"mains": count(F.col("top.n"), F.col("top.weight")), "others": count(F.col("all") - F.col("top.n"), F.col("weight") - F.col("top.weight"))})
     spot = tiles.withColumn("own", F.when(F.col("main"), F.pmod(F.hash("digest"), "mains")).otherwise(F.pmod(F.hash("digest"), "others")))
     row = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
     among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda u: row("o", F.least("own", u), F.greatest("own", u)))
     with_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda u: row("m", F.col("own"), u))
     as_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda u: row("m", u, F.col("own")))
     dealt = spot.where("others > 0").withColumn("tile", F.explode(F.when(F.col("main"), as_main).otherwise(F.concat(among, with_main))))
-    keyed = dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "earlier", "main", "digest", "component", "compared")
+    return dealt.select(F.xxhash64("bucket", "tile.kind", "tile.i", "tile.j").alias("tile"), "earlier", "main", "digest", "component", "compared")
+
+
+@dataclass
+class _Tile:
+    """The members of one tile side by side."""
+
+    key: int
+    earlier: np.ndarray
+    main: np.ndarray
+    names: list[bytes]
+    homes: np.ndarray
+    compared: np.ndarray
+    texts: list[str] | None
+
+    @classmethod
+    def all_of(cls, batches: Iterable[pa.RecordBatch]) -> Iterator[_Tile]:
+        """The tiles of rows sorted by tile."""
 
-    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in batches:
                 lists = batch.column("earlier")
                 values, at = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
                 earlier = [values[a:b] for a, b in zip(at[:-1], at[1:])]
-                yield from zip(batch.column("tile").to_pylist(), earlier, *(c.to_pylist() for c in batch.columns[2:]))
-
-        for _, some in groupby(rows(), key=lambda r: r[0]):
-            some = list(some)
-            earlier, main = np.stack([r[1] for r in some]), np.array([r[2] for r in some])
-            names, homes = [r[3] for r in some], np.unique([r[4].hex() for r in some], return_inverse=True)[1]
-            seen = np.frombuffer(b"".join(r[5] for r in some), np.uint8).reshape(-1, COMPARED)
-            out: dict[tuple[bytes, bytes], bool] = {}
-            for i in range(len(some)):
-                if main[i]:
-                    continue
-                at = np.flatnonzero((homes != homes[i]) & (main | (np.arange(len(some)) > i)))
-                alive, matches = go_on(np.broadcast_to(seen[i], (len(at), COMPARED)), seen[at], steps)
-                # A pair that shares an earlier bucket is compared there.
-                first = ~(earlier[i] == earlier[at[alive]]).any(axis=1)
-                alive, matches = alive[first], matches[first]
-                order = np.argsort(-matches, kind="stable")
-                for j in at[alive[order[:most]]]:
-                    out[min(names[i], names[j]), max(names[i], names[j])] = len(order) <= most
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in out], pa.binary()), pa.array([b for _, b in out], pa.binary()), pa.array(list(out.values()))], ["a", "b", "whole"])
-
-    sorted_tiles = keyed.repartition("tile").sortWithinPartitions("tile")
-    return sorted_tiles.mapInArrow(task, "a binary, b binary, whole boolean").groupBy("a", "b").agg(F.min("whole").alias("whole"))
+                texts = batch.column("text").to_pylist() if "text" in batch.schema.names else [None] * batch.num_rows
+                yield from zip(batch.column("tile").to_pylist(), earlier, *(batch.column(c).to_pylist() for c in ("main", "digest", "component", "compared")), texts)
+
+        for key, some in groupby(rows(), key=lambda r: r[0]):
+            _, earlier, main, names, homes, compared, texts = zip(*some)
+            packed = np.frombuffer(b"".join(compared), np.uint8).reshape(-1, COMPARED)
+            yield cls(key, np.stack(earlier), np.array(main), list(names), np.unique([h.hex() for h in homes], return_inverse=True)[1], packed, list(texts))
+
+    def survivors(self, steps: list[tuple[int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+        """For each member outside the main component its partners, across components as they stand then, that verification lets through."""
+        later = np.arange(len(self.names))
+        for i in np.flatnonzero(~self.main).tolist():
+            at = np.flatnonzero((self.homes != self.homes[i]) & (self.main | (later > i)))
+            alive, _ = go_on(np.broadcast_to(self.compared[i], (len(at), COMPARED)), self.compared[at], steps)
+            # A pair that shares an earlier bucket is compared there.
+            at = at[alive]
+            yield i, at[~(self.earlier[i] == self.earlier[at]).any(axis=1)]
+
+
+def _joined_in_tiles(tiles: DataFrame, texts: Callable[[DataFrame], DataFrame], width: int, percent: int) -> DataFrame:
+    """Confirmed links (a, b) that join all components of which two members of a tile are linked. ``texts`` gives the text of each wanted digest."""
+    steps = least_matches(percent / 100)
+
+    def told(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _Tile.all_of(batches):
+            near = np.zeros(len(tile.names), bool)
+            for i, partners in tile.survivors(steps):
+                near[partners] = True
+                near[i] |= len(partners) > 0
+            if near.any():
+                names = [n for n, wanted in zip(tile.names, near) if wanted]
+                yield pa.RecordBatch.from_arrays([pa.array([tile.key] * len(names), pa.int64()), pa.array(names, pa.binary())], ["tile", "digest"])
+
+    def joined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in _Tile.all_of(batches):
+            sets, at = shingle_sets(pa.array(tile.texts, pa.large_string()), width)
+            each, codes = np.unique(sets, return_inverse=True)
+            size, links, own = np.diff(at), [], np.zeros(len(each), bool)
+            for i, partners in tile.survivors(steps):
+                if len(partners):
+                    own[codes[at[i] : at[i + 1]]] = True
+                    shared = sums(own[codes[runs_at(at[partners], size[partners])]].astype(np.int64), bounds(size[partners]))
+                    own[codes[at[i] : at[i + 1]]] = False
+                    for j in partners[_is_link(shared, size[i], size[partners], percent)].tolist():
+                        if tile.homes[i] != tile.homes[j]:
+                            tile.homes[tile.homes == tile.homes[j]] = tile.homes[i]
+                            links.append((tile.names[i], tile.names[j]))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*links)], ["a", "b"])
+
+    dealt = stored(tiles, "tiles")
+    near = stored(dealt.repartition("tile").sortWithinPartitions("tile").mapInArrow(told, "tile bigint, digest binary"), "near")
+    whole = dealt.join(near, ["tile", "digest"]).join(texts(near.select("digest")), "digest")
+    return whole.repartition("tile").sortWithinPartitions("tile").mapInArrow(joined, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
@@ -233,28 +279,18 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
     hubs = members.groupBy("bucket").agg(F.max(F.struct("met", "digest")).alias("hub"))
     spokes = members.join(hubs, "bucket").select(F.least("digest", "hub.digest").alias("a"), F.greatest("digest", "hub.digest").alias("b"))
     tried = stored(spokes.where("a <> b").distinct(), "pairs")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        alive = stored(_survivors(pairs, classes, threshold), "survivors", tasks_for(pairs.count(), PAIRS))
-        return stored(_confirmed(alive, classes, docs, id_column, text, width, percent), "confirmed", tasks_for(alive.count(), TEXTS))
-
-    links = confirmed(tried)
+    alive = stored(_survivors(tried, classes, threshold), "survivors", tasks_for(tried.count(), PAIRS))
+    links = stored(_confirmed(alive, classes, docs, id_column, text, width, percent), "confirmed", tasks_for(alive.count(), TEXTS))
     found = stored(components(links), "components")
-    for most in (NAMED, sys.maxsize):
-        # Buckets of two are done with their hub; larger ones go on while they hold several components.
-        larger = members.where("n > 2").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-        split = larger.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
-        still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "bands", "compared"), "digest")
-        still = still.select("bucket", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"), "digest", "component", "compared")
-        named = stored(_tiles(still, most, threshold), "named")
-        new = stored(named.select("a", "b").join(tried, ["a", "b"], "left_anti"), "new", tasks_for(named.count(), PAIRS))
-        if not new.isEmpty():
-            links = links.unionByName(confirmed(new))
-            tried = tried.unionByName(new)
-            found = stored(components(links), "components")
-        # When all pairs have been named, joining components leaves none that is new.
-        if named.where("NOT whole").isEmpty():
-            break
+
+    # Buckets of two are done with their hub; larger ones go on if they hold several components.
+    larger = members.where("n > 2").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
+    split = larger.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+    still = larger.join(split, "bucket", "left_semi").join(classes.select("digest", "bands", "compared", "n_shingles"), "digest")
+    still = still.select("bucket", F.slice("bands", F.lit(1), F.col("band")).alias("earlier"), "digest", "component", "compared", "n_shingles")
+    new = stored(_joined_in_tiles(_tiles(still), lambda d: _texts(d, classes, docs, id_column, text, "tile-texts"), width, percent), "joined")
+    if not new.isEmpty():
+        found = stored(components(links.unionByName(new)), "components")
 
     homes = classes.select("digest", "first_id", "source").join(found.withColumnRenamed("node", "digest"), "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     least = homes.groupBy("component").agg(F.min("first_id").alias("component_id"), F.min("source").alias("first"))

@@ -68,30 +68,65 @@ def test_a_large_group_around_one_original_and_a_chain(spark):
     assert {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, width=2).collect()} == wanted
 
 
-def test_tiles_name_every_link_between_components(spark):
-    rng = np.random.default_rng(2)
-    base = rng.integers(0, 256, minhash.COMPARED, dtype=np.uint8)
-    rows = []
-    for i in range(600):
-        own = base.copy()
-        own[rng.choice(minhash.COMPARED, 3)] += 1
-        rows.append((1, 0, i.to_bytes(4, "big"), b"main" if i < 590 else bytes([i % 5]), own.tobytes()))
-    members = spark.createDataFrame([(b, k, bytearray(d), bytearray(c), bytearray(x)) for b, k, d, c, x in rows], "bucket bigint, band int, digest binary, component binary, compared binary")
-    all_of_them = minhash._tiles(members, 10**6, 0.8).collect()
-    assert len({(bytes(r.a), bytes(r.b)) for r in all_of_them}) == 590 * 10 + 10 * 9 // 2 - 5
-    assert all(r.whole for r in all_of_them)
-    assert not all(r.whole for r in minhash._tiles(members, 2, 0.8).collect())
+def tiled(spark, rows):
+    """(bucket, name, component, compared, text, earlier buckets) as members, and the texts by name."""
+    schema = "bucket bigint, digest binary, component binary, compared binary, text string, earlier array<bigint>, n_shingles bigint"
+    frame = spark.createDataFrame([(b, bytearray(d), bytearray(c), bytearray(x), t, e, len(shingle_set(t, 2))) for b, d, c, x, t, e in rows], schema)
+    texts = frame.select("digest", "text").distinct()
+    tiles = minhash._tiles(frame.drop("text"))
+    return minhash._joined_in_tiles(tiles, lambda wanted: texts.join(wanted.distinct(), "digest"), 2, 80).collect()
+
+
+@pytest.mark.parametrize("tile", [16, 1024])
+def test_tiles_join_all_linked_components_by_few_links(spark, tile, monkeypatch):
+    """A large group of which most pairs survive verification but few are links: links out stay below the members."""
+    monkeypatch.setattr(minhash, "TILE", tile)
+    rng = random.Random(2)
+    base = [f"w{k}" for k in range(60)]
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for k in rng.sample(range(60), 3):
+            words[k] = f"x{rng.randrange(8)}"
+        texts.append(" ".join(words))
+    same = bytes(minhash.COMPARED)
+    homes = [b"main" if i < 70 else bytes([i % 5]) if i < 100 else b"own" + bytes([i]) for i in range(120)]
+    rows = [(1, i.to_bytes(4, "big"), homes[i], same, texts[i], []) for i in range(120)]
+    found = tiled(spark, rows)
+    place = {r[1]: n for n, r in enumerate(rows)}
+
+    def joined(pairs):
+        group = list(homes)
+        for i, j in pairs:
+            group = [group[i] if g == group[j] else g for g in group]
+        return [[g == h for h in group] for g in group]
+
+    sets = [shingle_set(t, 2) for t in texts]
+    real = [(i, j) for i in range(120) for j in range(i) if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])]
+    named = [(place[bytes(r.a)], place[bytes(r.b)]) for r in found]
+    assert all((max(p), min(p)) in set(real) for p in named)
+    assert joined(named) == joined(real)
+    assert len(named) < 120 * (1 if tile == 1024 else 9)
 
 
 def test_tiles_leave_out_a_pair_only_where_it_met_in_an_earlier_bucket(spark):
     # All lowest bytes agree; only the buckets tell whether the pair has met.
     same = bytes(minhash.COMPARED)
-    rows = [(bucket, 1, bytes([bucket, i]), bytes([i]), same, [earlier[i]]) for bucket, earlier in ((1, (5, 6)), (2, (7, 7))) for i in range(2)]
-    members = spark.createDataFrame(
-        [(b, k, bytearray(d), bytearray(c), bytearray(x), e) for b, k, d, c, x, e in rows],
-        "bucket bigint, band int, digest binary, component binary, compared binary, earlier array<bigint>",
-    )
-    assert [(bytes(r.a), bytes(r.b)) for r in minhash._tiles(members, 4, 0.8).collect()] == [(b"\1\0", b"\1\1")]
+    rows = [(bucket, bytes([bucket, i]), bytes([i]), same, "the same words", [earlier[i]]) for bucket, earlier in ((1, (5, 6)), (2, (7, 7))) for i in range(2)]
+    assert [sorted([bytes(r.a), bytes(r.b)]) for r in tiled(spark, rows)] == [[b"\1\0", b"\1\1"]]
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_texts_made_to_collide_under_a_polynomial_stay_apart(spark):
+    word = thue_morse(4096)
+    other = word.translate({97: 98, 98: 97})
+    rows = [(1, word), (2, other), (3, f"{word} {other} x"), (4, f"{other} {word} x"), (5, word), (6, f"{word * 3} y"), (7, f"{other * 3} y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(docs, width=2).collect()}
+    assert found == {i: (n, c) for i, n, c in near_by_hand(rows, 2)}
 
 
 def test_bayesian_limits_keep_what_reaches_the_threshold():
