@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 
 import numpy as np
@@ -116,6 +117,11 @@ def as_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def own_rows(batch: pa.RecordBatch, start: int, stop: int) -> pa.RecordBatch:
+    """A copy of some rows: some Arrow kernels misread the offsets of a slice."""
+    return batch.take(pa.array(np.arange(start, stop)))
+
+
 def by_size(batch: pa.RecordBatch, column: str, limit: int):
     """Batches of whole rows whose text makes up about ``limit`` bytes at most; a longer text stands alone."""
     if batch.num_rows == 0:
@@ -125,8 +131,7 @@ def by_size(batch: pa.RecordBatch, column: str, limit: int):
     while start < len(sizes):
         before = ends[start - 1] if start else 0
         stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
-        # A copy: some Arrow kernels misread the offsets of a slice.
-        yield batch.take(pa.array(np.arange(start, stop)))
+        yield own_rows(batch, start, stop)
         start = stop
 
 
@@ -157,7 +162,10 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(text: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of text[start:end] for each pair; both ascending. Ranges may overlap."""
+    """A 64-bit hash of text[start:end] for each pair; both ascending. Ranges may overlap.
+
+    A polynomial: good for dealing out, but long texts can be made to collide, so never proof that two are the same.
+    """
     out = np.empty(len(starts), np.uint64)
     lo = 0
     while lo < len(starts):
@@ -182,10 +190,16 @@ def rolling_hashes(text: np.ndarray, width: int) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * inverse[: n + 1 - width])
 
 
+def digests_of(values: pa.Array, size: int) -> np.ndarray:
+    """A keyed digest of each text or byte string, as ``size`` / 8 numbers of 64 bits after each other."""
+    key = b"starloom"
+    return np.frombuffer(b"".join([hashlib.blake2b(v, digest_size=size, key=key).digest() for v in values.cast(pa.large_binary()).to_pylist()]), np.uint64)
+
+
 def word_hashes(text: np.ndarray, at: np.ndarray, is_space: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words of every text, and each text's bounds among them.
+    """64-bit digests of the words of every text, and each text's bounds among them.
 
-    ``at``: the texts' bounds. ``is_space``: whether a byte parts words; ``fold``: what a byte counts as.
+    Each distinct word is digested once, by a keyed cryptographic hash, so that no texts can be made to collide. ``at``: the texts' bounds. ``is_space``: whether a byte parts words; ``fold``: what a byte counts as.
     """
     inside = np.zeros(len(text) + 2, bool)
     np.logical_not(is_space[text], out=inside[1:-1])
@@ -193,7 +207,11 @@ def word_hashes(text: np.ndarray, at: np.ndarray, is_space: np.ndarray, fold: np
     cut[at] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
     ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-    return range_hashes(fold[text], starts, ends), np.searchsorted(starts, at)
+    joined = np.ascontiguousarray(fold[text[inside[1:-1]]])
+    offsets = bounds(ends - starts)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
+    coded = pc.dictionary_encode(words)
+    return digests_of(coded.dictionary, 8)[np.asarray(coded.indices, np.int64)], np.searchsorted(starts, at)
 
 
 ASCII_SPACE = np.zeros(256, bool)

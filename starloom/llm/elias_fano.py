@@ -16,7 +16,7 @@ class EliasFano:
     """Ascending integers (repeats allowed) in about 2 + log2(largest / count) bits each.
 
     The low bits of a value stand side by side; the rest is a unary bit vector, in which value i is bit number
-    (value >> low) + i. ``select`` reads one value, from the nearest sampled place on; ``values`` reads all.
+    (value >> low) + i. ``select`` reads one value, from the nearest sampled place on, and ``select_range`` some that stand together.
     """
 
     def __init__(self, count: int, top: int, low: int, lows: np.ndarray, upper: np.ndarray, samples: np.ndarray):
@@ -70,11 +70,25 @@ class EliasFano:
             missing -= len(found)
             place = ((place >> 3) + 64) << 3
 
-    def values(self) -> np.ndarray:
-        """All values, ascending."""
-        places = np.flatnonzero(np.unpackbits(self._upper, bitorder="little"))[: self.count]
-        high = (places - np.arange(self.count)).astype(np.uint64) << np.uint64(self.low)
+    def select_range(self, first: int, stop: int) -> np.ndarray:
+        """Values number ``first`` to ``stop`` - 1, by reading the bits from the sampled place before them to the one after."""
+        if not 0 <= first <= stop <= self.count:
+            raise IndexError((first, stop))
+        if first == stop:
+            return np.zeros(0, np.uint64)
+        after = -(-stop // SAMPLE)
+        begin = int(self._samples[first // SAMPLE])
+        end = int(self._samples[after]) if after < len(self._samples) else 8 * len(self._upper)
+        base = begin >> 3 << 3
+        places = base + np.flatnonzero(np.unpackbits(self._upper[base >> 3 : (end + 7) >> 3], bitorder="little"))
+        places = places[np.searchsorted(places, begin) :][first % SAMPLE : first % SAMPLE + stop - first]
+        high = (places - np.arange(first, stop)).astype(np.uint64) << np.uint64(self.low)
         if not self.low:
             return high
-        bits = np.unpackbits(self._lows, bitorder="little")[: self.count * self.low].reshape(self.count, self.low)
+        start, last = first * self.low, stop * self.low
+        bits = np.unpackbits(self._lows[start >> 3 : (last + 7) >> 3], bitorder="little")[start & 7 :][: last - start].reshape(-1, self.low)
         return high | (bits.astype(np.uint64) << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
+
+    def values(self) -> np.ndarray:
+        """All values, ascending."""
+        return self.select_range(0, self.count)

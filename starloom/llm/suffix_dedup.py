@@ -245,9 +245,12 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
         starts = np.cumsum(row["gaps"].astype(np.int64))
         return row, np.frombuffer(row["text"], np.uint8), bounds(row["lengths"]), starts, row["runs"].astype(np.int64)
 
-    def distinct_runs(text: np.ndarray, starts: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The first of each distinct run of windows, and for each run which distinct one it is."""
-        _, first, which = np.unique(range_hashes(text, starts, starts + runs + WIDTH - 1), return_index=True, return_inverse=True)
+    def distinct_runs(data: bytes, starts: np.ndarray, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first of each distinct run of windows, and for each run which distinct one it is, by their bytes."""
+        number: dict[bytes, int] = {}
+        which = np.array([number.setdefault(data[a:b], len(number)) for a, b in zip(starts.tolist(), (starts + runs + WIDTH - 1).tolist())], np.int64)
+        first = np.empty(len(number), np.int64)
+        first[which[::-1]] = np.arange(len(which))[::-1]
         return first, which
 
     def make(batch: pa.RecordBatch) -> tuple[Callable[[], dict], Callable[[], dict]]:
@@ -255,7 +258,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
         def entries() -> dict:
             row, text, at, starts, runs = unpack(packed)
-            first, which = distinct_runs(text, starts, runs)
+            first, which = distinct_runs(row["text"], starts, runs)
             least = np.full(len(first), NO_ID)
             np.minimum.at(least, which, row["ids"][np.searchsorted(at, starts, side="right") - 1])
             data, out = row["text"], {}
@@ -286,7 +289,7 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "text
 
     def finish(texts: dict | None, answers: dict) -> Iterator[pa.RecordBatch]:
         row, text, at, starts, runs = unpack(texts["packed"])
-        first, which = distinct_runs(text, starts, runs)
+        first, which = distinct_runs(row["text"], starts, runs)
         begin, total, flat = np.zeros(len(first), np.int64), 0, [np.zeros(0, np.int64)]
         for part, where in deal((row["keys"][first] % np.uint64(parts)).astype(np.int64)).items():
             begin[where] = total + bounds(runs[first[where]])[:-1]

@@ -17,9 +17,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import as_bytes, bounds, by_size, range_hashes, runs_at
+from .arrays import bounds, by_size, digests_of, runs_at
 from .bpe import Vocabulary, as_bytes_of_binary, cut_texts
-from .elias_fano import EliasFano
+from .elias_fano import SAMPLE, EliasFano
 
 #: Distinct words whose ids a Python worker remembers, at most (about 30 bytes each).
 REMEMBERED = 3_000_000
@@ -28,7 +28,10 @@ BLOCK_BYTES = 4 << 20
 
 
 class WordIds:
-    """Ids of words seen by this worker, by a 64-bit hash. Forgets all when full; a forgotten word is encoded again."""
+    """Ids of words seen by this worker, by a 128-bit digest: words are found by its first half, and the second half must agree as well.
+
+    Forgets all when full; a forgotten word is encoded again.
+    """
 
     _of: dict[str, WordIds] = {}
 
@@ -43,7 +46,7 @@ class WordIds:
         return cls._of[path]
 
     def _clear(self) -> None:
-        self.known = np.zeros(0, np.uint64)
+        self.known, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.uint32)
         self.flat = np.zeros(0, self.vocabulary.id_type)
@@ -57,18 +60,23 @@ class WordIds:
 
     def ids(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all codes in turn, and the number of ids of each code."""
-        data, ends = as_bytes(words)
-        hashes = range_hashes(data, ends[:-1], ends[1:])
+        hashes, checks = digests_of(words, 16).reshape(-1, 2).T
         if len(self.known) + len(words) > REMEMBERED:
             self._clear()
-        _, there = self._places(hashes)
+        place, there = self._places(hashes)
+        if len(np.unique(hashes)) < len(hashes) or (self.check[place[there]] != checks[there]).any():
+            # Two words with the same half: once in many lifetimes. They are encoded without being remembered.
+            flat, at = self.vocabulary.encode_words(words.to_pylist())
+            n = np.diff(at)[codes]
+            return flat[runs_at(at[:-1][codes], n)], n
         if not there.all():
             new = words.filter(pa.array(~there)).to_pylist()
             flat, at = self.vocabulary.encode_words(new)
-            added = hashes[~there]
-            order = np.argsort(added)
-            to = np.searchsorted(self.known, added[order])
-            self.known = np.insert(self.known, to, added[order])
+            order = np.argsort(hashes[~there])
+            added = hashes[~there][order]
+            to = np.searchsorted(self.known, added)
+            self.known = np.insert(self.known, to, added)
+            self.check = np.insert(self.check, to, checks[~there][order])
             self.start = np.insert(self.start, to, (at[:-1] + len(self.flat))[order])
             self.length = np.insert(self.length, to, np.diff(at)[order])
             self.flat = np.concatenate([self.flat, flat])
@@ -129,11 +137,17 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {n: batch.column(n)[i].as_py() for n in ("base", "start", "width", "ids", "ends")}
-                flat = np.frombuffer(row["ids"], np.uint16 if row["width"] == 2 else np.uint32).astype("<u4")
-                at = np.concatenate([[0], EliasFano.from_bytes(row["ends"]).values().astype(np.int64)])
-                packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(at * 4), pa.py_buffer(flat)])
-                ids = batch.column("doc_ids")[i].values
-                yield pa.RecordBatch.from_arrays([ids, pa.array(at[:-1] + row["base"] + row["start"]), pa.array(np.diff(at)), packed], ["doc_id", "start", "n_tokens", "ids"])
+                flat = np.frombuffer(row["ids"], np.uint16 if row["width"] == 2 else np.uint32)
+                ends, ids = EliasFano.from_bytes(row["ends"]), batch.column("doc_ids")[i].values
+                before = 0
+                # Some documents at a time: their ends by select, and no table of all.
+                for first in range(0, ends.count, SAMPLE):
+                    stop = min(first + SAMPLE, ends.count)
+                    at = np.concatenate([[before], ends.select_range(first, stop).astype(np.int64)])
+                    own = flat[before : at[-1]].astype("<u4")
+                    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), stop - first, [None, pa.py_buffer((at - before) * 4), pa.py_buffer(own)])
+                    before = int(at[-1])
+                    yield pa.RecordBatch.from_arrays([ids.slice(first, stop - first), pa.array(at[:-1] + row["base"] + row["start"]), pa.array(np.diff(at)), packed], ["doc_id", "start", "n_tokens", "ids"])
 
     blocks = read_blocks(spark, path).select("base", "start", "width", "doc_ids", "ids", "ends")
     return blocks.mapInArrow(task, "doc_id bigint, start bigint, n_tokens bigint, ids binary")

@@ -72,6 +72,23 @@ def test_token_files(spark, table):
     assert not any(bodies.values())
 
 
+def test_words_made_to_collide_under_a_polynomial_keep_their_ids(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    texts = [word, word.translate({97: 98, 98: 97}), f"{word} {word[::-1]}", word]
+    path = scratch_path(spark, "test")
+    token_files.write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1), path, queries.VOCABULARY)
+    found = {r.doc_id: bytes(r.ids) for r in token_files.read_documents(spark, path).collect()}
+    assert found == {i: little([*ids, 2]) for i, ids in enumerate(encoded(texts))}
+
+
+def test_words_with_the_same_half_digest_are_encoded_without_being_remembered(monkeypatch):
+    monkeypatch.setattr(token_files, "digests_of", lambda words, size: np.array([[len(w) % 2, hash(w) & 0xFFFF] for w in words.to_pylist()], np.uint64).reshape(-1))
+    seen = token_files.WordIds(queries.VOCABULARY)
+    for some in (["one", "three", "four"], ["seven"], ["zwanzig", "x"], ["one"]):
+        flat, n = seen.ids(pa.array(some), np.arange(len(some)))
+        assert flat.tolist() == [x for ids in encoded(some) for x in ids] and n.tolist() == [len(ids) for ids in encoded(some)]
+
+
 def test_token_files_of_nothing(spark):
     path = scratch_path(spark, "test")
     token_files.write_token_files(awkward(spark).limit(0), path, queries.VOCABULARY)
@@ -86,6 +103,8 @@ def test_elias_fano():
         again = EliasFano.from_bytes(code.to_bytes())
         assert again.values().tolist() == values
         assert [again.select(i) for i in range(len(values))] == values
+        cuts = sorted(rng.randrange(len(values) + 1) for _ in range(40))
+        assert all(again.select_range(a, b).tolist() == values[a:b] for a, b in zip(cuts, cuts[1:]))
     dense = np.cumsum([rng.randrange(200, 900) for _ in range(20000)])
     assert 8 * len(EliasFano.of(dense).to_bytes()) < 13 * len(dense)
     with pytest.raises(ValueError):
