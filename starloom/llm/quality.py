@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ FIT_ROWS = 16384
 #: A word is used if its shares on both sides differ by so many standard errors, in so many documents at least; so many words at most.
 WORD_ERRORS, WORD_DOCUMENTS, WORDS = 5.0, 4, 256
 RIDGE = 0.1
+#: Documents whose curvature is summed at a time.
+STEP_ROWS = 1024
 PIECE_BYTES = 4 << 20
 #: Shares of a site stay inside these bounds, so that no site decides by itself.
 LEAST_SHARE = 0.02
@@ -85,29 +88,23 @@ class Head:
     prior: float
 
     @classmethod
-    def fit(cls, measures: np.ndarray, words: list[np.ndarray], positive: np.ndarray) -> Head:
+    def fit(cls, measures: np.ndarray, has: np.ndarray, words: np.ndarray, positive: np.ndarray) -> Head:
+        """``has`` tells, for each document (row), which of the chosen words (ascending) are in it."""
         n, yes = len(positive), int(positive.sum())
         prior = (yes + 0.5) / (n + 1)
         middle, scale = measures.mean(axis=0) if n else np.zeros(measures.shape[1]), measures.std(axis=0) + 1e-9 if n else np.ones(measures.shape[1])
-        chosen = np.zeros(0, np.uint64)
+        head = cls(middle, scale, words, np.zeros(1 + len(middle) + len(words)), prior)
         if 0 < yes < n:
-            every, document = np.concatenate(words), np.repeat(np.arange(n), [len(w) for w in words])
-            each, which = np.unique(every, return_inverse=True)
-            a = np.bincount(which, positive[document], len(each))
-            b = np.bincount(which, ~positive[document], len(each))
-            both = (a + b) / n
-            error = np.sqrt(both * (1 - both) * (1 / yes + 1 / (n - yes))) + 1e-12
-            errors = np.abs(a / yes - b / (n - yes)) / error * (a + b >= WORD_DOCUMENTS)
-            best = np.argsort(-errors, kind="stable")[:WORDS]
-            chosen = np.sort(each[best[errors[best] >= WORD_ERRORS]])
-        head = cls(middle, scale, chosen, np.zeros(1 + len(middle) + len(chosen)), prior)
-        if 0 < yes < n:
-            x = head._columns(measures, words)
+            x = head._columns(measures, has)
             ridge = np.full(x.shape[1], RIDGE)
             ridge[0] = 1e-3
             for _ in range(25):
                 p = 1 / (1 + np.exp(-np.clip(x @ head.weights, -30, 30)))
-                curve = (x * (p * (1 - p) + 1e-6)[:, None]).T @ x + np.diag(ridge)
+                weight, curve = p * (1 - p) + 1e-6, np.diag(ridge)
+                # Some rows at a time, so that no second array of the sample's size is made.
+                for a in range(0, n, STEP_ROWS):
+                    some = x[a : a + STEP_ROWS]
+                    curve += (some * weight[a : a + STEP_ROWS, None]).T @ some
                 step = np.linalg.solve(curve, x.T @ (positive - p) - ridge * head.weights)
                 head.weights = head.weights + step
                 if np.abs(step).max() < 1e-6:
@@ -116,13 +113,17 @@ class Head:
             head.weights[0] = np.log(prior / (1 - prior))
         return head
 
-    def _columns(self, measures: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-        has = np.array([np.isin(self.words, w, assume_unique=True) for w in words]).reshape(len(words), len(self.words))
+    def _columns(self, measures: np.ndarray, has: np.ndarray) -> np.ndarray:
         # A measure beyond anything in the sample counts as a far one there.
         return np.column_stack([np.ones(len(measures)), np.clip((measures - self.middle) / self.scale, -8, 8), has])
 
     def log_odds(self, measures: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
-        return self._columns(measures, words) @ self.weights
+        return self._columns(measures, _has(self.words, words)) @ self.weights
+
+
+def _has(chosen: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """For each document (its distinct words), which of the chosen words it has."""
+    return np.array([np.isin(chosen, w, assume_unique=True) for w in words], bool).reshape(len(words), len(chosen))
 
 
 def _looked_at(texts: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -141,23 +142,45 @@ def fit(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text: str
         for batch in batches:
             for piece in by_size(batch, "text", PIECE_BYTES):
                 measures, words = _looked_at(piece.column("text"))
-                columns = [pa.array([m.tobytes() for m in measures], pa.binary()), pa.array([w.tobytes() for w in words], pa.binary())]
-                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("quality").cast(pa.int32()), piece.column("toxic").cast(pa.int32()), *columns], ["id", "quality", "toxic", "measures", "words"])
+                digests = [hashlib.blake2b(w.tobytes(), digest_size=16).digest() for w in words]
+                listed = pa.array([w.view(np.int64) for w in words], pa.list_(pa.int64()))
+                columns = [pa.array([m.tobytes() for m in measures], pa.binary()), listed, pa.array(digests, pa.binary())]
+                yield pa.RecordBatch.from_arrays([piece.column("id"), piece.column("quality").cast(pa.int32()), piece.column("toxic").cast(pa.int32()), *columns], ["id", "quality", "toxic", "measures", "words", "same"])
 
     kind = sample.schema["id"].dataType.simpleString()
-    seen = sample.select("id", "quality", "toxic", "text").mapInArrow(task, f"id {kind}, quality int, toxic int, measures binary, words binary")
+    seen = sample.select("id", "quality", "toxic", "text").mapInArrow(task, f"id {kind}, quality int, toxic int, measures binary, words array<bigint>, same binary")
     # Documents that share an id could be many: the bound holds for them as well.
-    got = seen.orderBy("id", "quality", "toxic", F.xxhash64("words", "measures")).limit(rows).collect()
+    seen = stored(seen.orderBy("id", "quality", "toxic", "same", "measures").limit(rows), "labelled")
     # Copies would make all their words look telling: of documents with the same set of words the first stands for all.
-    first = {}
-    for r in got:
-        first.setdefault((r.quality, r.toxic, bytes(r.words)), r)
-    got, heads = list(first.values()), {}
-    for name, column in (("good", "quality"), ("toxic", "toxic")):
-        own = [r for r in got if r[column] is not None]
-        measures = np.array([np.frombuffer(r.measures) for r in own]).reshape(len(own), -1) if own else np.zeros((0, style(pa.array([""])).shape[1]))
-        heads[name] = Head.fit(measures, [np.frombuffer(r.words, np.uint64) for r in own], np.array([r[column] == 1 for r in own], bool))
-    return heads
+    first = seen.groupBy("quality", "toxic", "same").agg(F.min(F.struct("id", "measures", "words")).alias("first"))
+    kept = stored(first.select("quality", "toxic", "first.measures", "first.words"), "fitted")
+    return {name: _fitted(kept.where(F.col(column).isNotNull()).withColumn("positive", F.col(column) == 1)) for name, column in (("good", "quality"), ("toxic", "toxic"))}
+
+
+def _fitted(sample: DataFrame) -> Head:
+    """The model of one label: Spark counts words and finds the telling ones, and the driver gets those few columns of the sample."""
+    n, yes = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("positive").cast("int")), F.lit(0))).first()
+    chosen = np.zeros(0, np.uint64)
+    if 0 < yes < n:
+        counted = sample.select("positive", F.explode("words").alias("word")).groupBy("word").agg(F.count_if("positive").alias("a"), F.count_if(~F.col("positive")).alias("b"))
+        both = (F.col("a") + F.col("b")) / F.lit(n)
+        error = F.sqrt(both * (1 - both) * F.lit(1 / yes + 1 / (n - yes))) + 1e-12
+        telling = counted.where(F.col("a") + F.col("b") >= WORD_DOCUMENTS).select("word", (F.abs(F.col("a") / yes - F.col("b") / (n - yes)) / error).alias("errors"))
+        best = telling.where(F.col("errors") >= WORD_ERRORS).orderBy(F.desc("errors"), "word").limit(WORDS).collect()
+        chosen = np.sort(np.array([r.word for r in best], np.int64).view(np.uint64))
+
+    def task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [np.asarray(w.values, np.int64).view(np.uint64) for w in batch.column("words")]
+            bits = [np.packbits(row).tobytes() for row in _has(chosen, words)]
+            yield pa.RecordBatch.from_arrays([batch.column("positive"), batch.column("measures"), pa.array(bits, pa.binary())], ["positive", "measures", "bits"])
+
+    # At most FIT_ROWS rows of some hundred bytes; their order is fixed, so that sums are the same in every run.
+    got = sorted((bytes(r.measures), bytes(r.bits), r.positive) for r in sample.select("positive", "measures", "words").mapInArrow(task, "positive boolean, measures binary, bits binary").collect())
+    measures = np.frombuffer(b"".join(m for m, _, _ in got)).reshape(len(got), -1) if got else np.zeros((0, style(pa.array([""])).shape[1]))
+    packed = np.frombuffer(b"".join(b for _, b, _ in got), np.uint8).reshape(len(got), -(-len(chosen) // 8))
+    has = np.unpackbits(packed, axis=1, count=len(chosen)).astype(bool) if len(chosen) else np.zeros((len(got), 0), bool)
+    return Head.fit(measures, has, chosen, np.array([p for _, _, p in got], bool))
 
 
 def evidence(docs: DataFrame, heads: dict[str, Head], columns: list[str], text: str = "text") -> DataFrame:
@@ -226,10 +249,11 @@ def judged(docs: DataFrame, labels: DataFrame, columns: list[str], id_column: st
     say one half. Columns that are named like the new ones give way to them.
     """
     heads = fit(docs, labels, id_column, text)
-    sites = site_priors(evidence(docs, heads, list(dict.fromkeys([host, path])), text), heads, host, path)
     columns = [c for c in columns if c not in ("p_good", "p_toxic", "kept")]
     given = docs.select(*columns, F.col(host).alias("__own_host"), F.col(path).alias("__own_path"), F.col(text).alias("__own_text"))
-    scored = evidence(given, heads, [*columns, "__own_host", "__own_path"], "__own_text")
+    # Texts are measured once: both the sites and the documents start from what is stored here.
+    scored = stored(evidence(given, heads, [*columns, "__own_host", "__own_path"], "__own_text"), "evidence")
+    sites = site_priors(scored, heads, "__own_host", "__own_path")
     met = scored.join(sites, F.col("__own_host").eqNullSafe(F.col("__host")) & F.col("__own_path").eqNullSafe(F.col("__path")), "left")
 
     def posterior(name: str) -> Column:

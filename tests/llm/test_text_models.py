@@ -236,6 +236,76 @@ def test_quality_of_awkward_texts(spark):
     assert quality.judged(docs.limit(0), labels, ["doc_id"]).count() == 0
 
 
+def test_the_fit_equals_one_by_hand(spark):
+    """Copies, counts of words, the choice of telling ones and the posterior mode, over plain sets of words."""
+    import pyarrow as pa
+
+    label = {r.doc_id: r for r in given(spark, "labels").collect()}
+    heads = quality.fit(given(spark), given(spark, "labels"))
+    for name, column in (("good", "quality"), ("toxic", "toxic")):
+        first = {}
+        for i, text in sorted(rows_of(given(spark))):
+            if i in label:
+                words = frozenset(re.findall(r"(?:[^\x00-\x7F]|[A-Za-z0-9])+", text.lower()))
+                first.setdefault((label[i].quality, label[i].toxic, words), (text, words, label[i][column] == 1))
+        own = list(first.values())
+        positive = np.array([p for _, _, p in own])
+        n, yes = len(own), positive.sum()
+        both = collections.Counter(w for _, words, _ in own for w in words)
+        good = collections.Counter(w for _, words, p in own if p for w in words)
+        errors = {}
+        for w, c in both.items():
+            share = c / n
+            errors[w] = abs(good[w] / yes - (c - good[w]) / (n - yes)) / (math.sqrt(share * (1 - share) * (1 / yes + 1 / (n - yes))) + 1e-12) if c >= quality.WORD_DOCUMENTS else 0
+        telling = sorted(sorted(errors.values(), reverse=True)[: quality.WORDS])
+        head = heads[name]
+        digest = {quality.vocabulary(pa.array([w]))[0][0]: w for w in both}
+        chosen = [digest[h] for h in head.words]
+        assert sorted(errors[w] for w in chosen) == pytest.approx([e for e in telling if e >= quality.WORD_ERRORS])
+        assert head.prior == pytest.approx((yes + 0.5) / (n + 1))
+        measures = quality.style(pa.array([t for t, _, _ in own]))
+        x = np.column_stack([np.ones(n), np.clip((measures - measures.mean(axis=0)) / (measures.std(axis=0) + 1e-9), -8, 8), [[w in words for w in chosen] for _, words, _ in own]])
+        ridge = np.full(x.shape[1], quality.RIDGE)
+        ridge[0] = 1e-3
+        p = 1 / (1 + np.exp(-x @ head.weights))
+        # At the mode the gradient of the penalised likelihood is zero.
+        assert np.abs(x.T @ (positive - p) - ridge * head.weights).max() < 1e-3 * n
+
+
+def test_sites_and_posteriors_equal_those_by_hand(spark):
+    rng = np.random.default_rng(5)
+    rows = [(f"h{h}", f"p{p}", float(o)) for h in range(6) for p in range(3) for o in rng.normal(h - 3 + p / 2, 2, 5 * (h + 1))]
+    found = {(r["__host"], r["__path"]): r.site_good for r in quality.site_priors(spark.createDataFrame(rows, "host string, path string, __good double"), {"good": None}, "host", "path").collect()}
+    chance = np.array([1 / (1 + math.exp(-o)) for _, _, o in rows])
+    whole = chance.mean()
+
+    def strength(n, share, parent):
+        beyond = (n * (share - parent) ** 2).sum() / np.mean(parent * (1 - parent)) - len(n)
+        return min(1e6, max(1.0, (n.sum() - len(n)) / beyond - 1)) if beyond > 0 else 1e6
+
+    of = lambda key: {k: np.array([c for r, c in zip(rows, chance) if key(r) == k]) for k in sorted({key(r) for r in rows})}
+    hosts, paths = of(lambda r: r[0]), of(lambda r: r[:2])
+    n, s = (np.array([f(v) for v in hosts.values()]) for f in (len, np.mean))
+    host_strength = strength(n, s, np.full(len(n), whole))
+    host_share = {h: (v.sum() + host_strength * whole) / (len(v) + host_strength) for h, v in hosts.items()}
+    n, s = (np.array([f(v) for v in paths.values()]) for f in (len, np.mean))
+    path_strength = strength(n, s, np.array([host_share[h] for h, _ in paths]))
+    for (h, p), v in paths.items():
+        share = (v.sum() + path_strength * host_share[h]) / (len(v) + path_strength)
+        share = max(quality.LEAST_SHARE, min(1 - quality.LEAST_SHARE, share))
+        assert found[h, p] == pytest.approx(math.log(share / (1 - share)))
+    docs, labels = given(spark), given(spark, "labels")
+    heads = quality.fit(docs, labels)
+    odds = {r.doc_id: r for r in quality.evidence(docs, heads, ["doc_id", "source", "lang"]).collect()}
+    site = {(r["__host"], r["__path"]): r for r in quality.site_priors(quality.evidence(docs, heads, ["source", "lang"]), heads, "source", "lang").collect()}
+    for r in quality.judged(docs, labels, ["doc_id", "source", "lang"]).collect():
+        for name, got in (("good", r.p_good), ("toxic", r.p_toxic)):
+            prior = heads[name].prior
+            total = odds[r.doc_id][f"__{name}"] - math.log(prior / (1 - prior)) + site[r.source, r.lang][f"site_{name}"]
+            assert got == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+        assert r.kept == (r.p_good >= 0.5 and r.p_toxic < 0.5)
+
+
 def test_small_sites_are_drawn_to_the_whole(spark):
     heads = {"good": None}
     odds = [("big", "p", 2.0)] * 300 + [("big", "q", -2.0)] * 300 + [("poor", "p", -2.0)] * 400 + [("tiny", "p", -2.0)] + [(None, None, 2.0)]
