@@ -47,3 +47,40 @@ def rekey_children(child: DataFrame, column: str, renamed: DataFrame) -> DataFra
     new = renamed.select(F.col("old_key").alias(column), F.col("new_key").alias("_new"))
     moved = child.join(new, column, "left")
     return moved.withColumn(column, F.coalesce("_new", column)).select(*child.columns)
+
+
+def renames_to_refuse(keys: DataFrame, key: str, renames: DataFrame, kept: Sequence[DataFrame]) -> DataFrame:
+    """The renames (old_key, new_key) of a table that cannot be, each with its first reason.
+
+    ``keys`` is the table, ``kept`` holds, as column ``key``, the keys used by references that do not follow. All renames happen at once and are judged
+    on the state before: a key cannot be given away to one that is there, even if that one is renamed as well.
+    """
+    there = keys.select(F.col(key).alias("_key")).distinct()
+    counted = renames.groupBy("old_key", "new_key").agg(F.count(F.lit(1)).alias("_n"))
+    again = lambda c: renames.groupBy(F.col(c).alias("_key")).agg(F.count(F.lit(1)).alias("_times"))
+    found = counted.join(there.withColumnRenamed("_key", "old_key").withColumn("_known", F.lit(True)), "old_key", "left")
+    found = found.join(there.withColumnRenamed("_key", "new_key").withColumn("_taken", F.lit(True)), "new_key", "left")
+    for c, name in (("old_key", "_olds"), ("new_key", "_news")):
+        found = found.join(again(c).toDF(c, name), c, "left")
+    used = F.lit(False)
+    for i, references in enumerate(kept):
+        found = found.join(references.select(F.col("key").alias("old_key")).distinct().withColumn(f"_used{i}", F.lit(True)), "old_key", "left")
+        used = used | F.col(f"_used{i}").isNotNull()
+    reason = (
+        F.when(F.col("old_key").isNull() | F.col("new_key").isNull(), "no key")
+        .when(F.col("_known").isNull(), "not there")
+        .when((F.col("_olds") > 1) | (F.col("_news") > 1), "repeated")
+        .when(F.col("_taken").isNotNull(), "taken")
+        .when(used, "referenced")
+    )
+    return found.select("old_key", "new_key", reason.alias("reason")).where("reason IS NOT NULL")
+
+
+def rekey_columns(table: DataFrame, renames: Mapping[str, DataFrame]) -> DataFrame:
+    """The table with each named column following its renames (old_key, new_key, at most one of each old key)."""
+    out = table
+    for i, (column, renamed) in enumerate(renames.items()):
+        kind = table.schema[column].dataType
+        new = renamed.select(F.col("old_key").cast(kind).alias(column), F.col("new_key").cast(kind).alias(f"_new{i}"))
+        out = out.join(new, column, "left").withColumn(column, F.coalesce(f"_new{i}", column))
+    return out.select(*table.columns)

@@ -140,3 +140,25 @@ def staff_managers(staffs: DataFrame) -> DataFrame:
     )
     own = staffs.select("staff_id", "first_name", "last_name", "manager_id")
     return own.join(managers, "manager_id", "left").select(*own.columns, "manager_first_name", "manager_last_name")
+
+
+def staff_chains(staffs: DataFrame) -> DataFrame:
+    """Each member of staff with the managers above them at every level: 1 is their own manager, 2 that one's, and so on.
+
+    ``path`` lists the ids from the member of staff up. A chain ends at a member without a manager, at a manager who is not on the
+    list, or where it comes back to someone who is in it already: that row says ``is_cycle``. Rows of staff without an id, or without a
+    manager, start no chain; of repeated ids every row counts.
+    """
+    return staffs.sparkSession.sql(
+        """
+        WITH RECURSIVE above (staff_id, level, manager_id, way, is_cycle) AS (
+            SELECT staff_id, 1, manager_id, array(staff_id, manager_id), staff_id = manager_id
+            FROM {staffs} WHERE staff_id IS NOT NULL AND manager_id IS NOT NULL
+            UNION ALL
+            SELECT a.staff_id, a.level + 1, s.manager_id, array_append(a.way, s.manager_id), array_contains(a.way, s.manager_id)
+            FROM above a JOIN {staffs} s ON s.staff_id = a.manager_id
+            WHERE NOT a.is_cycle AND s.manager_id IS NOT NULL
+        )
+        SELECT staff_id, level, manager_id, array_join(way, '>') AS path, is_cycle FROM above""",
+        staffs=staffs.select("staff_id", "manager_id"),
+    )

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.quality import column_violations, duplicate_keys, orphan_keys, retain_children
+from ..operators.quality import column_violations, duplicate_keys, orphan_keys, rekey_columns, renames_to_refuse, retain_children
 from ..schemas import (
     FOREIGN_KEYS,
     OPERATIONAL,
@@ -73,6 +73,43 @@ def follow_deletes(tables: Mapping[str, DataFrame], left: Mapping[str, DataFrame
     return out
 
 
+def refused_renames(tables: Mapping[str, DataFrame], renames: Mapping[str, DataFrame]) -> DataFrame:
+    """The renames of keys (by table: old_key, new_key) that are not carried out: table_name, old_key, new_key, reason.
+
+    Reasons, the first that applies: "no key" (a NULL), "not there", "repeated" (the old or the new key occurs in several renames), "taken" (the
+    new key is there already), "referenced" (a reference that does not follow uses the old key; FOREIGN_KEYS rule "keep").
+    """
+
+    def of(table: str) -> DataFrame:
+        key = PRIMARY_KEYS[table][0]
+        kept = [tables[child].select(F.col(column).alias("key")) for child, column, parent, _, rule in FOREIGN_KEYS if parent == table and rule == "keep" and child in tables]
+        found = renames_to_refuse(tables[table], key, renames[table].select("old_key", "new_key"), kept)
+        return found.select(F.lit(table).alias("table_name"), F.col("old_key").cast("string").alias("old_key"), F.col("new_key").cast("string").alias("new_key"), "reason")
+
+    return reduce(DataFrame.unionByName, [of(t) for t in renames])
+
+
+def follow_renames(tables: Mapping[str, DataFrame], renames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """All tables after keys of some tables were renamed (by table: old_key, new_key), all at once.
+
+    A key and every reference to it that FOREIGN_KEYS lets follow change together, each table in one pass over its columns: a product of a renamed
+    brand, its order lines, stocks, and a line of a renamed order of a renamed store. Refused renames (see ``refused_renames``) change nothing.
+    """
+    refused = refused_renames(tables, renames)
+    done = {}
+    for table, wanted in renames.items():
+        key = tables[table].schema[PRIMARY_KEYS[table][0]].dataType
+        bad = refused.where(F.col("table_name") == table).select(F.col("old_key").cast(key).alias("old_key"), F.col("new_key").cast(key).alias("new_key"))
+        same = wanted["old_key"].eqNullSafe(bad["old_key"]) & wanted["new_key"].eqNullSafe(bad["new_key"])
+        done[table] = wanted.join(bad, same, "left_anti").select("old_key", "new_key")
+    out = {}
+    for name, table in tables.items():
+        columns = {PRIMARY_KEYS[name][0]: done[name]} if name in done and len(PRIMARY_KEYS[name]) == 1 else {}
+        columns |= {column: done[parent] for child, column, parent, _, rule in FOREIGN_KEYS if child == name and parent in done and rule != "keep"}
+        out[name] = rekey_columns(table, columns) if columns else table
+    return out
+
+
 def check_columns(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Per operational column: rows that break NOT NULL or the length limit."""
     return _violations(tables, OPERATIONAL, OPERATIONAL_LENGTHS)

@@ -20,7 +20,7 @@ from ..schemas import (
     warehouse_lengths,
 )
 from .given_tables import _HISTORY_SQL, AS_OF_SQL, FIRST_END, FIRST_START, GIVEN, LEFT_SQL, RAW_SQL, SECOND_END
-from .queries import CHANGE_DAY, CHANGES_SQL
+from .queries import CHANGE_DAY, CHANGES_SQL, GONE_SQL, RENAMES_SQL
 
 START, END1, END2, TODAY = (f"DATE '{d}'" for d in (FIRST_START, FIRST_END, SECOND_END, CHANGE_DAY))
 WINDOWS = {"1": (START, END1), "2": (END1, END2), "all": (START, END2)}
@@ -34,7 +34,7 @@ BOOTSTRAPPED_ORDERS = """
     FROM (SELECT *, CASE order_status WHEN 2 THEN 1 WHEN 3 THEN 2 WHEN 4 THEN 3 ELSE order_status END AS status
           FROM {source}) o"""
 
-CTE: dict[str, str] = {**RAW_SQL, **_HISTORY_SQL, **CHANGES_SQL}
+CTE: dict[str, str] = {**RAW_SQL, **_HISTORY_SQL, **CHANGES_SQL, **{f"gone_{n}": t for n, t in GONE_SQL.items()}}
 CTE["order_status"] = "SELECT * FROM (VALUES (1, 'Pending'), (2, 'Rejected'), (3, 'Completed')) v(order_status_id, order_status)"
 CTE["all_orders"] = BOOTSTRAPPED_ORDERS.replace("{source}", "{raw_orders}")
 for _n, _day in (("1", END1), ("2", END2)):
@@ -290,6 +290,16 @@ REPORTS = {
     "store_performance": f"""
         SELECT *, CAST(rank() OVER (ORDER BY revenue DESC) AS INT) AS revenue_rank
         FROM ({_per_entity("stores", ["store_name", "state"])}) p""",
+    "staff_chains": """
+        SELECT * FROM (
+            WITH RECURSIVE above AS (
+                SELECT staff_id, 1 AS level, manager_id, [staff_id, manager_id] AS way, staff_id = manager_id AS is_cycle
+                FROM {staffs_2} WHERE manager_id IS NOT NULL
+                UNION ALL
+                SELECT a.staff_id, a.level + 1, s.manager_id, list_append(a.way, s.manager_id), list_contains(a.way, s.manager_id)
+                FROM above a JOIN {staffs_2} s ON s.staff_id = a.manager_id WHERE NOT a.is_cycle AND s.manager_id IS NOT NULL
+            )
+            SELECT staff_id, level, manager_id, array_to_string(way, '>') AS path, is_cycle FROM above) r""",
     "staff_hierarchy": """
         SELECT s.staff_id, s.first_name, s.last_name, s.manager_id, m.first_name AS manager_first_name,
                m.last_name AS manager_last_name
@@ -419,10 +429,44 @@ for _name in ("stores", "staffs", "categories", "brands", "products", "customers
     CTE[f"left_{_name}"] = f"SELECT * FROM {_left(_name)} t" + "".join(f" WHERE NOT coalesce({' OR '.join(_gone)}, FALSE)" for _ in _gone[:1])
 
 
+# Renames that are carried out, and those that are not with the reason; judged on the tables before.
+_KEY = {"stores": "store_id", "products": "product_id", "customers": "customer_id", "orders": "order_id", "order_status": "order_status_id",
+        "brands": "brand_id", "categories": "category_id", "staffs": "staff_id"}
+# The state that the renames start from, as named parts.
+_BEFORE = {n: t.strip("{}") for n, t in _STATE.items()}
+for _name, _text in RENAMES_SQL.items():
+    CTE[f"renames_{_name}"] = _text.replace("{" + _name + "}", "{" + _BEFORE[_name] + "}")
+    _used = [f"SELECT {c} FROM {_STATE[t]}" for t, c, p in (("staffs", "manager_id", "staffs"), ("orders", "staff_id", "staffs")) if p == _name]
+    CTE[f"judged_{_name}"] = f"""
+        SELECT old_key, new_key,
+               CASE WHEN old_key IS NULL OR new_key IS NULL THEN 'no key'
+                    WHEN old_key NOT IN (SELECT {_KEY[_name]} FROM {_STATE[_name]}) THEN 'not there'
+                    WHEN (SELECT count(*) FROM {{renames_{_name}}} o WHERE o.old_key = r.old_key) > 1
+                      OR (SELECT count(*) FROM {{renames_{_name}}} o WHERE o.new_key = r.new_key) > 1 THEN 'repeated'
+                    WHEN new_key IN (SELECT {_KEY[_name]} FROM {_STATE[_name]}) THEN 'taken'
+                    {"".join(f"WHEN old_key IN ({u}) THEN 'referenced' " for u in _used)} END AS reason
+        FROM (SELECT DISTINCT old_key, new_key FROM {{renames_{_name}}}) r"""
+    CTE[f"accepted_{_name}"] = f"SELECT old_key, new_key FROM {{judged_{_name}}} WHERE reason IS NULL"
+
+# Fixed values, written out apart from the schemas: the columns that follow a rename of a table's key.
+_FOLLOWING = {
+    "stores": {"store_id": "stores"}, "staffs": {"staff_id": "staffs", "store_id": "stores"}, "categories": {"category_id": "categories"},
+    "brands": {"brand_id": "brands"}, "products": {"product_id": "products", "category_id": "categories", "brand_id": "brands"},
+    "customers": {"customer_id": "customers"}, "order_status": {"order_status_id": "order_status"},
+    "orders": {"order_id": "orders", "customer_id": "customers", "order_status_id": "order_status", "store_id": "stores"},
+    "order_items": {"order_id": "orders", "product_id": "products"}, "stocks": {"store_id": "stores", "product_id": "products"},
+}
+for _name, _columns in _FOLLOWING.items():
+    _new = ", ".join(f"coalesce({c}_r.new_key, t.{c}) AS {c}" for c in _columns)
+    _joins = "".join(f" LEFT JOIN {{accepted_{p}}} {c}_r ON t.{c} = {c}_r.old_key" for c, p in _columns.items())
+    CTE[f"rekeyed_{_name}"] = f"SELECT t.* REPLACE ({_new}) FROM {_STATE[_name]} t{_joins}"
+
+
 def _digests(tables: dict[str, tuple[str, list[str]]]) -> str:
     """Per table and first byte of a row's digest: rows, smallest and largest digest. Given: source and columns of each table."""
     return " UNION ALL ".join(
-        f"""SELECT '{name}' AS table_name, substr(r, 1, 2) AS bucket, count(*) AS rows, min(r) AS low, max(r) AS high
+        f"""SELECT '{name}' AS table_name, substr(r, 1, 2) AS bucket, count(*) AS rows, min(r) AS low, max(r) AS high,
+                   CAST(sum(CAST('0x' || substr(r, 3, 8) AS BIGINT)) AS BIGINT) AS total
             FROM (SELECT md5(concat_ws('|', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '<null>')" for c in sorted(columns))})) AS r
                   FROM {source} s) d GROUP BY 2"""
         for name, (source, columns) in tables.items()
@@ -535,6 +579,18 @@ SQL: dict[str, str] = {
         | {"customers": ("(SELECT * REPLACE (nullif(phone, '') AS phone) FROM {stg_customers_all})", STAGING["customers"].names)}
     ),
     "cascade_all": _digests({n: ("{left_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
+    "cascade_update": _digests({n: ("{rekeyed_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
+    "cascade_update_refused": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, CAST(old_key AS VARCHAR) AS old_key, CAST(new_key AS VARCHAR) AS new_key, reason FROM {{judged_{n}}} WHERE reason IS NOT NULL"
+        for n in RENAMES_SQL
+    ),
+    **{
+        f"cdc_soft_delete_{n}": f"""
+        SELECT * REPLACE (CASE WHEN {_KEY[n]} IN (SELECT {_KEY[n]} FROM {{gone_{n}}}) THEN {TODAY} ELSE updated_at END AS updated_at,
+                          CASE WHEN {_KEY[n]} IN (SELECT {_KEY[n]} FROM {{gone_{n}}}) THEN 'N' ELSE is_active END AS is_active)
+        FROM {{boot_{n}}}"""
+        for n in GONE_SQL
+    },
     "parquet_roundtrip": "SELECT * FROM {stg_sales_2}",
     "staging_publish_and_clear": "SELECT *, CAST(0 AS BIGINT) AS left_in_staging FROM {stg_date_all}",
     **REPORTS,

@@ -47,6 +47,31 @@ CHANGES_SQL = {
         FROM {part} WHERE p_type = 'SMALL'""",
 }
 
+# Keys to rename, by table: some follow through all references, some cannot be (taken, repeated, unknown, used by references that stay).
+RENAMES_SQL = {
+    "stores": """
+        SELECT store_id AS old_key, 'S' || store_id AS new_key FROM {stores} WHERE state <> 'ASIA'
+        UNION ALL SELECT 'none', 'S-none' UNION ALL SELECT '2', NULL""",
+    "products": """
+        SELECT product_id AS old_key, 'P' || product_id AS new_key FROM {products} WHERE list_price > 1000
+        UNION ALL SELECT product_id, 'P' || product_id || '+' FROM {products} WHERE list_price > 1400""",
+    "customers": """
+        SELECT customer_id AS old_key, CASE WHEN zip_code < '00020' THEN 'C' || customer_id ELSE customer_id || '0' END AS new_key
+        FROM {customers}""",
+    "orders": "SELECT order_id AS old_key, 'O' || order_id AS new_key FROM {orders} WHERE order_status_id = 1",
+    "order_status": "SELECT 3 AS old_key, 30 AS new_key UNION ALL SELECT 1, 2",
+    "brands": "SELECT brand_id AS old_key, brand_id + 100 AS new_key FROM {brands}",
+    "categories": "SELECT category_id AS old_key, category_id + 1 AS new_key FROM {categories}",
+    "staffs": "SELECT staff_id AS old_key, 'F' || staff_id AS new_key FROM {staffs}",
+}
+
+# Rows of the other audited tables that the store deletes, taken from the event stream.
+GONE_SQL = {
+    "stores": "SELECT CAST(user_id % 25 AS STRING) AS store_id FROM {events} WHERE event_type = 'error' AND value > 95 GROUP BY user_id % 25",
+    "staffs": "SELECT CAST(user_id AS STRING) AS staff_id FROM {events} WHERE event_type = 'error' AND value > 20",
+    "products": "SELECT CAST(event_id AS STRING) AS product_id FROM {events} WHERE event_type = 'error'",
+}
+
 
 class Star:
     """Inputs shared by the queries on one folder, written once per session to the shared folder."""
@@ -246,15 +271,31 @@ def _cascade_all(s: Star) -> DataFrame:
     return _digests(checks.follow_deletes(s.second, _left(s)))
 
 
+def _renames(s: Star) -> dict[str, DataFrame]:
+    return {n: s.spark.sql(text, **{n: s.second[n]}) for n, text in RENAMES_SQL.items()}
+
+
+def _cascade_update(s: Star) -> DataFrame:
+    return _digests(checks.follow_renames(s.second, _renames(s)))
+
+
+def _soft_delete_of(name: str):
+    def query(s: Star) -> DataFrame:
+        gone = s.spark.sql(GONE_SQL[name], events=s.store["events"])
+        return cdc.soft_delete(_bootstrap(name)(s), gone, DIMENSIONS[name].id, CHANGE_DAY)
+
+    return query
+
+
 def _digests(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Every row of every table, as number, smallest and largest digest of the rows in each of 256 buckets."""
+    """Every row of every table, as number, smallest and largest digest and sum of digests (of their next eight digits) of the rows in each of 256 buckets."""
 
     def of(name: str) -> DataFrame:
         table = tables[name]
         row = F.md5(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in sorted(table.columns)]))
         rows = table.select(row.alias("row"))
-        found = rows.groupBy(F.substring("row", 1, 2).alias("bucket")).agg(F.count("*").alias("rows"), F.min("row").alias("low"), F.max("row").alias("high"))
-        return found.select(F.lit(name).alias("table_name"), "bucket", "rows", "low", "high")
+        found = rows.groupBy(F.substring("row", 1, 2).alias("bucket")).agg(F.count("*").alias("rows"), F.min("row").alias("low"), F.max("row").alias("high"), F.sum(F.conv(F.substring("row", 3, 8), 16, 10).cast("bigint")).alias("total"))
+        return found.select(F.lit(name).alias("table_name"), "bucket", "rows", "low", "high", "total")
 
     return reduce(DataFrame.unionByName, [of(n) for n in tables])
 
@@ -335,6 +376,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "end_to_end_star": lambda s: s.after("fact_sales"),
     "cdc_apply_changes": _apply_changes,
     "cdc_soft_delete": _soft_delete,
+    **{f"cdc_soft_delete_{n}": _soft_delete_of(n) for n in GONE_SQL},
     "cdc_order_changes": _order_changes,
     "etl_window_dates": _etl_windows,
     "dq_keys": lambda s: checks.check_keys(s.second),
@@ -346,6 +388,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "cascade_all": _cascade_all,
     "cascade_retain": _cascade_retain,
     "cascade_rekey": _cascade_rekey,
+    "cascade_update": _cascade_update,
+    "cascade_update_refused": lambda s: checks.refused_renames(s.second, _renames(s)),
     "csv_roundtrip": _csv_roundtrip,
     "csv_import": _csv_import,
     "dataset_setup": _dataset_setup,
@@ -361,6 +405,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "top_spenders": _report(reports.top_spenders, "fact_sales", "dim_customers"),
     "store_performance": _report(reports.store_performance, "fact_sales", "dim_stores"),
     "staff_hierarchy": lambda s: reports.staff_managers(s.second["staffs"]),
+    "staff_chains": lambda s: reports.staff_chains(s.second["staffs"]),
 }
 
 

@@ -21,6 +21,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # rebalance hints (before writes) may split an oversized partition.
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # A recursive query may return as many rows as it has; levels stay limited.
+    "spark.sql.cteRecursionRowLimit": "-1",
 }
 
 

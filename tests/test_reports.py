@@ -4,6 +4,8 @@ from frames import frame, rows
 
 from starloom.operators import reports
 from starloom.operators.quality import column_violations, duplicate_keys, orphan_keys, rekey_children, retain_children
+from starloom.operators.reports import staff_chains
+from starloom.plans.checks import follow_renames, refused_renames
 from starloom.schemas import OPERATIONAL, SERVING, STAGING, warehouse_lengths
 
 
@@ -74,3 +76,59 @@ def test_cascades(spark):
 def test_staff_managers(spark):
     staffs = frame(spark, OPERATIONAL["staffs"], [dict(staff_id=i, first_name=f"n{i}", manager_id=m) for i, m in (("1", "1"), ("2", "1"), ("3", "9"))])
     assert rows(reports.staff_managers(staffs), "staff_id", "manager_first_name") == [("1", "n1"), ("2", "n1"), ("3", "None")]
+
+
+def test_chains_of_managers_with_a_cycle_and_loose_ends(spark):
+    staff = [("a", "b"), ("b", "c"), ("c", "b"), ("d", "gone"), ("e", None), (None, "a"), ("f", "f"), ("g", "d")]
+    table = spark.createDataFrame(staff, "staff_id string, manager_id string")
+    found = rows(staff_chains(table), "staff_id", "level", "manager_id", "path", "is_cycle")
+    wanted = []
+    for start, first in staff:
+        way, manager, level = [start], first, 1
+        while start and manager:
+            wanted.append((start, str(level), manager, ">".join([*way, manager]), str(manager in way)))
+            if manager in way:
+                break
+            way.append(manager)
+            manager, level = dict(staff).get(manager), level + 1
+    assert found == sorted(wanted)
+
+
+def renamed_tables(spark):
+    make = lambda schema, *data: spark.createDataFrame(list(data), schema)
+    audit = "is_active string"
+    return {
+        "stores": make(f"store_id string, {audit}", ("s1", "Y"), ("s2", "Y"), ("s3", "Y")),
+        "staffs": make("staff_id string, store_id string, manager_id string", ("f1", "s1", None), ("f2", "s2", "f1")),
+        "products": make("product_id string, brand_id int, category_id int", ("p1", 1, 1), ("p2", 2, 1)),
+        "brands": make("brand_id int", (1,), (2,)),
+        "orders": make("order_id string, customer_id string, order_status_id int, store_id string, staff_id string", ("1", "c", 3, "s1", "f2"), ("2", "c", 1, "s3", "f2"), ("3", "c", 1, None, "f2")),
+        "order_items": make("order_id string, item_id int, product_id string", ("1", 1, "p1"), ("1", 2, "p2"), ("2", 1, "p1")),
+        "stocks": make("store_id string, product_id string", ("s1", "p1"), ("s2", "p2")),
+    }
+
+
+def test_renamed_keys_reach_all_references_at_once(spark):
+    tables = renamed_tables(spark)
+    renames = lambda kind, *pairs: spark.createDataFrame(list(pairs), f"old_key {kind}, new_key {kind}")
+    wanted = {
+        "stores": renames("string", ("s1", "s2"), ("s2", "S2"), ("s3", "S3"), (None, "x"), ("s9", "y")),
+        "products": renames("string", ("p1", "P1"), ("p2", "Q"), ("p2", "R"), ("p1", "P1")),
+        "brands": renames("int", (1, 10), (2, 10)),
+        "orders": renames("string", ("1", "one")),
+        "staffs": renames("string", ("f1", "F1"), ("f2", "F2")),
+    }
+    refused = rows(refused_renames(tables, wanted), "table_name", "old_key", "new_key", "reason")
+    assert refused == sorted([
+        ("stores", "s1", "s2", "taken"), ("stores", "None", "x", "no key"), ("stores", "s9", "y", "not there"), ("products", "p1", "P1", "repeated"),
+        ("products", "p2", "Q", "repeated"), ("products", "p2", "R", "repeated"), ("brands", "1", "10", "repeated"), ("brands", "2", "10", "repeated"),
+        ("staffs", "f1", "F1", "referenced"), ("staffs", "f2", "F2", "referenced"),
+    ])
+    out = follow_renames(tables, {**wanted, "products": renames("string", ("p1", "P1"))})
+    assert rows(out["stores"], "store_id") == [("S2",), ("S3",), ("s1",)]
+    assert rows(out["staffs"], "staff_id", "store_id", "manager_id") == [("f1", "s1", "None"), ("f2", "S2", "f1")]
+    assert rows(out["products"], "product_id", "brand_id") == [("P1", "1"), ("p2", "2")]
+    assert rows(out["orders"], "order_id", "store_id") == [("2", "S3"), ("3", "None"), ("one", "s1")]
+    assert rows(out["order_items"]) == [("2", "1", "P1"), ("one", "1", "P1"), ("one", "2", "p2")]
+    assert rows(out["stocks"]) == [("S2", "p2"), ("s1", "P1")]
+    assert {n: t.columns for n, t in out.items()} == {n: t.columns for n, t in tables.items()}
