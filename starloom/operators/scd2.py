@@ -55,9 +55,9 @@ def _opened(dim: Dimension) -> Column:
 def scd2_rewrite(current: DataFrame, batch: DataFrame, dim: Dimension, reactivate: bool = False) -> DataFrame:
     """All rows that are, or were until this batch, open: what the merge has to write.
 
-    Closed history is not in the result, as a merge never changes it. It is read on its id
-    only, to tell new ids from ids that were closed earlier: those stay closed unless
-    ``reactivate`` is set. Rows opened by this batch carry a NULL key.
+    Closed history is not in the result, as a merge never changes it. Of ``current`` the newest
+    version of each id is enough: closed ones are read on their id only, to tell new ids from ids that
+    were closed earlier; those stay closed unless ``reactivate`` is set. Rows opened by this batch carry a NULL key.
 
     The batch is joined as the right side throughout, so while it is small enough to
     broadcast nothing of the dimension is shuffled.

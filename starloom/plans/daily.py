@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.bootstrap import order_status_lookup
@@ -14,12 +14,13 @@ from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fa
 from ..operators.keys import assign_keys
 from ..operators.scd2 import append_dates, scd2_rewrite
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
-from ..schemas import ACTIVE, DIMENSIONS, KEY_DIGITS, Dimension
+from ..schemas import ACTIVE, DIMENSION_PARTITIONS, DIMENSIONS, KEY_DIGITS, Dimension
 from ..session import run_together
 from ..sources.warehouse import Run, Warehouse
 from . import checks
 
-OPEN_SEGMENT, CLOSED_SEGMENT = "open", "closed"
+HISTORY_SEGMENT = "history"
+
 
 def extract_all(run: Run, tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The five extracts of the run's window, written to its staging area."""
@@ -43,16 +44,30 @@ def stage_all(run: Run, extracts: Mapping[str, DataFrame]) -> dict[str, DataFram
 
 
 def load_dimension(run: Run, staged: DataFrame, dim: Dimension) -> None:
-    """Merge one staged dimension. Open versions are rewritten, closed ones only added to.
+    """Merge one staged dimension. Of the dimension only the partitions of ids in the batch are read and written.
 
-    Only the versions that this batch opens are stored for numbering; the others go straight to the published table.
+    A dimension is split into the newest version of each id, open or not, by a hash of the id, and the history of versions that were replaced,
+    which is only added to. The newest versions tell all that a merge needs to know, so history is not read. Only the versions that this
+    batch opens are stored for numbering; the others go straight to the published table.
     """
-    rewritten = scd2_rewrite(run.read(dim.table), staged, dim)
+    touched = [r[0] for r in staged.select(newest_segment(dim)).distinct().collect()]  # bounded: one row per partition
+    if not touched:
+        return
+    newest = run.read(dim.table, touched)
+    rewritten = scd2_rewrite(newest, staged, dim)
     opened = run.stage(f"opened_{dim.name}", rewritten.filter(F.col(dim.key).isNull()))
     numbered = assign_keys(opened, dim.key, [dim.id, "eff_date"], run.top_key(dim.table), KEY_DIGITS[dim.table])
-    segment = F.when(F.col("active_flag") == ACTIVE, OPEN_SEGMENT).otherwise(CLOSED_SEGMENT)
-    rows = rewritten.filter(F.col(dim.key).isNotNull()).unionByName(numbered)
-    run.publish(dim.table, rows, segment, replaces=[OPEN_SEGMENT], key=dim.key)
+    closed = newest.filter(F.col("active_flag") != ACTIVE).select(*dim.schema.names)
+    standing = rewritten.filter(F.col(dim.key).isNotNull()).unionByName(closed)
+    replaced = standing.join(opened.select(dim.id).distinct().withColumn("_replaced", F.lit(True)), dim.id, "left")
+    segment = F.when(F.col("_replaced").isNull(), newest_segment(dim)).otherwise(HISTORY_SEGMENT)
+    rows = replaced.unionByName(numbered.withColumn("_replaced", F.lit(None).cast("boolean")))
+    run.publish(dim.table, rows, segment, replaces=touched, key=dim.key)
+
+
+def newest_segment(dim: Dimension) -> Column:
+    """The partition that holds the newest version of an id."""
+    return F.concat(F.lit("newest-"), F.pmod(F.xxhash64(dim.id), F.lit(DIMENSION_PARTITIONS[dim.table])).cast("string"))
 
 
 def load_dates(run: Run, staged: DataFrame) -> None:
@@ -66,17 +81,34 @@ def load_statuses(run: Run) -> None:
     run.publish("dim_order_status", lacking, F.lit("all"))
 
 
+def known_orders(run: Run, staged: DataFrame) -> DataFrame:
+    """What the fact holds of the staged orders: whole months of ``fact_orders``, those that the staged order dates name and few others.
+
+    An order that is not in the month of its staged date is new, unless its order date was changed after it came into the fact. To tell,
+    the ids of such orders alone meet the id column of the other months; months with a hit are read as well.
+    """
+    orders = staged.select("order_id", F.substring("order_date", 1, 6).alias("month")).distinct()
+    named = {r[0] for r in orders.select("month").distinct().collect()}  # bounded: one row per calendar month
+    others = [m for m in run.segments("fact_orders") if m not in named]
+    known = run.read("fact_orders", sorted(named))
+    if not others:
+        return known
+    lacking = run.stage("lacking_orders", orders.join(known, "order_id", "left_anti").select("order_id").distinct())
+    moved = run.read("fact_orders", others).join(lacking, "order_id", "left_semi").select(F.substring("order_date", 1, 6)).distinct()
+    hits = [r[0] for r in moved.collect()]  # bounded as well
+    return known.unionByName(run.read("fact_orders", hits)) if hits else known
+
+
 def load_fact(run: Run, staged: DataFrame) -> None:
     """Insert new orders, update moved ones. Of the fact only months with a moved order are read and rewritten.
 
-    What the fact holds of an order stands in ``fact_orders``. Rows without a valid version in every dimension go to the run's
-    ``rejected_sales``.
+    Rows without a valid version in every dimension go to the run's ``rejected_sales``.
     """
     statuses = run.read("dim_order_status")
     dims = {name: run.read(dim.table) for name, dim in DIMENSIONS.items()}
     month = F.substring("order_date", 1, 6)
 
-    compared = run.stage("compared_orders", compared_orders(staged, run.read("fact_orders"), statuses))
+    compared = run.stage("compared_orders", compared_orders(staged, known_orders(run, staged), statuses))
     moved = compared.where("moved").select(F.substring("known_date", 1, 6).alias("month")).distinct()
     months = [row["month"] for row in moved.collect()]  # bounded: one row per calendar month
 

@@ -240,6 +240,10 @@ DIMENSIONS = {
 # billion rows give the table 4; its numbering depends on it, so it stays as it is once chosen.
 KEY_DIGITS = {**{d.table: 3 for d in DIMENSIONS.values()}, "fact_sales": 3}
 
+# Partitions by a hash of the id that a dimension's newest versions are split into: a run writes those that its batch touches. Aim at some
+# hundred MB each; a table's layout depends on it, so it stays as it is once chosen.
+DIMENSION_PARTITIONS = {d.table: 16 for d in DIMENSIONS.values()}
+
 # Constraints, checked by jobs in operators.quality because parquet enforces none of them.
 PRIMARY_KEYS = {
     "stores": ["store_id"], "staffs": ["staff_id"], "categories": ["category_id"],

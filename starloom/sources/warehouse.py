@@ -2,7 +2,7 @@
 
 A run writes new folders only and becomes visible by one entry in the run log, for all its
 tables at once. A failed run leaves the published state as it was. Large tables are split
-into segments (the fact by month, a dimension into open and closed versions), and a run
+into segments (the fact by month, a dimension by a hash of the id), and a run
 rewrites only the segments it changes. A segment that has gathered MANY_FOLDERS folders is written as one.
 
 Runs of one warehouse must not overlap. A file store may let two of them write the same log entry; a commit therefore
@@ -123,6 +123,10 @@ class Run:
             return literal_rows(self.spark, SERVING[table])
         return self.spark.read.schema(SERVING[table]).parquet(*folders)
 
+    def segments(self, table: str) -> list[str]:
+        """The segments of the table as this run sees it."""
+        return sorted({s for s, _ in self._in_force.get(table, [])})
+
     def top_key(self, table: str) -> int:
         """The highest surrogate key of the table so far."""
         return self._top_keys.get(table, 0)

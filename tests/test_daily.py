@@ -5,8 +5,8 @@ from frames import frame, rows
 from pyspark.sql import functions as F
 
 from starloom.operators.bootstrap import order_status_lookup
-from starloom.plans.daily import run_batch
-from starloom.schemas import EXTRACT, OPERATIONAL, SERVING, STAGING
+from starloom.plans.daily import extract_all, known_orders, newest_segment, run_batch, stage_all
+from starloom.schemas import DIMENSION_PARTITIONS, DIMENSIONS, EXTRACT, OPERATIONAL, SERVING, STAGING
 from starloom.sources.files import read_parquet
 from starloom.sources.warehouse import Warehouse
 from starloom.streaming.arrivals import dimension_loader, stream_dimension
@@ -83,6 +83,57 @@ def test_only_months_with_a_moved_order_are_rewritten(spark, tmp_path):
     assert rows(warehouse.read("fact_sales"), "order_id", "shipped_date") == [("1", "None"), ("2", "20160207"), ("3", "None")]
 
 
+def test_a_merge_reads_and_writes_only_the_partitions_of_its_ids(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    many = [{**PRODUCT, "product_id": f"p{k}"} for k in range(200)]
+    run_batch(warehouse, tables(spark, products=[PRODUCT, *many]), dt.date(2016, 1, 6))
+
+    def folders():
+        return {(e.segment, e.folder) for e in warehouse.entries()[1] if e.table == "dim_products"}
+
+    first = folders()
+    assert len(first) == DIMENSION_PARTITIONS["dim_products"]
+    changed = [{**many[3], "list_price": "11", "updated_at": "2016-01-08"}, {**many[4], "is_active": "N", "updated_at": "2016-01-08"}]
+    kept = [p for k, p in enumerate(many) if k not in (3, 4)]
+    run_batch(warehouse, tables(spark, products=[PRODUCT, *kept, *changed]), dt.date(2016, 1, 8))
+    second = folders()
+    ids = spark.createDataFrame([("p3",), ("p4",)], "product_id string")
+    hit = {r[0] for r in ids.select(newest_segment(DIMENSIONS["products"])).collect()}
+    assert {s for s, _ in second - first} == {*hit, "history"} and {s for s, _ in first - second} == hit
+    old = spark.read.parquet(*[f for s, f in second if s == "history"])
+    assert rows(old, "product_id", "list_price", "active_flag") == [("p3", "10.00", "N")]
+    # What was closed stays closed, though history is not read.
+    again = [{**many[4], "updated_at": "2016-01-10"}, {**many[3], "list_price": "12", "updated_at": "2016-01-10"}]
+    run_batch(warehouse, tables(spark, products=[PRODUCT, *kept, *again]), dt.date(2016, 1, 10))
+    found = rows(warehouse.read("dim_products").where("product_id IN ('p3', 'p4')"), "product_id", "list_price", "eff_date", "exp_date", "active_flag")
+    assert found == [
+        ("p3", "10.00", "2016-01-01", "2016-01-07", "N"), ("p3", "11.00", "2016-01-08", "2016-01-09", "N"), ("p3", "12.00", "2016-01-10", "9999-12-31", "Y"),
+        ("p4", "10.00", "2016-01-01", "2016-01-08", "N"),
+    ]
+    assert warehouse.read("dim_products").count() == 203
+
+
+def test_known_orders_come_from_few_months(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    orders = [{**ORDER, "order_id": str(m), "order_date": f"2016-{m:02}-05", "updated_at": f"2016-{m:02}-05"} for m in range(1, 7)]
+    items = [{**ITEM, "order_id": str(m)} for m in range(1, 9)]
+    run_batch(warehouse, tables(spark, orders=orders, order_items=items), dt.date(2016, 6, 30))
+    # One order of June ships, one of February has got another order date, one is new.
+    shipped = {**orders[5], "order_status_id": 3, "shipped_date": "2016-07-01", "updated_at": "2016-07-01"}
+    moved = {**orders[1], "order_date": "2016-07-01", "order_status_id": 3, "shipped_date": "2016-07-02", "updated_at": "2016-07-02"}
+    placed = {**ORDER, "order_id": "8", "order_date": "2016-07-01", "updated_at": "2016-07-01"}
+    run = warehouse.begin(dt.date(2016, 6, 30), dt.date(2016, 7, 2))
+    staged = stage_all(run, extract_all(run, tables(spark, orders=[*orders[2:5], orders[0], shipped, moved, placed], order_items=items)))
+    known = known_orders(run, staged["sales"])
+    assert rows(known, "order_id") == [("2",), ("6",)]
+    assert len({f.split("segment=")[1][:6] for f in known.inputFiles()}) == 2
+    run_batch(warehouse, tables(spark, orders=[shipped, moved, placed], order_items=items), dt.date(2016, 7, 2))
+    assert rows(warehouse.read("fact_sales"), "order_id", "order_date", "shipped_date") == [
+        ("1", "20160105", "None"), ("2", "20160205", "20160702"), ("3", "20160305", "None"), ("4", "20160405", "None"), ("5", "20160505", "None"),
+        ("6", "20160605", "20160701"), ("8", "20160701", "None"),
+    ]
+
+
 def test_a_run_without_commit_and_a_late_commit_leave_no_trace(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     dates = frame(spark, SERVING["dim_date"], [dict(date_key="20160101", date="2016-01-01", year=2016)])
