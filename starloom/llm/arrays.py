@@ -190,10 +190,24 @@ def rolling_hashes(text: np.ndarray, width: int) -> np.ndarray:
     return mix((total[width:] - total[:-width]) * inverse[: n + 1 - width])
 
 
-def digests_of(values: pa.Array, size: int) -> np.ndarray:
-    """A keyed digest of each text or byte string, as ``size`` / 8 numbers of 64 bits after each other."""
-    key = b"starloom"
-    return np.frombuffer(b"".join([hashlib.blake2b(v, digest_size=size, key=key).digest() for v in values.cast(pa.large_binary()).to_pylist()]), np.uint64)
+#: Digests of short words that a worker has seen; forgotten when there are too many.
+_digests: dict[bytes, bytes] = {}
+_REMEMBERED, _SHORT = 400_000, 48
+
+
+def digests_of(values: pa.Array) -> np.ndarray:
+    """A keyed 64-bit digest of each text or byte string."""
+    out = []
+    for value in values.cast(pa.large_binary()).to_pylist():
+        digest = _digests.get(value)
+        if digest is None:
+            digest = hashlib.blake2b(value, digest_size=8, key=b"starloom").digest()
+            if len(value) <= _SHORT:
+                if len(_digests) >= _REMEMBERED:
+                    _digests.clear()
+                _digests[value] = digest
+        out.append(digest)
+    return np.frombuffer(b"".join(out), np.uint64)
 
 
 def word_hashes(text: np.ndarray, at: np.ndarray, is_space: np.ndarray, fold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -211,7 +225,7 @@ def word_hashes(text: np.ndarray, at: np.ndarray, is_space: np.ndarray, fold: np
     offsets = bounds(ends - starts)
     words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(joined)])
     coded = pc.dictionary_encode(words)
-    return digests_of(coded.dictionary, 8)[np.asarray(coded.indices, np.int64)], np.searchsorted(starts, at)
+    return digests_of(coded.dictionary)[np.asarray(coded.indices, np.int64)], np.searchsorted(starts, at)
 
 
 ASCII_SPACE = np.zeros(256, bool)

@@ -17,21 +17,20 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .arrays import bounds, by_size, digests_of, runs_at
+from .arrays import as_bytes, bounds, by_size, range_hashes, runs_at
 from .bpe import Vocabulary, as_bytes_of_binary, cut_texts
 from .elias_fano import SAMPLE, EliasFano
 
 #: Distinct words whose ids a Python worker remembers, at most (about 30 bytes each).
 REMEMBERED = 3_000_000
+REMEMBERED_BYTES = 64 << 20
 #: Text bytes of a block, about.
 BLOCK_BYTES = 4 << 20
 
 
 class WordIds:
-    """Ids of words seen by this worker, by a 128-bit digest: words are found by its first half, and the second half must agree as well.
-
-    Forgets all when full; a forgotten word is encoded again.
-    """
+    """Ids of words seen by this worker: found by a hash, and taken only if all bytes agree. Forgets all when full; a forgotten word is encoded
+    again."""
 
     _of: dict[str, WordIds] = {}
 
@@ -46,7 +45,8 @@ class WordIds:
         return cls._of[path]
 
     def _clear(self) -> None:
-        self.known, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.known, self.bytes = np.zeros(0, np.uint64), np.zeros(0, np.uint8)
+        self.word_start, self.word_length = np.zeros(0, np.int64), np.zeros(0, np.uint32)
         self.start = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.uint32)
         self.flat = np.zeros(0, self.vocabulary.id_type)
@@ -58,14 +58,21 @@ class WordIds:
         there[within] = self.known[place[within]] == hashes[within]
         return place, there
 
+    def _same(self, place: np.ndarray, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bool:
+        """Whether the known words at these places are those in ``data``, byte by byte."""
+        if (self.word_length[place] != sizes).any():
+            return False
+        return bool((self.bytes[runs_at(self.word_start[place], sizes)] == data[runs_at(starts, sizes)]).all())
+
     def ids(self, words: pa.Array, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all codes in turn, and the number of ids of each code."""
-        hashes, checks = digests_of(words, 16).reshape(-1, 2).T
-        if len(self.known) + len(words) > REMEMBERED:
+        data, ends = as_bytes(words)
+        hashes, sizes = range_hashes(data, ends[:-1], ends[1:]), np.diff(ends)
+        if len(self.known) + len(words) > REMEMBERED or len(self.bytes) + len(data) > REMEMBERED_BYTES:
             self._clear()
         place, there = self._places(hashes)
-        if len(np.unique(hashes)) < len(hashes) or (self.check[place[there]] != checks[there]).any():
-            # Two words with the same half: once in many lifetimes. They are encoded without being remembered.
+        if len(np.unique(hashes)) < len(hashes) or not self._same(place[there], data, ends[:-1][there], sizes[there]):
+            # Words that share a hash: these are encoded without being remembered.
             flat, at = self.vocabulary.encode_words(words.to_pylist())
             n = np.diff(at)[codes]
             return flat[runs_at(at[:-1][codes], n)], n
@@ -76,7 +83,9 @@ class WordIds:
             added = hashes[~there][order]
             to = np.searchsorted(self.known, added)
             self.known = np.insert(self.known, to, added)
-            self.check = np.insert(self.check, to, checks[~there][order])
+            self.word_start = np.insert(self.word_start, to, (bounds(sizes[~there])[:-1] + len(self.bytes))[order])
+            self.word_length = np.insert(self.word_length, to, sizes[~there][order])
+            self.bytes = np.concatenate([self.bytes, data[runs_at(ends[:-1][~there], sizes[~there])]])
             self.start = np.insert(self.start, to, (at[:-1] + len(self.flat))[order])
             self.length = np.insert(self.length, to, np.diff(at)[order])
             self.flat = np.concatenate([self.flat, flat])
