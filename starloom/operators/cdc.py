@@ -4,6 +4,9 @@
 and the non-audit columns. All changes of a key are folded by aggregation, so a key with very
 many changes is reduced in each task before the shuffle. An insert of a key that exists, and an
 update or delete of one that does not, has no effect.
+
+Batches may be delivered twice or late. A register holds the last ``seq`` of every key that has had changes,
+and a change that is not later than that has no effect (``apply_batch``).
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ACTIVE, INACTIVE
+from .rows import known_keys, unseen
 
 AUDIT_COLUMNS = ("created_at", "updated_at", "is_active")
 
@@ -71,6 +75,36 @@ def _after(column: str, known: Column, updated: Column, later: Column) -> Column
     return F.when(known, old).otherwise(new).alias(column)
 
 
+def later_changes(changes: DataFrame, register: DataFrame, key: str) -> DataFrame:
+    """The changes later than what the register (``key``, ``last_seq``) holds of their key. Those without key or number are left out.
+
+    Of the register only the keys in the batch are joined, so while the batch is small it is scanned and not shuffled.
+    """
+    numbered = changes.filter(F.col(key).isNotNull() & F.col("seq").isNotNull())
+    held = register.join(known_keys(register, numbered, key), key, "left_semi")
+    met = numbered.join(held.select(key, F.col("last_seq").alias("_held")), key, "left")
+    return met.filter("_held IS NULL OR seq > _held").drop("_held")
+
+
+def register_changes(register: DataFrame, changes: DataFrame, key: str) -> DataFrame:
+    """The register after a batch: one row for every key that has ever had a change, with or without effect."""
+    numbered = changes.filter(F.col(key).isNotNull() & F.col("seq").isNotNull())
+    newest = numbered.groupBy(key).agg(F.max("seq").alias("_newest"))
+    known = register.join(newest, key, "left").select(key, F.greatest("last_seq", "_newest").alias("last_seq"))
+    return known.unionByName(unseen(newest, register, key).select(key, F.col("_newest").alias("last_seq")))
+
+
+def apply_batch(
+    current: DataFrame, register: DataFrame, changes: DataFrame, key: str, run_date: dt.date | str
+) -> tuple[DataFrame, DataFrame]:
+    """Apply a batch that may be a repeated or a late one: table and register after it.
+
+    Changes of a key that are not later than the last one delivered for it have no effect and stamp nothing, so a batch
+    applied twice changes nothing. Repeats inside a batch count once.
+    """
+    return apply_changes(current, later_changes(changes, register, key), key, run_date), register_changes(register, changes, key)
+
+
 def soft_delete(current: DataFrame, ids: DataFrame, key: str, run_date: dt.date | str) -> DataFrame:
     """Mark the rows with the given keys inactive, as of ``run_date``."""
     hit = F.col("_hit").isNotNull()

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import key_to_date
@@ -14,6 +14,7 @@ from .versions import version_on
 
 FACT_COLUMNS = SERVING["fact_sales"].names
 FACT_IDENTITY = ["order_id", "product_key"]
+LINE = ["order_id", "product_id"]
 ORDER_COLUMNS = SERVING["fact_orders"].names
 
 KEYS = [*(dim.key for dim in DIMENSIONS.values()), "order_status_id"]
@@ -31,15 +32,54 @@ def compared_orders(staged: DataFrame, known: DataFrame, statuses: DataFrame) ->
     return met.withColumn("moved", F.col("known_date").isNotNull() & F.col("order_status_id").isNotNull() & ~same).drop("_s", "_r")
 
 
-def keyed_sales(staged: DataFrame, compared: DataFrame, dims: Mapping[str, DataFrame], statuses: DataFrame) -> DataFrame:
-    """Staged rows of orders the fact does not hold yet, with every key; NULL where none is valid."""
+def keyed_sales(
+    staged: DataFrame, compared: DataFrame, dims: Mapping[str, DataFrame], statuses: DataFrame, offered: DataFrame | None = None
+) -> DataFrame:
+    """Staged rows of orders the fact does not hold yet, with every key; NULL where none is valid.
+
+    ``offered`` lines have waited in earlier runs (see ``offered_lines``). They take part whatever the fact holds of their
+    orders, as they have never been in it, and instead of staged rows of the same line.
+    """
     held = compared.where("known_date IS NOT NULL").select("order_id")
-    rows = staged.join(held, "order_id", "left_anti").withColumn("_ordered_on", key_to_date("order_date"))
+    rows = staged.join(held, "order_id", "left_anti")
+    if offered is not None:
+        rows = rows.join(offered, LINE, "left_anti").unionByName(offered)
+    rows = rows.withColumn("_ordered_on", key_to_date("order_date"))
     for name, dim in DIMENSIONS.items():
         rows = version_on(rows, dims[name], dim, "_ordered_on", "left")
     return rows.drop("_ordered_on").join(statuses, "order_status", "left")
 
 
+def offered_lines(pending: DataFrame, staged: DataFrame) -> DataFrame:
+    """The lines that wait for a version, as the batch has them where it has them again."""
+    row = F.struct(*STAGING["sales"].names)
+    met = pending.select(*LINE, row.alias("_old")).join(staged.select(*LINE, row.alias("_new")), LINE, "left")
+    return met.select(F.coalesce("_new", "_old").alias("_row")).select("_row.*")
+
+
+def settle_early(keyed: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Lines older than the first version of an id take that version: it is the earliest known state of an id that came late.
+
+    ``unknown`` lists the keys whose id has no version at all. A line in a gap between or after versions stays without a key,
+    but is not unknown. Only ids without a valid version are looked up, so while those are few no dimension is shuffled.
+    """
+    rows, unknown = keyed.withColumn("_ordered_on", key_to_date("order_date")), []
+    for name, dim in DIMENSIONS.items():
+        lacking = keyed.filter(F.col(dim.key).isNull()).select(dim.id).distinct()
+        firsts = dims[name].join(lacking, dim.id, "left_semi").groupBy(dim.id).agg(
+            F.min("eff_date").alias(f"_{name}_from"), F.min_by(dim.key, F.struct("eff_date", dim.key)).alias("_first")
+        )
+        early = F.col(dim.key).isNull() & (F.col("_ordered_on") < F.col(f"_{name}_from"))
+        rows = rows.join(firsts, dim.id, "left").withColumn(dim.key, F.when(early, F.col("_first")).otherwise(F.col(dim.key))).drop("_first")
+        unknown.append(F.when(F.col(dim.key).isNull() & F.col(f"_{name}_from").isNull(), F.lit(dim.key)))
+    return rows.select(*keyed.columns, _listed(unknown).alias("unknown"))
+
+
+def waiting_rows(settled: DataFrame) -> DataFrame:
+    """Lines that lack nothing but versions of unknown ids: a later run may find them."""
+    return settled.filter((_missing() != "") & (_missing() == F.col("unknown"))).select(*STAGING["sales"].names)
+
+
 def new_fact_rows(keyed: DataFrame) -> DataFrame:
     """Fact rows, still without ``sales_id``. A row that lacks a key is left out.
 
@@ -51,9 +91,16 @@ def new_fact_rows(keyed: DataFrame) -> DataFrame:
 
 def rejected_rows(keyed: DataFrame) -> DataFrame:
     """Rows that find no place in the fact, and the look-ups that failed."""
-    names = F.array(*[F.when(F.col(k).isNull(), F.lit(k)) for k in KEYS])
-    missing = F.array_join(F.array_compact(names), ",")
-    return keyed.select(*STAGING["sales"].names, missing.alias("missing")).filter("missing <> ''")
+    return keyed.select(*STAGING["sales"].names, _missing().alias("missing")).filter("missing <> ''")
+
+
+def _missing() -> Column:
+    """The keys a line lacks, in the order of ``KEYS``."""
+    return _listed([F.when(F.col(k).isNull(), F.lit(k)) for k in KEYS])
+
+
+def _listed(names: Sequence[Column]) -> Column:
+    return F.array_join(F.array_compact(F.array(*names)), ",")
 
 
 def order_updates(staged: DataFrame, statuses: DataFrame) -> DataFrame:

@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 
 from ..operators.bootstrap import order_status_lookup
 from ..operators.extract import EXTRACTIONS
-from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fact_rows, orders_of, rejected_rows, update_fact, update_orders
+from ..operators.fact import (
+    FACT_IDENTITY,
+    compared_orders,
+    keyed_sales,
+    new_fact_rows,
+    offered_lines,
+    orders_of,
+    rejected_rows,
+    settle_early,
+    update_fact,
+    update_orders,
+    waiting_rows,
+)
 from ..operators.keys import assign_keys
 from ..operators.scd2 import append_dates, scd2_rewrite
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
@@ -99,23 +111,33 @@ def known_orders(run: Run, staged: DataFrame) -> DataFrame:
     return known.unionByName(run.read("fact_orders", hits)) if hits else known
 
 
-def load_fact(run: Run, staged: DataFrame) -> None:
+def load_fact(run: Run, staged: DataFrame, wait: bool = False) -> None:
     """Insert new orders, update moved ones. Of the fact only months with a moved order are read and rewritten.
 
-    Rows without a valid version in every dimension go to the run's ``rejected_sales``.
+    Rows without a valid version in every dimension go to the run's ``rejected_sales``. With ``wait``, those that name an id
+    without any version are kept in ``pending_sales`` and offered again by each later run, and a line older than the first
+    version of an id takes that version. Entering the fact and leaving ``pending_sales`` become visible together, by the run's entry in
+    the log, so a line enters once whatever fails between.
     """
     statuses = run.read("dim_order_status")
     dims = {name: run.read(dim.table) for name, dim in DIMENSIONS.items()}
     month = F.substring("order_date", 1, 6)
 
-    compared = run.stage("compared_orders", compared_orders(staged, known_orders(run, staged), statuses))
+    offered = run.stage("offered_sales", offered_lines(run.read("pending_sales"), staged)) if wait else None
+    known = known_orders(run, staged.unionByName(offered) if wait else staged)
+    compared = run.stage("compared_orders", compared_orders(staged, known, statuses))
     moved = compared.where("moved").select(F.substring("known_date", 1, 6).alias("month")).distinct()
     months = [row["month"] for row in moved.collect()]  # bounded: one row per calendar month
 
-    keyed = run.stage("keyed_sales", keyed_sales(staged, compared, dims, statuses))
+    keyed = run.stage("keyed_sales", keyed_sales(staged, compared, dims, statuses, offered))
+    if wait:
+        keyed = run.stage("settled_sales", settle_early(keyed, dims))
+        run.publish("pending_sales", waiting_rows(keyed), F.lit("all"), replaces=["all"])
     new = new_fact_rows(keyed)
     numbered = assign_keys(new, "sales_id", FACT_IDENTITY, run.top_key("fact_sales"), KEY_DIGITS["fact_sales"])
-    orders = update_orders(run.read("fact_orders", months), compared).unionByName(orders_of(new))
+    # Of an order that is in the fact already, a line may have waited.
+    entered = orders_of(new).join(known, "order_id", "left_anti") if wait else orders_of(new)
+    orders = update_orders(run.read("fact_orders", months), compared).unionByName(entered)
     run_together(
         [
             lambda: run.stage("rejected_sales", rejected_rows(keyed)),
@@ -125,11 +147,12 @@ def load_fact(run: Run, staged: DataFrame) -> None:
     )
 
 
-def run_batch(warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date) -> Run:
+def run_batch(warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: dt.date, wait: bool = False) -> Run:
     """One daily run over the window since the last finished run.
 
     The staging tables are checked before anything is published: repeated keys, missing values and texts that are too
     long end the run, with no trace but its staging area. All that it found is stored as ``quality``.
+    ``wait`` keeps sales that name an unknown id for later runs (see ``load_fact``); without it they are only listed.
     """
     run = warehouse.begin(*warehouse.next_window(run_date))
     staged = stage_all(run, extract_all(run, tables))
@@ -138,7 +161,7 @@ def run_batch(warehouse: Warehouse, tables: Mapping[str, DataFrame], run_date: d
         lambda dim=dim: load_dimension(run, staged[dim.name], dim) for dim in DIMENSIONS.values()
     ]
     run_together([*dims, lambda: load_dates(run, staged["date"]), lambda: load_statuses(run)])
-    load_fact(run, staged["sales"])
+    load_fact(run, staged["sales"], wait)
     run.commit()
     run.clear_all(keep=["rejected_sales", "quality"])
     return run

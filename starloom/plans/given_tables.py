@@ -23,6 +23,8 @@ GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem
 
 # Two windows: (FIRST_START, FIRST_END] and (FIRST_END, SECOND_END].
 FIRST_START, FIRST_END, SECOND_END = dt.date(2015, 12, 31), dt.date(2019, 12, 31), dt.date(2022, 12, 31)
+# The end of a window before the first, in which many entities have not appeared yet.
+EARLY_END = dt.date(2016, 3, 31)
 
 RAW_SQL = {
     "raw_orders": """

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from ..schemas import (
+    EXTRACT,
     RAW,
     OPERATIONAL,
     OPERATIONAL_LENGTHS,
@@ -19,11 +20,11 @@ from ..schemas import (
     required_columns,
     warehouse_lengths,
 )
-from .given_tables import _HISTORY_SQL, AS_OF_SQL, FIRST_END, FIRST_START, GIVEN, LEFT_SQL, RAW_SQL, SECOND_END
-from .queries import CHANGE_DAY, CHANGES_SQL, GONE_SQL, RENAMES_SQL
+from .given_tables import _HISTORY_SQL, AS_OF_SQL, EARLY_END, FIRST_END, FIRST_START, GIVEN, LEFT_SQL, RAW_SQL, SECOND_END
+from .queries import CHANGE_DAY, CHANGED, CHANGES_SQL, DELIVERIES, GONE_SQL, RENAMES_SQL, SPOILED_SQL
 
-START, END1, END2, TODAY = (f"DATE '{d}'" for d in (FIRST_START, FIRST_END, SECOND_END, CHANGE_DAY))
-WINDOWS = {"1": (START, END1), "2": (END1, END2), "all": (START, END2)}
+START, END0, END1, END2, TODAY = (f"DATE '{d}'" for d in (FIRST_START, EARLY_END, FIRST_END, SECOND_END, CHANGE_DAY))
+WINDOWS = {"1": (START, END1), "2": (END1, END2), "all": (START, END2), "early": (START, END0), "between": (END0, END1)}
 OPEN = "DATE '9999-12-31'"
 
 # --- operational tables -----------------------------------------------------------------
@@ -37,7 +38,7 @@ BOOTSTRAPPED_ORDERS = """
 CTE: dict[str, str] = {**RAW_SQL, **_HISTORY_SQL, **CHANGES_SQL, **{f"gone_{n}": t for n, t in GONE_SQL.items()}}
 CTE["order_status"] = "SELECT * FROM (VALUES (1, 'Pending'), (2, 'Rejected'), (3, 'Completed')) v(order_status_id, order_status)"
 CTE["all_orders"] = BOOTSTRAPPED_ORDERS.replace("{source}", "{raw_orders}")
-for _n, _day in (("1", END1), ("2", END2)):
+for _n, _day in (("0", END0), ("1", END1), ("2", END2)):
     for _name in ("customers", "products", "staffs", "stores"):
         CTE[f"{_name}_{_n}"] = AS_OF_SQL[_name].replace("{day}", _day)
     CTE[f"orders_as_of_{_n}"] = AS_OF_SQL["orders_as_of"].replace("{day}", _day)
@@ -83,6 +84,8 @@ for _name in (*ENTITIES, "orders"):
     CTE[f"x_{_name}_1"] = _extract(_name, "1", "1")
     CTE[f"x_{_name}_2"] = _extract(_name, "2", "2")
     CTE[f"x_{_name}_all"] = _extract(_name, "2", "all")
+    CTE[f"x_{_name}_early"] = _extract(_name, "0", "early")
+    CTE[f"x_{_name}_between"] = _extract(_name, "1", "between")
 
 # --- staging ----------------------------------------------------------------------------
 
@@ -138,7 +141,7 @@ def _dates(source: str) -> str:
         FROM ({roles}) u WHERE d IS NOT NULL"""
 
 
-for _n in ("1", "2", "all"):
+for _n in WINDOWS:
     for _name in ENTITIES:
         CTE[f"stg_{_name}_{_n}"] = _stage(_name, "{x_" + _name + "_" + _n + "}")
     CTE[f"stg_sales_{_n}"] = _sales("{x_orders_" + _n + "}")
@@ -221,19 +224,56 @@ CTE["new_2"] = _keyed("{stg_sales_2}", "2", "JOIN", _UNSEEN)
 CTE["inserted"] = f"""
     SELECT (SELECT max(sales_id) FROM {{fact_1}}) + row_number() OVER (ORDER BY {_SALES_ORDER}) AS sales_id, {FACT}
     FROM {{new_2}}"""
-CTE["updated"] = f"""
-    SELECT f.sales_id, f.order_id, product_key, customer_key, store_key, staff_key, f.order_date, f.required_date,
-           CASE WHEN moved THEN u.shipped_date ELSE f.shipped_date END AS shipped_date,
-           CASE WHEN moved THEN u.rejected_date ELSE f.rejected_date END AS rejected_date,
-           CASE WHEN moved THEN u.order_status_id ELSE f.order_status_id END AS order_status_id,
-           quantity, discount_percent, discount_amount, total_price, total_price_with_discount
-    FROM {{fact_1}} f LEFT JOIN (
+
+
+def _updated(fact: str, staged: str) -> str:
+    return f"""
+    SELECT f.* REPLACE (CASE WHEN moved THEN u.shipped_date ELSE f.shipped_date END AS shipped_date,
+                        CASE WHEN moved THEN u.rejected_date ELSE f.rejected_date END AS rejected_date,
+                        CASE WHEN moved THEN u.order_status_id ELSE f.order_status_id END AS order_status_id)
+    FROM {fact} f LEFT JOIN (
         SELECT DISTINCT s.order_id, s.shipped_date, s.rejected_date, o.order_status_id
-        FROM {{stg_sales_2}} s JOIN {{order_status}} o ON s.order_status = o.order_status) u ON f.order_id = u.order_id
+        FROM {staged} s JOIN {{order_status}} o ON s.order_status = o.order_status) u ON f.order_id = u.order_id
     CROSS JOIN LATERAL (SELECT u.order_id IS NOT NULL AND (
         coalesce(f.shipped_date, '9999-12-31') <> coalesce(u.shipped_date, '9999-12-31')
         OR coalesce(f.rejected_date, '9999-12-31') <> coalesce(u.rejected_date, '9999-12-31')) AS moved) m"""
+
+
+CTE["updated"] = _updated("{fact_1}", "{stg_sales_2}")
 CTE["fact_2"] = "SELECT * FROM {updated} UNION ALL SELECT * FROM {inserted}"
+# Three runs in which lines wait for their ids. A line older than the first version of an id takes that version.
+_LATE_WINDOWS = ("early", "between", "2")
+_ID = {name: key for name, (key, _, _) in ENTITIES.items()}
+for _r, _window in enumerate(_LATE_WINDOWS):
+    for _name, _id in _ID.items():
+        CTE[f"late_{_name}_{_r}"] = _merge(_name, "{late_" + f"{_name}_{_r - 1}" + "}" if _r else None, "{stg_" + f"{_name}_{_window}" + "}")
+    _stg, _was = "{stg_sales_" + _window + "}", "{late_wait_" + str(_r - 1) + "}"
+    CTE[f"late_lines_{_r}"] = f"SELECT * FROM {_stg}" if not _r else f"""
+        SELECT s.* FROM {_stg} s SEMI JOIN {_was} w ON s.order_id = w.order_id AND s.product_id = w.product_id
+        UNION ALL SELECT w.* FROM {_was} w ANTI JOIN {_stg} s ON s.order_id = w.order_id AND s.product_id = w.product_id
+        UNION ALL SELECT s.* FROM {_stg} s ANTI JOIN {_was} w ON s.order_id = w.order_id AND s.product_id = w.product_id
+                  WHERE s.order_id NOT IN (SELECT order_id FROM {{late_fact_{_r - 1}}})"""
+    _joins = " ".join(
+        f"""LEFT JOIN (SELECT {i}, exp_date, eff_date,
+                              CASE WHEN eff_date = min(eff_date) OVER (PARTITION BY {i}) THEN DATE '0001-01-01' ELSE eff_date END AS since
+                       FROM {{late_{n}_{_r}}}) {n}
+            ON l.{i} = {n}.{i} AND CAST(strptime(l.order_date, '%Y%m%d') AS DATE) BETWEEN {n}.since AND {n}.exp_date"""
+        for n, i in _ID.items()
+    )
+    CTE[f"late_met_{_r}"] = f"""
+        SELECT l.*, o.order_status_id, {", ".join(f"{n}.eff_date AS {n}_since" for n in _ID)}
+        FROM {{late_lines_{_r}}} l {_joins} LEFT JOIN {{order_status}} o ON l.order_status = o.order_status"""
+    CTE[f"late_wait_{_r}"] = f"""
+        SELECT * EXCLUDE (order_status_id, {", ".join(f"{n}_since" for n in _ID)}) FROM {{late_met_{_r}}} l
+        WHERE order_status_id IS NOT NULL AND ({" OR ".join(f"{n}_since IS NULL" for n in _ID)})
+          AND {" AND ".join(f"({n}_since IS NOT NULL OR {i} NOT IN (SELECT {i} FROM {{late_{n}_{_r}}}))" for n, i in _ID.items())}"""
+    CTE[f"late_new_{_r}"] = f"""
+        SELECT * EXCLUDE (order_status) FROM {{late_met_{_r}}}
+        WHERE order_status_id IS NOT NULL AND {" AND ".join(f"{n}_since IS NOT NULL" for n in _ID)}"""
+    CTE[f"late_fact_{_r}"] = f"SELECT * FROM {{late_new_{_r}}}" + (
+        f" UNION ALL BY NAME SELECT * FROM ({_updated('{late_fact_' + str(_r - 1) + '}', _stg)}) u" if _r else ""
+    )
+
 CTE["dim_date_2"] = "SELECT * FROM {stg_date_1} UNION SELECT * FROM {stg_date_2}"
 
 # --- reports ----------------------------------------------------------------------------
@@ -380,6 +420,57 @@ CDC = {
         FROM {raw_order_items} i LEFT JOIN {renamed_products} r ON i.product_id = r.old_key""",
 }
 
+# Deliveries of changes: one counts if it is later than all of its key in the deliveries before.
+_CHANGED_TABLES = {"customers": "bootstrap_customers", "stores": "boot_stores", "staffs": "boot_staffs", "products": "boot_products"}
+_PAYLOAD = {
+    "customers": _CUSTOMER_COLUMNS, "stores": ENTITIES["stores"][2],
+    "staffs": "first_name last_name email phone store_id manager_id".split(),
+    "products": "product_name brand_id category_id model_year list_price".split(),
+}
+for _name, _changes in CHANGED.items():
+    _key, _columns = ENTITIES[_name][0], _PAYLOAD[_name]
+    CTE[f"delivered_{_name}"] = " UNION ALL ".join(
+        f"SELECT {n} AS step, DATE '{day}' AS day, c.* FROM ("
+        + CHANGES_SQL[_changes].replace("{events}", f"(SELECT * FROM {{events}} WHERE {part}) e") + ") c"
+        for n, (day, part) in enumerate(DELIVERIES)
+    )
+    CTE[f"counted_{_name}"] = f"""
+        SELECT * FROM (SELECT *, max(seq) OVER (PARTITION BY {_key} ORDER BY step RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS held
+                       FROM {{delivered_{_name}}}) d WHERE held IS NULL OR seq > held"""
+    CTE[f"changed_{_name}"] = f"""
+        SELECT f.*, i_day, c_day, c_seq FROM ({_folded("{counted_" + _name + "}", _key, _columns)}) f
+        JOIN (SELECT {_key}, arg_min(day, seq) FILTER (WHERE op = 'I') AS i_day, arg_max(day, seq) FILTER (WHERE op <> 'I') AS c_day,
+                     max(seq) FILTER (WHERE op <> 'I') AS c_seq
+              FROM {{counted_{_name}}} GROUP BY {_key}) g ON f.{_key} = g.{_key}"""
+    CDC[f"cdc_replayed_{_name}"] = f"""
+        SELECT c.{_key}, {_choose("u_seq IS NOT NULL", _columns, "u_", "c.")}, created_at,
+               coalesce(c_day, updated_at) AS updated_at, CASE WHEN d_seq IS NOT NULL THEN 'N' ELSE is_active END AS is_active
+        FROM {{{_CHANGED_TABLES[_name]}}} c LEFT JOIN {{changed_{_name}}} f ON c.{_key} = f.{_key}
+        UNION ALL
+        SELECT {_key}, {_choose("u_seq > i_seq", _columns, "u_", "i_")}, i_day, CASE WHEN c_seq > i_seq THEN c_day ELSE i_day END,
+               CASE WHEN d_seq > i_seq THEN 'N' ELSE 'Y' END
+        FROM {{changed_{_name}}}
+        WHERE i_seq IS NOT NULL AND {_key} NOT IN (SELECT {_key} FROM {{{_CHANGED_TABLES[_name]}}})"""
+CDC["cdc_change_register"] = " UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, {ENTITIES[n][0]} AS key, max(seq) AS last_seq FROM {{delivered_{n}}} GROUP BY ALL" for n in CHANGED
+)
+
+# Spoiled extracts: what is wrong with a line, in the order of its columns.
+_BAD = {"order_date": "store_id = '3'", "quantity": "discount = 0.05", "list_price": "quantity = 7"}
+_FILES = {"x_orders_1": f"{FIRST_END:%Y%m%d}-orders.csv", "x_orders_2": f"{SECOND_END:%Y%m%d}-orders.csv"}
+for _name in _FILES:
+    _why = ", ".join(f"CASE WHEN {t} THEN '{c}' END" for c, t in _BAD.items())
+    CTE[f"why_{_name}"] = f"SELECT *, concat_ws(',', {_why}) AS misfit FROM {{{_name}}}"
+    CTE[f"spoiled_{_name}"] = SPOILED_SQL.replace("{extract}", f"{{why_{_name}}}").replace("SELECT", "SELECT misfit,", 1)
+CDC["csv_fitting_rows"] = " UNION ALL ".join(
+    f"SELECT *, '{f}' AS file FROM {{{n}}} WHERE NOT ({' OR '.join(_BAD.values())})" for n, f in _FILES.items()
+)
+CDC["csv_misfits"] = " UNION ALL ".join(
+    f"""SELECT '{f}' AS file, concat_ws(',', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in EXTRACT["orders"].names)}) AS line, misfit
+        FROM {{spoiled_{n}}} s WHERE misfit <> ''"""
+    for n, f in _FILES.items()
+)
+
 # The operational tables at the end of the second window, by name.
 _STATE = {n: "{" + n + "_2}" for n in ("customers", "products", "staffs", "stores", "orders")} | {
     "order_items": "{raw_order_items}", "order_status": "{order_status}", "brands": "{raw_brands}",
@@ -555,6 +646,8 @@ SQL: dict[str, str] = {
            OR order_status_id IS NULL""",
     "fact_update": "SELECT * FROM {updated}",
     "end_to_end_star": "SELECT * FROM {fact_2}",
+    "end_to_end_late_arrivals": "SELECT * FROM {late_fact_2}",
+    "pending_sales": "SELECT * FROM {late_wait_2}",
     **CDC,
     "dq_keys": _dq_keys([*PRIMARY_KEYS.items(), *((t, [c]) for t, cs in UNIQUE_COLUMNS.items() for c in cs)], _STATE),
     "dq_staging_keys": _dq_keys(list(STAGING_KEYS.items()), _STAGED),

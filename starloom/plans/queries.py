@@ -16,11 +16,21 @@ from ..operators.scd2 import append_dates, scd2_merge, scd2_rewrite
 from ..operators.staging import STAGE, stage_date, stage_sales
 from ..schemas import DIMENSIONS, EXTRACT, KEY_DIGITS, OPERATIONAL, RAW, STAGING
 from ..session import run_together, scratch_path, tune
-from ..sources.files import export_csv, extract_path, import_csv, read_csv, read_parquet, write_csv, write_parquet
+from ..sources.files import (
+    export_csv,
+    extract_path,
+    import_csv,
+    read_csv,
+    read_csv_checked,
+    read_parquet,
+    split_misfits,
+    write_csv,
+    write_parquet,
+)
 from ..sources.warehouse import Warehouse
 from . import checks
 from .daily import run_batch
-from .given_tables import FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
+from .given_tables import EARLY_END, FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
 from .setup import load_operational_tables, prepare_dataset
 from .transform import export_extracts, staging_path, transform_day
 
@@ -42,6 +52,24 @@ CHANGES_SQL = {
                CAST(ts AS DATE) AS order_date, CAST(ts AS DATE) + 5 AS required_date, CAST(ts AS DATE) + 2 AS shipped_date,
                '1' AS store_id, '1' AS staff_id
         FROM {events}""",
+    "store_changes": """
+        SELECT CASE WHEN value > 60 THEN 'N' ELSE '' END || CAST(user_id % 25 AS STRING) AS store_id,
+               CASE WHEN event_type = 'signup' THEN 'I' WHEN event_type = 'error' AND value > 50 THEN 'D' ELSE 'U' END AS op,
+               event_id AS seq, 'Store ' || CAST(user_id AS STRING) AS store_name, '444-' || CAST(event_id AS STRING) AS phone,
+               event_type || '@store.example' AS email, props AS street, event_type AS city, 'WEB' AS state, '00000' AS zip_code
+        FROM {events}""",
+    "staff_changes": """
+        SELECT CASE WHEN value > 60 THEN 'N' ELSE '' END || CAST(user_id AS STRING) AS staff_id,
+               CASE WHEN event_type = 'signup' THEN 'I' WHEN event_type = 'error' AND value > 50 THEN 'D' ELSE 'U' END AS op,
+               event_id AS seq, 'Staff' AS first_name, CAST(event_id AS STRING) AS last_name, event_type || '@store.example' AS email,
+               '777-' || CAST(event_id AS STRING) AS phone, CAST(user_id % 25 AS STRING) AS store_id, '1' AS manager_id
+        FROM {events}""",
+    "product_changes": """
+        SELECT CASE WHEN value > 60 THEN 'N' ELSE '' END || CAST(user_id AS STRING) AS product_id,
+               CASE WHEN event_type = 'signup' THEN 'I' WHEN event_type = 'error' AND value > 50 THEN 'D' ELSE 'U' END AS op,
+               event_id AS seq, event_type || ' ' || CAST(event_id AS STRING) AS product_name, 11 AS brand_id, 6 AS category_id,
+               2022 AS model_year, CAST(event_id % 1000 AS DECIMAL(10,2)) AS list_price
+        FROM {events}""",
     "renamed_products": """
         SELECT CAST(p_partkey AS STRING) AS old_key, 'P' || CAST(p_partkey AS STRING) AS new_key
         FROM {part} WHERE p_type = 'SMALL'""",
@@ -72,6 +100,26 @@ GONE_SQL = {
     "products": "SELECT CAST(event_id AS STRING) AS product_id FROM {events} WHERE event_type = 'error'",
 }
 
+# Batches of changes as they are delivered: day, and the events of the batch. The second repeats the first in part and is late
+# in part, the third has everything, the fourth repeats it.
+DELIVERIES = (
+    (dt.date(2022, 12, 1), "value <= 10 OR value > 150"),
+    (dt.date(2022, 12, 2), "value <= 40"),
+    (dt.date(2022, 12, 3), "value >= 0"),
+    (dt.date(2022, 12, 4), "value >= 0"),
+)
+
+# Changes of each audited table, from CHANGES_SQL.
+CHANGED = {"customers": "customer_changes", "stores": "store_changes", "staffs": "staff_changes", "products": "product_changes"}
+
+# Order extracts with cells that do not fit their types.
+SPOILED_SQL = """
+    SELECT order_id, customer_id, order_status, CASE WHEN store_id = '3' THEN '2020-13-45' ELSE CAST(order_date AS STRING) END AS order_date,
+           required_date, shipped_date, store_id, staff_id, product_id,
+           CASE WHEN discount = 0.05 THEN 'x' ELSE '' END || CAST(quantity AS STRING) AS quantity,
+           CASE WHEN quantity = 7 THEN 'n/a' ELSE CAST(list_price AS STRING) END AS list_price, discount, updated_at
+    FROM {extract}"""
+
 
 class Star:
     """Inputs shared by the queries on one folder, written once per session to the shared folder."""
@@ -121,6 +169,44 @@ class Star:
         run_batch(self.first_run, self.second, SECOND_END)
         return self.first_run
 
+    @cached_property
+    def late_run(self) -> Warehouse:
+        """A star of three daily runs whose sales wait for the ids they name."""
+        warehouse = Warehouse(self.spark, scratch_path(self.spark, "late-star"))
+        for tables, day in ((self._operational(EARLY_END), EARLY_END), (self.first, FIRST_END), (self.second, SECOND_END)):
+            run_batch(warehouse, tables, day, wait=True)
+        return warehouse
+
+    @cached_property
+    def replayed_changes(self) -> dict[str, tuple[DataFrame, DataFrame]]:
+        """The audited tables, and their registers, after all deliveries of changes. Each register is written before the next."""
+
+        def after(name: str) -> tuple[DataFrame, DataFrame]:
+            key = DIMENSIONS[name].id
+            rows = _bootstrap_customers(self) if name == "customers" else _bootstrap(name)(self)
+            register = self.changes(CHANGED[name]).select(key, F.col("seq").alias("last_seq")).limit(0)
+            for step, (day, part) in enumerate(DELIVERIES):
+                batch = self.spark.sql(CHANGES_SQL[CHANGED[name]], events=self.store["events"].filter(part))
+                rows, register = cdc.apply_batch(rows, register, batch, key, day)
+                register = self._written(f"register-{name}-{step}", register)
+            return rows, register
+
+        return dict(zip(CHANGED, run_together([lambda n=n: after(n) for n in CHANGED])))
+
+    @cached_property
+    def checked_csv(self) -> DataFrame:
+        """The order extracts of both windows with spoiled cells, written as CSV and read with their misfits."""
+        root = scratch_path(self.spark, "spoiled")
+        extracts = {
+            FIRST_END: extract.extract_orders(self.first, FIRST_START, FIRST_END), SECOND_END: self.extracted("orders"),
+        }
+        paths = [extract_path(root, day, "orders") for day in extracts]
+        for path, rows in zip(paths, extracts.values()):
+            write_csv(self.spark.sql(SPOILED_SQL, extract=rows), path)
+        read = read_csv_checked(self.spark, paths, EXTRACT["orders"])
+        # The day's file, whatever parts it was written in.
+        return read.withColumn("file", F.regexp_extract("file", r"(\d{8}-orders\.csv)", 1))
+
     def before(self, table: str) -> DataFrame:
         return self.first_run.read(table, seq=1)
 
@@ -258,6 +344,26 @@ def _order_changes(s: Star) -> DataFrame:
     return cdc.apply_order_changes(orders, s.changes("order_changes"), CHANGE_DAY)
 
 
+def _replayed_changes(name: str):
+    return lambda s: s.replayed_changes[name][0]
+
+
+def _change_register(s: Star) -> DataFrame:
+    registers = {n: register for n, (_, register) in s.replayed_changes.items()}
+    return reduce(
+        DataFrame.unionByName,
+        [r.select(F.lit(n).alias("table_name"), F.col(DIMENSIONS[n].id).alias("key"), "last_seq") for n, r in registers.items()],
+    )
+
+
+def _late_arrivals(s: Star) -> DataFrame:
+    """The fact with the ids and the versions that its keys stand for."""
+    fact = s.late_run.read("fact_sales")
+    for name, dim in DIMENSIONS.items():
+        fact = fact.join(s.late_run.read(dim.table).select(dim.key, dim.id, F.col("eff_date").alias(f"{name}_since")), dim.key)
+    return fact.drop("sales_id", *[dim.key for dim in DIMENSIONS.values()])
+
+
 def _etl_windows(s: Star) -> DataFrame:
     runs = s.store["events"].select("ts", (F.col("value") > 300).alias("ok"))
     return extract.extraction_windows(runs, "ts", "ok")
@@ -314,6 +420,10 @@ def _csv_roundtrip(s: Star) -> DataFrame:
     return read_csv(s.spark, path, EXTRACT["orders"])
 
 
+def _csv_fitting_rows(s: Star) -> DataFrame:
+    return s.checked_csv.filter("misfit = ''").drop("line", "misfit")
+
+
 def _csv_import(s: Star) -> DataFrame:
     raw = s.store.raw()
     folder = scratch_path(s.spark, "dataset")
@@ -374,7 +484,11 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "fact_rejected_rows": lambda s: rejected_rows(_keyed(s)),
     "fact_update": _fact_update,
     "end_to_end_star": lambda s: s.after("fact_sales"),
+    "end_to_end_late_arrivals": _late_arrivals,
+    "pending_sales": lambda s: s.late_run.read("pending_sales"),
     "cdc_apply_changes": _apply_changes,
+    **{f"cdc_replayed_{n}": _replayed_changes(n) for n in CHANGED},
+    "cdc_change_register": _change_register,
     "cdc_soft_delete": _soft_delete,
     **{f"cdc_soft_delete_{n}": _soft_delete_of(n) for n in GONE_SQL},
     "cdc_order_changes": _order_changes,
@@ -391,6 +505,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "cascade_update": _cascade_update,
     "cascade_update_refused": lambda s: checks.refused_renames(s.second, _renames(s)),
     "csv_roundtrip": _csv_roundtrip,
+    "csv_fitting_rows": _csv_fitting_rows,
+    "csv_misfits": lambda s: split_misfits(s.checked_csv)[1],
     "csv_import": _csv_import,
     "dataset_setup": _dataset_setup,
     "transform_files": _transform_files,

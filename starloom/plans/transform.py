@@ -1,6 +1,6 @@
 """Jobs from files to files: one day's extracts to CSV, one day's CSV to staging parquet.
 
-    python -m starloom.plans.transform RAW_ROOT YYYYMMDD PROCESSED_ROOT
+    python -m starloom.plans.transform RAW_ROOT YYYYMMDD PROCESSED_ROOT [reject]
 """
 
 from __future__ import annotations
@@ -10,13 +10,16 @@ import logging
 import sys
 from collections.abc import Mapping
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.extract import EXTRACTIONS, Day
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
 from ..schemas import EXTRACT, STAGING_RECORDS_PER_FILE
 from ..session import build_session, run_together, scratch_path
-from ..sources.files import extract_path, read_csv, read_parquet, write_csv, write_parquet
+from ..sources.files import extract_path, read_csv, read_csv_checked, read_parquet, split_misfits, write_csv, write_parquet
 
 
 def export_extracts(
@@ -36,13 +39,19 @@ def staging_path(processed_root: str, run_date: dt.date | str, table: str) -> st
     return extract_path(processed_root, run_date, table).rsplit("/", 1)[0] + f"/{table}"
 
 
-def transform_day(spark: SparkSession, raw_root: str, run_date: dt.date | str, processed_root: str) -> None:
-    """Read one day's five CSV extracts and write the six staging tables."""
-    extracts = {n: read_csv(spark, extract_path(raw_root, run_date, n), s) for n, s in EXTRACT.items()}
-    # Two tables come from the orders: their text is parsed once.
-    landed = scratch_path(spark, "orders")
-    write_parquet(extracts["orders"], landed)
-    extracts["orders"] = read_parquet(spark, landed, EXTRACT["orders"])
+def transform_day(spark: SparkSession, raw_root: str, run_date: dt.date | str, processed_root: str, reject: bool = False) -> None:
+    """Read one day's five CSV extracts and write the six staging tables.
+
+    A cell that does not fit its type is read as NULL. With ``reject`` its line is left out instead, and all such lines are
+    written to the table ``rejected`` beside the staging tables, with their extract, file and the reason.
+    """
+    paths = {n: extract_path(raw_root, run_date, n) for n in EXTRACT}
+    if reject:
+        extracts = _without_misfits(spark, paths, staging_path(processed_root, run_date, "rejected"))
+    else:
+        # Two tables come from the orders: their text is parsed once.
+        extracts = {n: read_csv(spark, paths[n], s) for n, s in EXTRACT.items()}
+        extracts["orders"] = _landed(spark, "orders", extracts["orders"])
     staged = {name: stage(extracts[name]) for name, stage in STAGE.items()}
     staged |= {"date": stage_date(extracts["orders"]), "sales": stage_sales(extracts["orders"])}
     run_together(
@@ -55,13 +64,30 @@ def transform_day(spark: SparkSession, raw_root: str, run_date: dt.date | str, p
     )
 
 
+def _landed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
+    path = scratch_path(spark, name)
+    write_parquet(rows, path)
+    return read_parquet(spark, path, rows.schema)
+
+
+def _without_misfits(spark: SparkSession, paths: Mapping[str, str], rejected: str) -> dict[str, DataFrame]:
+    """The extracts without the lines that do not fit, which go to the table at ``rejected``. All text is parsed once."""
+
+    def land(name: str) -> DataFrame:
+        return _landed(spark, name, read_csv_checked(spark, paths[name], EXTRACT[name]))
+
+    parts = {n: split_misfits(c) for n, c in zip(paths, run_together([lambda n=n: land(n) for n in paths]))}
+    write_parquet(reduce(DataFrame.unionByName, [bad.select(F.lit(n).alias("extract"), "*") for n, (_, bad) in parts.items()]), rejected)
+    return {n: good for n, (good, _) in parts.items()}
+
+
 def main(arguments: list[str]) -> int:
-    if len(arguments) != 3:
-        logging.error("usage: transform RAW_ROOT YYYYMMDD PROCESSED_ROOT")
+    if len(arguments) not in (3, 4) or arguments[3:] not in ([], ["reject"]):
+        logging.error("usage: transform RAW_ROOT YYYYMMDD PROCESSED_ROOT [reject]")
         return 1
     spark = build_session("starloom-transform")
     try:
-        transform_day(spark, *arguments)
+        transform_day(spark, *arguments[:3], reject=len(arguments) == 4)
     except Exception:
         logging.exception("transform failed")
         return 1

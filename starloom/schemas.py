@@ -194,6 +194,8 @@ SERVING = {
     "fact_orders": _table(
         "order_id order_date", order_id=STRING, order_date=STRING, shipped_date=STRING, rejected_date=STRING,
     ),
+    # Staged lines that name an id without any version yet.
+    "pending_sales": STAGING["sales"],
 }
 
 

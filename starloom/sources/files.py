@@ -6,6 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import run_together
@@ -27,6 +28,33 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructTyp
     return reader.csv(path if isinstance(path, str) else list(path))
 
 
+MISFIT_COLUMNS = ["file", "line", "misfit"]
+WRONG_NUMBER = "number of cells"
+
+
+def read_csv_checked(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, strict_header: bool = True) -> DataFrame:
+    """The same rows as ``read_csv``, and for each line that does not fit the schema where it is from and why.
+
+    ``file`` is the path read. ``misfit`` is empty for a line that fits, and otherwise names the columns whose cells do not fit their
+    types, comma-separated, or is ``WRONG_NUMBER`` if there are too many or too few cells; ``line`` is the text of such a line.
+    """
+    # The reader tells misfits by the columns that are asked for. A test of ``misfit`` needs all of them, so it is right for any selection.
+    nullable = [T.StructField(f.name, f.dataType) for f in schema.fields]
+    reader = spark.read.schema(T.StructType([*nullable, T.StructField("line", T.StringType())]))
+    reader = reader.options(header=True, escape='"', enforceSchema=not strict_header, columnNameOfCorruptRecord="line")
+    found = reader.csv(path if isinstance(path, str) else list(path))
+    cells = F.from_csv("line", ", ".join(f"`{n}` STRING" for n in schema.names), {"escape": '"'})
+    found = found.select(*schema.names, F.col("_metadata.file_path").alias("file"), "line", cells.alias("_cells"))
+    bad = F.array_compact(F.array(*[F.when(F.col(n).isNull() & F.col("_cells")[n].isNotNull(), F.lit(n)) for n in schema.names]))
+    why = F.when(F.size(bad) > 0, F.array_join(bad, ",")).otherwise(WRONG_NUMBER)
+    return found.withColumn("misfit", F.when(F.col("line").isNull(), "").otherwise(why)).drop("_cells")
+
+
+def split_misfits(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of checked lines, the rows that fit, and ``MISFIT_COLUMNS`` of those that do not."""
+    return checked.filter("misfit = ''").drop(*MISFIT_COLUMNS), checked.filter("misfit <> ''").select(*MISFIT_COLUMNS)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; replaces what is there. One file per task, no funnel through one."""
     df.write.mode("overwrite").options(header=True, escape='"').csv(path)

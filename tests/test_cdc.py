@@ -5,7 +5,8 @@ import random
 from frames import frame, rows
 from pyspark.sql import types as T
 
-from starloom.operators.cdc import apply_changes, apply_order_changes, soft_delete
+from starloom.operators.cdc import apply_batch, apply_changes, apply_order_changes, later_changes, register_changes, soft_delete
+from starloom.operators.rows import literal_rows
 from starloom.schemas import OPERATIONAL
 
 TODAY = "2020-05-05"
@@ -75,3 +76,44 @@ def test_order_changes_equal_a_replay(spark):
     )
     got = apply_order_changes(frame(spark, schema, current), frame(spark, change_schema, changes), TODAY)
     assert rows(got, "order_id", "order_status_id", "updated_at") == sorted((k, str(a), b) for k, (a, b) in table.items())
+
+
+REGISTER = T.StructType([T.StructField("customer_id", T.StringType()), T.StructField("last_seq", T.LongType())])
+
+
+def test_repeated_and_late_batches(spark):
+    pick = random.Random(11)
+    current = [dict(customer_id=str(i), city=f"c{i}", created_at="2016-01-01", updated_at="2016-01-01", is_active="Y") for i in range(20)]
+    changes = [
+        ("5" if pick.random() < 0.33 else str(pick.randrange(40)), pick.choice("IUUD"), n, pick.choice(["x", "y", None])) for n in range(300)
+    ]
+    # Out of order, some twice, one of nothing; and the whole once more at the end.
+    batches = [changes[100:200] + changes[150:200], changes[:120], [], changes[100:200], changes[50:], changes]
+    table, register = frame(spark, CATEGORY_LIKE, current), literal_rows(spark, REGISTER)
+    state, last = {r["customer_id"]: dict(r) for r in current}, {}
+    for n, batch in enumerate(batches):
+        day = f"2020-05-{n + 1:02}"
+        table, register = apply_batch(table, register, frame(spark, CHANGE, batch).repartition(3), "customer_id", day)
+        register = frame(spark, REGISTER, [tuple(r) for r in register.collect()])
+        table = frame(spark, CATEGORY_LIKE, [tuple(r) for r in table.collect()])
+        counted = {c for c in batch if c[2] > last.get(c[0], -1)}
+        for key, op, seq, city in sorted(counted, key=lambda c: c[2]):
+            if op == "I" and key not in state:
+                state[key] = dict(customer_id=key, city=city, created_at=day, updated_at=day, is_active="Y")
+            elif op != "I" and key in state:
+                state[key].update(dict(city=city) if op == "U" else dict(is_active="N"), updated_at=day)
+        for key, _, seq, _ in batch:
+            last[key] = max(seq, last.get(key, -1))
+        assert rows(table) == sorted(tuple(str(v) for v in r.values()) for r in state.values())
+        assert rows(register) == sorted((k, str(s)) for k, s in last.items())
+    assert not any(r["updated_at"] == f"2020-05-{len(batches):02}" for r in state.values())
+
+
+def test_changes_without_key_or_number_and_an_empty_register(spark):
+    changes = frame(spark, CHANGE, [("1", "U", 3, "x"), ("1", "U", None, "y"), (None, "I", 4, "z"), ("2", "I", 1, "w")])
+    none = literal_rows(spark, REGISTER)
+    assert rows(later_changes(changes, none, "customer_id"), "customer_id", "seq") == [("1", "3"), ("2", "1")]
+    register = register_changes(none, changes, "customer_id")
+    assert rows(register) == [("1", "3"), ("2", "1")]
+    later = frame(spark, CHANGE, [("1", "U", 2, "late"), ("2", "U", 1, "same"), ("2", "U", 2, "new")])
+    assert rows(later_changes(later, register, "customer_id"), "customer_id", "city") == [("2", "new")]

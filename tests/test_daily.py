@@ -134,6 +134,49 @@ def test_known_orders_come_from_few_months(spark, tmp_path):
     ]
 
 
+def test_sales_wait_for_the_ids_they_name(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    items = [ITEM, {**ITEM, "item_id": 2, "product_id": "late"}, {**ITEM, "item_id": 3, "product_id": "never"}]
+    fact = ["sales_id", "order_id", "product_key", "shipped_date", "order_status_id"]
+
+    def run(day, **changed):
+        run_batch(warehouse, tables(spark, order_items=items, **changed), dt.date(2016, 1, day), wait=True)
+
+    run(6)
+    assert rows(warehouse.read("fact_sales"), *fact) == [("1", "1", "1", "None", "1")]
+    assert rows(warehouse.read("pending_sales"), "order_id", "product_id") == [("1", "late"), ("1", "never")]
+    # The order ships while two of its lines still wait; one of them is of a product that comes with this run.
+    shipped = {**ORDER, "order_status_id": 3, "shipped_date": "2016-01-09", "updated_at": "2016-01-09"}
+    late = {**PRODUCT, "product_id": "late", "updated_at": "2016-01-08"}
+    run(10, orders=[shipped], products=[PRODUCT, late])
+    both = [("1", "1", "1", "20160109", "3"), ("2", "1", "2", "20160109", "3")]
+    assert rows(warehouse.read("fact_sales"), *fact) == both
+    assert rows(warehouse.read("pending_sales"), "product_id", "shipped_date") == [("never", "20160109")]
+    assert rows(warehouse.read("fact_orders")) == [("1", "20160105", "20160109", "None")]
+    # Runs without news of the order, and with the same order once more, add nothing.
+    run(11, orders=[shipped], products=[PRODUCT, late])
+    run(12, orders=[{**shipped, "updated_at": "2016-01-12"}], products=[PRODUCT, late])
+    assert rows(warehouse.read("fact_sales"), *fact) == both
+    # The last line enters long after its order was last seen.
+    run(20, orders=[shipped], products=[PRODUCT, late, {**late, "product_id": "never", "updated_at": "2016-01-20"}])
+    assert rows(warehouse.read("fact_sales"), "order_id", "product_key", "shipped_date") == [
+        ("1", "1", "20160109"), ("1", "2", "20160109"), ("1", "3", "20160109"),
+    ]
+    assert warehouse.read("pending_sales").count() == 0 and warehouse.read("fact_orders").count() == 1
+
+
+def test_sales_in_a_gap_between_versions_do_not_wait(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    gone = {**PRODUCT, "product_id": "gone", "updated_at": "2016-01-03", "is_active": "N"}
+    placed = {**ORDER, "order_id": "2", "order_date": "2016-01-02", "updated_at": "2016-01-05"}
+    items = [{**ITEM, "product_id": "gone"}, {**ITEM, "order_id": "2", "product_id": "gone"}]
+    run = run_batch(warehouse, tables(spark, products=[gone], orders=[ORDER, placed], order_items=items), dt.date(2016, 1, 6), wait=True)
+    # Order 1 is later than the only version, order 2 earlier: that one takes it.
+    assert rows(warehouse.read("fact_sales"), "order_id") == [("2",)]
+    assert warehouse.read("pending_sales").count() == 0
+    assert rows(spark.read.parquet(run._staging("rejected_sales")), "order_id", "missing") == [("1", "product_key")]
+
+
 def test_a_run_without_commit_and_a_late_commit_leave_no_trace(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     dates = frame(spark, SERVING["dim_date"], [dict(date_key="20160101", date="2016-01-01", year=2016)])

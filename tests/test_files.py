@@ -6,7 +6,19 @@ from frames import frame, rows
 from starloom.schemas import EXTRACT, OPERATIONAL, RAW
 from starloom.session import shared_folder
 from starloom.sources.database import create_tables, drop_tables, read_database_table
-from starloom.sources.files import export_csv, extract_path, import_csv, read_csv, read_parquet, write_csv, write_parquet
+from starloom.plans.transform import staging_path, transform_day
+from starloom.sources.files import (
+    WRONG_NUMBER,
+    export_csv,
+    extract_path,
+    import_csv,
+    read_csv,
+    read_csv_checked,
+    read_parquet,
+    split_misfits,
+    write_csv,
+    write_parquet,
+)
 
 STORES = EXTRACT["stores"]
 HEADER = ",".join(STORES.names)
@@ -39,6 +51,47 @@ def test_csv_header_is_checked_unless_told_otherwise(spark, tmp_path):
     assert rows(read_csv(spark, path, STORES, strict_header=False), "store_id", "store_name") == [("1", "n")]
 
 
+def test_misfits_are_split_off_with_their_reason(spark, tmp_path):
+    lines = {
+        "good": '1,"a, ""b""",,"",s,c,NY,01234,,Y',
+        "date": '2,"x, y",p,e,s,c,NY,1,no date,Y',
+        "few": "3,n,p,e",
+        "many": "4,n,p,e,s,c,NY,1,2016-01-01,Y,more",
+        "both": "5,n,p,e,s,c,NY,1,2016-02-30,Y,more",
+        "blank": '6,n,p,e,s,c,NY,1,"",Y',
+    }
+    path = csv(tmp_path, HEADER, *lines.values())
+    good, bad = split_misfits(read_csv_checked(spark, path, STORES))
+    assert good.columns == STORES.names
+    assert rows(good, "store_id", "store_name", "phone", "updated_at") == [("1", 'a, "b"', "None", "None"), ("6", "n", "p", "None")]
+    # Whatever columns are asked for, the same rows fit.
+    assert rows(good.select("store_id")) == [("1",), ("6",)] and good.count() == 2
+    assert rows(bad.select("misfit", "line")) == sorted(
+        [("updated_at", lines["date"]), (WRONG_NUMBER, lines["few"]), (WRONG_NUMBER, lines["many"]), ("updated_at", lines["both"])]
+    )
+    assert {r.file.rsplit("/", 1)[1] for r in bad.collect()} == {"stores.csv"}
+    # The rows are those that the unchecked reader gives.
+    assert rows(read_csv_checked(spark, path, STORES).select(*STORES.names)) == rows(read_csv(spark, path, STORES))
+
+
+def test_misfits_of_files_without_any_and_of_empty_files(spark, tmp_path):
+    good, bad = split_misfits(read_csv_checked(spark, csv(tmp_path, HEADER), STORES))
+    assert good.count() == bad.count() == 0
+    good, bad = split_misfits(read_csv_checked(spark, csv(tmp_path, HEADER, "2,n,p,e,s,c,NY,1,2016-01-01,Y"), STORES))
+    assert (good.count(), bad.count()) == (1, 0)
+
+
+def test_a_day_can_be_transformed_without_its_misfits(spark, tmp_path):
+    raw, made = str(tmp_path / "raw"), str(tmp_path / "made")
+    for name, schema in EXTRACT.items():
+        write_csv(frame(spark, schema, []), extract_path(raw, "20160102", name))
+    stores = [f"{k},n,p,e,s,c,NY,1,{day},Y" for k, day in ((1, "2016-01-01"), (2, "none"), (3, "2016-01-02"))]
+    spark.createDataFrame([(line,) for line in [HEADER, *stores]], "value string").coalesce(1).write.mode("overwrite").text(extract_path(raw, "20160102", "stores"))
+    transform_day(spark, raw, "20160102", made, reject=True)
+    assert rows(spark.read.parquet(staging_path(made, "20160102", "stores")), "store_id") == [("1",), ("3",)]
+    assert rows(spark.read.parquet(staging_path(made, "20160102", "rejected")), "extract", "line", "misfit") == [("stores", stores[1], "updated_at")]
+
+
 def test_csv_round_trip_import_export(spark, tmp_path):
     product = dict(product_id="p", product_name='24" "x", y', brand_id=1, category_id=2, model_year=2016, list_price="10.50")
     tables = {"products": frame(spark, RAW["products"], [product]), "brands": frame(spark, RAW["brands"], [(1, "b")])}
