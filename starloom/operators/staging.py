@@ -1,4 +1,8 @@
-"""Staging: cleaned, deduplicated rows at the grain the merge jobs expect."""
+"""Staging: cleaned, deduplicated rows at the grain the merge jobs expect.
+
+Extracts of several days may be staged in one job: ``by`` names the columns that tell them apart. They are part of
+every key and stay in the result.
+"""
 
 from __future__ import annotations
 
@@ -24,40 +28,40 @@ STAGING_ORDER = {
 }
 
 
-def _stage_entity(extract: DataFrame, table: str, required: Sequence[str]) -> DataFrame:
+def _stage_entity(extract: DataFrame, table: str, required: Sequence[str], by: Sequence[str]) -> DataFrame:
     versions = extract.withColumnsRenamed({"updated_at": "eff_date", "is_active": "active_flag"})
-    return keep_one(versions.dropna(subset=list(required)), STAGING_KEYS[table]).select(*STAGING[table].names)
+    return keep_one(versions.dropna(subset=list(required)), [*by, *STAGING_KEYS[table]]).select(*STAGING[table].names, *by)
 
 
-def stage_customers(extract: DataFrame) -> DataFrame:
+def stage_customers(extract: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Customer versions; phone, email and street may be missing, nothing else."""
-    return _stage_entity(extract, "customers", required_columns(STAGING["customers"]))
+    return _stage_entity(extract, "customers", required_columns(STAGING["customers"]), by)
 
 
-def stage_stores(extract: DataFrame) -> DataFrame:
+def stage_stores(extract: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Store versions without any missing value."""
-    return _stage_entity(extract, "stores", STAGING["stores"].names)
+    return _stage_entity(extract, "stores", STAGING["stores"].names, by)
 
 
-def stage_staffs(extract: DataFrame) -> DataFrame:
+def stage_staffs(extract: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Staff versions without any missing value, the manager included."""
-    return _stage_entity(extract, "staffs", STAGING["staffs"].names)
+    return _stage_entity(extract, "staffs", STAGING["staffs"].names, by)
 
 
-def stage_products(extract: DataFrame) -> DataFrame:
+def stage_products(extract: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Product versions without any missing value; quotes are removed from the name."""
-    staged = _stage_entity(extract, "products", STAGING["products"].names)
+    staged = _stage_entity(extract, "products", STAGING["products"].names, by)
     return staged.withColumn("product_name", strip_quotes("product_name"))
 
 
-def stage_date(orders: DataFrame) -> DataFrame:
+def stage_date(orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One calendar row for every date an order mentions, in one scan of the orders."""
     roles = F.array("order_date", "required_date", "shipped_date", "updated_at")
-    dates = orders.select(F.explode(roles).alias("date")).dropna().distinct()
-    return dates.select(*calendar_parts("date"))
+    dates = orders.select(F.explode(roles).alias("date"), *by).dropna().distinct()
+    return dates.select(*calendar_parts("date"), *by)
 
 
-def stage_sales(orders: DataFrame, repeated: str = "first") -> DataFrame:
+def stage_sales(orders: DataFrame, repeated: str = "first", by: Sequence[str] = ()) -> DataFrame:
     """Order lines with measures and date keys, one row per order and product.
 
     ``repeated`` says what happens to further lines of the same product in one order:
@@ -65,17 +69,17 @@ def stage_sales(orders: DataFrame, repeated: str = "first") -> DataFrame:
     """
     lines = orders.dropna(subset=[c for c in orders.columns if c != "shipped_date"])
     if repeated == "first":
-        lines = keep_one(lines, STAGING_KEYS["sales"])
+        lines = keep_one(lines, [*by, *STAGING_KEYS["sales"]])
     elif repeated != "sum":
         raise ValueError(f"repeated must be 'first' or 'sum', not {repeated!r}")
     lines = lines.withColumns({"rejected_date": rejected_on(), **sales_measures()})
     if repeated == "sum":
-        lines = _add_up(lines)
+        lines = _add_up(lines, by)
     dates = {c: date_key(c) for c in ("order_date", "required_date", "shipped_date", "rejected_date")}
-    return lines.withColumns(dates).select(*STAGING["sales"].names)
+    return lines.withColumns(dates).select(*STAGING["sales"].names, *by)
 
 
-def _add_up(lines: DataFrame) -> DataFrame:
+def _add_up(lines: DataFrame, by: Sequence[str]) -> DataFrame:
     """One row per order and product: summed amounts, and the percentage that they come to, rounded.
 
     An extract holds one state of each order, so the order's columns are part of the grouping and only numbers are aggregated.
@@ -83,7 +87,7 @@ def _add_up(lines: DataFrame) -> DataFrame:
     added = ["quantity", "discount_amount", "total_price", "total_price_with_discount"]
     kinds = {f.name: f.dataType for f in STAGING["sales"].fields}
     of_order = ["customer_id", "store_id", "staff_id", "order_date", "required_date", "shipped_date", "rejected_date", "order_status"]
-    totals = lines.groupBy(*STAGING_KEYS["sales"], *of_order).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in added])
+    totals = lines.groupBy(*by, *STAGING_KEYS["sales"], *of_order).agg(*[F.sum(c).cast(kinds[c]).alias(c) for c in added])
     # In cents, so that the division is one of whole numbers.
     cents = "CAST(total_price * 100 AS BIGINT)"
     percent = F.expr(f"CAST(CASE WHEN {cents} = 0 THEN 0 ELSE (CAST(discount_amount * 100 AS BIGINT) * 200 + {cents}) DIV (2 * {cents}) END AS INT)")

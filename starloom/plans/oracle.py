@@ -603,6 +603,13 @@ CTE["boot_staffs"] = _constant(
 CTE["boot_products"] = _constant("*", "{raw_products}")
 CTE["boot_stores"] = _constant("*", "{raw_stores}")
 
+
+def _two_days(name: str) -> str:
+    """Both windows' staging tables with their days, as CSV hands them over."""
+    shown = "* REPLACE (nullif(phone, '') AS phone)" if name == "customers" else "*"
+    return " UNION ALL ".join(f"SELECT {shown}, {day} AS run_date FROM {{stg_{name}_{n}}}" for n, day in (("1", END1), ("2", END2)))
+
+
 SQL: dict[str, str] = {
     **{f"extract_{n}_window": f"SELECT * FROM {{x_{n}_2}}" for n in (*ENTITIES, "orders")},
     "bootstrap_customers": "SELECT * FROM {bootstrap_customers}",
@@ -671,6 +678,7 @@ SQL: dict[str, str] = {
         {n: ("{stg_" + n + "_all}", STAGING[n].names) for n in STAGING}
         | {"customers": ("(SELECT * REPLACE (nullif(phone, '') AS phone) FROM {stg_customers_all})", STAGING["customers"].names)}
     ),
+    "transform_days": _digests({n: (f"({_two_days(n)})", [*STAGING[n].names, "run_date"]) for n in STAGING}),
     "cascade_all": _digests({n: ("{left_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
     "cascade_update": _digests({n: ("{rekeyed_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
     "cascade_update_refused": " UNION ALL ".join(

@@ -32,7 +32,7 @@ from . import checks
 from .daily import run_batch
 from .given_tables import EARLY_END, FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
 from .setup import load_operational_tables, prepare_dataset
-from .transform import export_extracts, staging_path, transform_day
+from .transform import export_extracts, read_staged_days, staging_path, transform_day, transform_days
 
 CHANGE_DAY = dt.date(2022, 12, 1)
 
@@ -445,6 +445,14 @@ def _transform_files(s: Star) -> DataFrame:
     return _digests({n: read_parquet(s.spark, staging_path(f"{folder}/processed", SECOND_END, n), STAGING[n]) for n in STAGING})
 
 
+def _transform_days(s: Star) -> DataFrame:
+    folder = scratch_path(s.spark, "transform-days")
+    export_extracts(s.first, FIRST_START, FIRST_END, f"{folder}/raw", FIRST_END)
+    export_extracts(s.second, FIRST_END, SECOND_END, f"{folder}/raw", SECOND_END)
+    transform_days(s.spark, f"{folder}/raw", [FIRST_END, SECOND_END], f"{folder}/processed")
+    return _digests({n: read_staged_days(s.spark, f"{folder}/processed", n, FIRST_END, SECOND_END) for n in STAGING})
+
+
 def _parquet_roundtrip(s: Star) -> DataFrame:
     path = scratch_path(s.spark, "sales")
     write_parquet(stage_sales(s.extracted("orders")), path, sort=["order_id", "product_id"])
@@ -510,6 +518,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "csv_import": _csv_import,
     "dataset_setup": _dataset_setup,
     "transform_files": _transform_files,
+    "transform_days": _transform_days,
     "parquet_roundtrip": _parquet_roundtrip,
     "staging_publish_and_clear": _publish_and_clear,
     "sales_monthly_trend": _report(reports.sales_monthly_trend, "fact_sales", "dim_date"),

@@ -8,16 +8,17 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import sys
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.extract import EXTRACTIONS, Day
 from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
-from ..schemas import EXTRACT, STAGING_RECORDS_PER_FILE
+from ..schemas import DATE, EXTRACT, STAGING, STAGING_RECORDS_PER_FILE
 from ..session import build_session, run_together, scratch_path
 from ..sources.files import extract_path, read_csv, read_csv_checked, read_parquet, split_misfits, write_csv, write_parquet
 
@@ -64,6 +65,44 @@ def transform_day(spark: SparkSession, raw_root: str, run_date: dt.date | str, p
     )
 
 
+def transform_days(spark: SparkSession, raw_root: str, days: Sequence[dt.date], processed_root: str) -> None:
+    """Stage the extracts of many days in one job: for each the rows of ``transform_day``, in tables partitioned by ``run_date``.
+
+    One scan reads the files of all days, and each file tells its day. Of the tables (``processed_root/<table>``) only the partitions of these days
+    are replaced; a day without rows gets an empty one. A job that failed half way is repeated as it is.
+    """
+
+    def land(name: str) -> DataFrame:
+        rows = read_csv(spark, [extract_path(raw_root, day, name) for day in days], EXTRACT[name])
+        day = F.to_date(F.regexp_extract(F.col("_metadata.file_path"), rf"/(\d{{8}})-{name}\.csv", 1), "yyyyMMdd")
+        return rows.select("*", day.alias("run_date"))
+
+    extracts = {n: land(n) for n in EXTRACT}
+    extracts["orders"] = _landed(spark, "orders", extracts["orders"])
+    by = ["run_date"]
+    staged = {name: stage(extracts[name], by=by) for name, stage in STAGE.items()}
+    staged |= {"date": stage_date(extracts["orders"], by=by), "sales": stage_sales(extracts["orders"], by=by)}
+    run_together([lambda n=n, df=df: _replace_days(df, f"{processed_root.rstrip('/')}/{n}", days, STAGING_ORDER[n]) for n, df in staged.items()])
+
+
+def _replace_days(rows: DataFrame, path: str, days: Sequence[dt.date], order: Sequence[str]) -> None:
+    """Replace the partitions of the given days, also of those that have no rows."""
+    seen = Observation()
+    watched = rows.observe(seen, F.collect_set("run_date").alias("days"))  # bounded: calendar days
+    out = watched.hint("rebalance", "run_date").sortWithinPartitions("run_date", *order)
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", STAGING_RECORDS_PER_FILE)
+    writer.partitionBy("run_date").parquet(path)
+    for day in sorted(set(days) - set(seen.get["days"])):
+        write_parquet(rows.drop("run_date").limit(0), f"{path}/run_date={day}")
+
+
+def read_staged_days(spark: SparkSession, processed_root: str, table: str, first: dt.date, last: dt.date) -> DataFrame:
+    """A staging table of ``transform_days`` over a range of days, both ends included; other days' files are not read."""
+    kinds = [T.StructField(f.name, f.dataType) for f in STAGING[table].fields]
+    rows = spark.read.schema(T.StructType([*kinds, T.StructField("run_date", DATE)])).parquet(f"{processed_root.rstrip('/')}/{table}")
+    return rows.filter(F.col("run_date").between(F.lit(first), F.lit(last)))
+
+
 def _landed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
     path = scratch_path(spark, name)
     write_parquet(rows, path)

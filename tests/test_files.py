@@ -6,7 +6,7 @@ from frames import frame, rows
 from starloom.schemas import EXTRACT, OPERATIONAL, RAW
 from starloom.session import shared_folder
 from starloom.sources.database import create_tables, drop_tables, read_database_table
-from starloom.plans.transform import staging_path, transform_day
+from starloom.plans.transform import read_staged_days, staging_path, transform_day, transform_days
 from starloom.sources.files import (
     WRONG_NUMBER,
     export_csv,
@@ -92,6 +92,38 @@ def test_a_day_can_be_transformed_without_its_misfits(spark, tmp_path):
     assert rows(spark.read.parquet(staging_path(made, "20160102", "rejected")), "extract", "line", "misfit") == [("stores", stores[1], "updated_at")]
 
 
+def test_many_days_in_one_job_equal_the_days_alone(spark, tmp_path):
+    raw, made, alone = (str(tmp_path / n) for n in ("raw", "made", "alone"))
+    days = [dt.date(2016, 1, d) for d in (1, 2, 3)]
+    store = dict(store_id="1", store_name="n", phone="p", email="e", street="s", city="c", state="NY", zip_code="1", is_active="Y")
+    line = dict(order_id="1", customer_id="c", order_status="Pending", order_date="2016-01-01", required_date="2016-01-05", store_id="1", staff_id="f",
+                product_id="p", quantity=1, list_price="2", discount="0.10")
+
+    def export(day, **given):
+        for name, schema in EXTRACT.items():
+            write_csv(frame(spark, schema, given.get(name, [])), extract_path(raw, day, name))
+
+    # The same order on two days, twice on one of them; a day without stores.
+    export(days[0], orders=[{**line, "updated_at": "2016-01-01"}] * 2, stores=[{**store, "updated_at": "2016-01-01"}])
+    export(days[1], orders=[{**line, "shipped_date": "2016-01-02", "updated_at": "2016-01-02"}])
+    export(days[2], stores=[{**store, "updated_at": "2016-01-03"}])
+    transform_days(spark, raw, days, made)
+    for day in days:
+        transform_day(spark, raw, f"{day:%Y%m%d}", alone)
+        for name in ("sales", "date", "stores", "products"):
+            expected = rows(spark.read.parquet(staging_path(alone, f"{day:%Y%m%d}", name)))
+            assert rows(read_staged_days(spark, made, name, day, day).drop("run_date")) == expected
+    few = read_staged_days(spark, made, "sales", days[1], days[1])
+    assert {f.split("run_date=")[1][:10] for f in few.inputFiles()} <= {str(d) for d in days}
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "run_date" in plan.split("PartitionFilters: [")[1].split("]")[0] and "PushedFilters: []" in plan
+    # One day again, now with nothing: its rows go, the others stay.
+    export(days[0])
+    transform_days(spark, raw, days[:1], made)
+    assert rows(read_staged_days(spark, made, "sales", days[0], days[2]), "order_id", "run_date") == [("1", "2016-01-02")]
+    assert rows(read_staged_days(spark, made, "stores", days[0], days[2]), "run_date") == [("2016-01-03",)]
+
+
 def test_csv_round_trip_import_export(spark, tmp_path):
     product = dict(product_id="p", product_name='24" "x", y', brand_id=1, category_id=2, model_year=2016, list_price="10.50")
     tables = {"products": frame(spark, RAW["products"], [product]), "brands": frame(spark, RAW["brands"], [(1, "b")])}
