@@ -7,8 +7,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..operators.quality import column_violations, duplicate_keys, orphan_keys, rekey_columns, renames_to_refuse, retain_children
+from ..operators.quality import column_violations, duplicate_keys, rekey_columns, renames_to_refuse, retain_children
+from ..operators.rows import literal_rows
 from ..schemas import (
     FOREIGN_KEYS,
     OPERATIONAL,
@@ -21,6 +23,10 @@ from ..schemas import (
     warehouse_lengths,
 )
 
+REFERENCES_SCHEMA = T.StructType(
+    [T.StructField("reference", T.IntegerType()), *[T.StructField(n, T.StringType()) for n in ("child", "child_column", "parent")]]
+)
+
 # Parents before their children.
 TABLE_ORDER = ("stores", "staffs", "categories", "brands", "products", "customers", "order_status", "orders", "order_items", "stocks")
 
@@ -48,16 +54,33 @@ def _repeated(tables: Mapping[str, DataFrame], keys: list[tuple[str, list[str]]]
 
 
 def check_references(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Per foreign key: how many values have no parent, and in how many rows."""
-
-    def check(child: str, column: str, parent: str, parent_column: str) -> DataFrame:
-        found = orphan_keys(tables[child], column, tables[parent], parent_column)
-        totals = found.agg(F.count("*").alias("orphans"), F.coalesce(F.sum("rows"), F.lit(0)).cast("long").alias("rows"))
-        return totals.select(
-            F.lit(child).alias("child"), F.lit(column).alias("child_column"), F.lit(parent).alias("parent"), "orphans", "rows"
-        )
+    """Per foreign key: how many values have no parent, and in how many rows.
 
-    return reduce(DataFrame.unionByName, [check(*key[:4]) for key in FOREIGN_KEYS if key[0] in tables and key[2] in tables])
+    Each child is scanned once for all its references and reduced to one row per reference and value before the shuffle, so a hot
+    value costs one row per task; the values of all references meet the keys of all parents in one join.
+    """
+    checked = [(i, *key[:4]) for i, key in enumerate(FOREIGN_KEYS) if key[0] in tables and key[2] in tables]
+
+    def used(child: str) -> DataFrame:
+        values = [
+            F.struct(F.lit(i).alias("reference"), F.lit(f"{parent}.{parent_column}").alias("parent"), F.col(column).cast("string").alias("key"))
+            for i, table, column, parent, parent_column in checked
+            if table == child
+        ]
+        return tables[child].select(F.inline(F.array(*values))).filter(F.col("key").isNotNull())
+
+    def keys(parent: str, column: str) -> DataFrame:
+        return tables[parent].select(F.lit(f"{parent}.{column}").alias("parent"), F.col(column).cast("string").alias("key"))
+
+    children, parents = sorted({c[1] for c in checked}), sorted({(c[3], c[4]) for c in checked})
+    values = reduce(DataFrame.unionByName, [used(c) for c in children]).groupBy("reference", "parent", "key").agg(F.count("*").alias("rows"))
+    orphans = values.join(reduce(DataFrame.unionByName, [keys(*p) for p in parents]), ["parent", "key"], "left_anti")
+    totals = orphans.groupBy("reference").agg(F.count("*").alias("orphans"), F.sum("rows").alias("rows"))
+    listed = literal_rows(
+        next(iter(tables.values())).sparkSession, REFERENCES_SCHEMA, [(i, child, column, parent) for i, child, column, parent, _ in checked]
+    )
+    met = listed.join(totals, "reference", "left")
+    return met.select("child", "child_column", "parent", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("orphans", "rows")])
 
 
 def follow_deletes(tables: Mapping[str, DataFrame], left: Mapping[str, DataFrame]) -> dict[str, DataFrame]:

@@ -465,6 +465,9 @@ for _name in _FILES:
 CDC["csv_fitting_rows"] = " UNION ALL ".join(
     f"SELECT *, '{f}' AS file FROM {{{n}}} WHERE NOT ({' OR '.join(_BAD.values())})" for n, f in _FILES.items()
 )
+CTE["spoiled_all"] = SPOILED_SQL.replace("{extract}", "{x_orders_all}")
+CDC["parsed_dates"] = """
+    SELECT order_id, product_id, quantity, order_date AS text, TRY_CAST(order_date AS DATE) AS order_date FROM {spoiled_all}"""
 CDC["csv_misfits"] = " UNION ALL ".join(
     f"""SELECT '{f}' AS file, concat_ws(',', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '')" for c in EXTRACT["orders"].names)}) AS line, misfit
         FROM {{spoiled_{n}}} s WHERE misfit <> ''"""
@@ -679,6 +682,7 @@ SQL: dict[str, str] = {
         | {"customers": ("(SELECT * REPLACE (nullif(phone, '') AS phone) FROM {stg_customers_all})", STAGING["customers"].names)}
     ),
     "transform_days": _digests({n: (f"({_two_days(n)})", [*STAGING[n].names, "run_date"]) for n in STAGING}),
+    "catalog_tables": f"SELECT *, 0 AS tables_left FROM ({_digests({n: (_STATE[n], OPERATIONAL[n].names) for n in OPERATIONAL})}) d",
     "cascade_all": _digests({n: ("{left_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
     "cascade_update": _digests({n: ("{rekeyed_" + n + "}", OPERATIONAL[n].names) for n in OPERATIONAL}),
     "cascade_update_refused": " UNION ALL ".join(

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Mapping
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import parse_date
 from ..operators import bootstrap, cdc, extract, quality, reports
 from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fact_rows, rejected_rows, update_fact
 from ..operators.keys import assign_keys
@@ -16,6 +18,7 @@ from ..operators.scd2 import append_dates, scd2_merge, scd2_rewrite
 from ..operators.staging import STAGE, stage_date, stage_sales
 from ..schemas import DIMENSIONS, EXTRACT, KEY_DIGITS, OPERATIONAL, RAW, STAGING
 from ..session import run_together, scratch_path, tune
+from ..sources.database import create_tables, drop_tables
 from ..sources.files import (
     export_csv,
     extract_path,
@@ -424,6 +427,28 @@ def _csv_fitting_rows(s: Star) -> DataFrame:
     return s.checked_csv.filter("misfit = ''").drop("line", "misfit")
 
 
+def _parsed_dates(s: Star) -> DataFrame:
+    """The order dates of the spoiled extracts, from text."""
+    rows = s.spark.sql(SPOILED_SQL, extract=_all_orders(s))
+    return rows.select("order_id", "product_id", "quantity", F.col("order_date").alias("text"), parse_date("order_date").alias("order_date"))
+
+
+def _catalog_tables(s: Star) -> DataFrame:
+    """The operational tables in catalog tables that are created, filled, read and dropped; and how many are left after that."""
+    database = f"starloom_{uuid.uuid4().hex}"
+    create_tables(s.spark, database, OPERATIONAL)
+    try:
+        create_tables(s.spark, database, OPERATIONAL)  # those that exist stay
+        run_together([lambda n=n: s.second[n].select(*OPERATIONAL[n].names).write.insertInto(f"{database}.{n}") for n in OPERATIONAL])
+        path = scratch_path(s.spark, "catalog")
+        write_parquet(_digests({n: s.spark.table(f"{database}.{n}") for n in OPERATIONAL}), path)
+    finally:
+        drop_tables(s.spark, database, [*OPERATIONAL, "never_there"])
+        left = len(s.spark.catalog.listTables(database))
+        s.spark.sql(f"DROP DATABASE {database}")
+    return s.spark.read.parquet(path).withColumn("tables_left", F.lit(left))
+
+
 def _csv_import(s: Star) -> DataFrame:
     raw = s.store.raw()
     folder = scratch_path(s.spark, "dataset")
@@ -515,6 +540,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "csv_roundtrip": _csv_roundtrip,
     "csv_fitting_rows": _csv_fitting_rows,
     "csv_misfits": lambda s: split_misfits(s.checked_csv)[1],
+    "parsed_dates": _parsed_dates,
+    "catalog_tables": _catalog_tables,
     "csv_import": _csv_import,
     "dataset_setup": _dataset_setup,
     "transform_files": _transform_files,
