@@ -53,6 +53,11 @@ def sales_monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
         .groupBy("year", "month", "month_name")
         .agg(_revenue(), F.countDistinct("order_id").alias("orders"), _units())
     )
+    return compared_months(months)
+
+
+def compared_months(months: DataFrame) -> DataFrame:
+    """Months with their revenue's change to the month before, and its rank."""
     in_order = Window.partitionBy(F.lit(0)).orderBy("year", "month")
     change = F.col("revenue") - F.lag("revenue").over(in_order)
     return months.withColumns(
@@ -60,17 +65,32 @@ def sales_monthly_trend(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     )
 
 
-def late_delivery_by_store(fact: DataFrame, dim_stores: DataFrame) -> DataFrame:
-    """Orders, shipped orders and late orders per store; late means shipped after the required date."""
-    dim = DIMENSIONS["stores"]
+def delivered_orders(fact: DataFrame, *by: str | Column) -> DataFrame:
+    """What became of each order, by the columns given: ``shipped`` and ``late``, 1 or 0."""
     late = F.col("shipped_date") > F.col("required_date")
-    orders = fact.groupBy("store_key", "order_id").agg(
+    return fact.groupBy(*by).agg(
         F.max(F.col("shipped_date").isNotNull().cast("int")).alias("shipped"),
         F.max(F.coalesce(late, F.lit(False)).cast("int")).alias("late"),
     )
-    per_store = orders.groupBy("store_key").agg(
-        F.count("*").alias("orders"), F.sum("shipped").alias("shipped_orders"), F.sum("late").alias("late_orders")
+
+
+def counted_orders(orders: DataFrame, *by: str) -> DataFrame:
+    """Orders, shipped and late ones of ``delivered_orders``, by the columns given."""
+    return orders.groupBy(*by).agg(
+        F.count("*").alias("orders"),
+        F.sum("shipped").cast("long").alias("shipped_orders"),
+        F.sum("late").cast("long").alias("late_orders"),
     )
+
+
+def late_delivery_by_store(fact: DataFrame, dim_stores: DataFrame) -> DataFrame:
+    """Orders, shipped orders and late orders per store; late means shipped after the required date."""
+    return late_shares(counted_orders(delivered_orders(fact, "store_key", "order_id"), "store_key"), dim_stores)
+
+
+def late_shares(per_store: DataFrame, dim_stores: DataFrame) -> DataFrame:
+    """Counts of orders by key of the store, added up by store, with the share of late ones."""
+    dim = DIMENSIONS["stores"]
     counts = ["orders", "shipped_orders", "late_orders"]
     stores = (
         per_store.join(dim_stores.select(dim.key, dim.id), dim.key)

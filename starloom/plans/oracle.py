@@ -346,6 +346,29 @@ REPORTS = {
         FROM {staffs_2} s LEFT JOIN {staffs_2} m ON s.manager_id = m.staff_id""",
 }
 
+_MONTH = "substr(order_date, 1, 6)"
+_COUNTED = """count(DISTINCT order_id) AS orders, count(DISTINCT CASE WHEN shipped_date IS NOT NULL THEN order_id END) AS shipped_orders,
+              count(DISTINCT CASE WHEN shipped_date > required_date THEN order_id END) AS late_orders"""
+SUMMARIES = {
+    "summary_of_sales": " UNION ALL ".join(
+        f"SELECT {_MONTH} AS month, '{n}' AS grain, {ENTITIES[n][1]} AS key, {_TOTALS} FROM {{fact_2}} GROUP BY ALL"
+        for n in ("customers", "products", "stores")
+    ),
+    "summary_of_orders": f"""
+        SELECT {_MONTH} AS month, 'stores' AS grain, store_key AS key, {_COUNTED} FROM {{fact_2}} GROUP BY ALL
+        UNION ALL SELECT {_MONTH}, 'months', CAST(NULL AS BIGINT), {_COUNTED} FROM {{fact_2}} GROUP BY ALL""",
+    # Months of rows that the second run added, changed or took away.
+    "summary_touched_months": f"""
+        SELECT DISTINCT {_MONTH} AS month FROM (
+            (SELECT * FROM {{fact_2}} EXCEPT SELECT * FROM {{fact_1}}) UNION ALL (SELECT * FROM {{fact_1}} EXCEPT SELECT * FROM {{fact_2}})) f""",
+    **{
+        f"summary_{n}": REPORTS[n]
+        for n in (
+            "sales_monthly_trend", "late_delivery_by_store", "top_products", "brand_ranking", "unsold_products", "top_spenders", "store_performance",
+        )
+    },
+}
+
 # --- change capture and checks ----------------------------------------------------------
 
 _CUSTOMER_COLUMNS = ENTITIES["customers"][2]
@@ -699,6 +722,7 @@ SQL: dict[str, str] = {
     "parquet_roundtrip": "SELECT * FROM {stg_sales_2}",
     "staging_publish_and_clear": "SELECT *, CAST(0 AS BIGINT) AS left_in_staging FROM {stg_date_all}",
     **REPORTS,
+    **SUMMARIES,
 }
 
 _NAME = re.compile(r"\{(\w+)\}")

@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_date
-from ..operators import bootstrap, cdc, extract, quality, reports
+from ..operators import bootstrap, cdc, extract, quality, reports, summaries
 from ..operators.fact import FACT_IDENTITY, compared_orders, keyed_sales, new_fact_rows, rejected_rows, update_fact
 from ..operators.keys import assign_keys
+from ..operators.rows import literal_rows
 from ..operators.scd2 import append_dates, scd2_merge, scd2_rewrite
 from ..operators.staging import STAGE, stage_date, stage_sales
 from ..schemas import DIMENSIONS, EXTRACT, KEY_DIGITS, OPERATIONAL, RAW, STAGING
@@ -35,6 +36,7 @@ from . import checks
 from .daily import run_batch
 from .given_tables import EARLY_END, FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
 from .setup import load_operational_tables, prepare_dataset
+from .summaries import refresh_summaries
 from .transform import export_extracts, read_staged_days, staging_path, transform_day, transform_days
 
 CHANGE_DAY = dt.date(2022, 12, 1)
@@ -172,6 +174,12 @@ class Star:
         run_batch(self.first_run, self.second, SECOND_END)
         return self.first_run
 
+    @cached_property
+    def summarised(self) -> tuple[Warehouse, list[str]]:
+        """The star with summaries of its state after the first run, brought to the second's; and the months that this took."""
+        refresh_summaries(self.second_run, seq=1)
+        return self.second_run, refresh_summaries(self.second_run, seq=2)
+
     @cached_property
     def late_run(self) -> Warehouse:
         """A star of three daily runs whose sales wait for the ids they name."""
@@ -216,6 +224,9 @@ class Star:
     def after(self, table: str) -> DataFrame:
         return self.second_run.read(table, seq=2)
 
+    def summary(self, table: str) -> DataFrame:
+        return self.summarised[0].read(table)
+
     def dims(self) -> dict[str, DataFrame]:
         return {name: self.after(dim.table) for name, dim in DIMENSIONS.items()}
 
@@ -499,6 +510,16 @@ def _report(report: Callable[..., DataFrame], *tables: str):
     return lambda s: report(*[s.after(t) for t in tables])
 
 
+def _summed_report(report: Callable[..., DataFrame], name: str):
+    """A report over the summary of the one dimension that it needs."""
+    return lambda s: report(summaries.as_fact(s.summary("sales_summary"), name), s.after(DIMENSIONS[name].table))
+
+
+def _touched_months(s: Star) -> DataFrame:
+    months = s.summarised[1]
+    return literal_rows(s.spark, s.summary("sales_summary").select("month").schema, [(m,) for m in months])
+
+
 QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     **{f"extract_{n}_window": _extract(n) for n in extract.EXTRACTIONS},
     "bootstrap_customers": _bootstrap_customers,
@@ -556,6 +577,18 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "customers_by_state": _report(reports.customers_by_state, "dim_customers"),
     "top_spenders": _report(reports.top_spenders, "fact_sales", "dim_customers"),
     "store_performance": _report(reports.store_performance, "fact_sales", "dim_stores"),
+    "summary_of_sales": lambda s: s.summary("sales_summary"),
+    "summary_of_orders": lambda s: s.summary("order_summary"),
+    "summary_touched_months": _touched_months,
+    "summary_sales_monthly_trend": lambda s: summaries.sales_monthly_trend(
+        s.summary("sales_summary"), s.summary("order_summary"), s.after("dim_date")
+    ),
+    "summary_late_delivery_by_store": lambda s: summaries.late_delivery_by_store(s.summary("order_summary"), s.after("dim_stores")),
+    "summary_top_products": _summed_report(reports.top_products, "products"),
+    "summary_brand_ranking": _summed_report(reports.brand_ranking, "products"),
+    "summary_unsold_products": _summed_report(reports.unsold_products, "products"),
+    "summary_top_spenders": _summed_report(reports.top_spenders, "customers"),
+    "summary_store_performance": _summed_report(reports.store_performance, "stores"),
     "staff_hierarchy": lambda s: reports.staff_managers(s.second["staffs"]),
     "staff_chains": lambda s: reports.staff_chains(s.second["staffs"]),
 }

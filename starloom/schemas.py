@@ -19,7 +19,7 @@ STAGING_RECORDS_PER_FILE = 200_000
 # ----------------------------------------------------------------------------------------
 
 STRING, INT, LONG, DATE = T.StringType(), T.IntegerType(), T.LongType(), T.DateType()
-PRICE, RATE, MONEY = T.DecimalType(10, 2), T.DecimalType(4, 2), T.DecimalType(15, 2)
+PRICE, RATE, MONEY, TOTAL = T.DecimalType(10, 2), T.DecimalType(4, 2), T.DecimalType(15, 2), T.DecimalType(38, 2)
 
 
 def _table(required: str = "", **columns: T.DataType) -> T.StructType:
@@ -196,6 +196,12 @@ SERVING = {
     ),
     # Staged lines that name an id without any version yet.
     "pending_sales": STAGING["sales"],
+    # The fact by month of order and surrogate key of one dimension (``grain``), and its orders by month and store, or by month alone.
+    "sales_summary": _table("month grain key", month=STRING, grain=STRING, key=LONG, revenue=TOTAL, units=LONG),
+    "order_summary": _table(
+        "month grain orders shipped_orders late_orders",
+        month=STRING, grain=STRING, key=LONG, orders=LONG, shipped_orders=LONG, late_orders=LONG,
+    ),
 }
 
 
