@@ -93,22 +93,22 @@ def load_statuses(run: Run) -> None:
     run.publish("dim_order_status", lacking, F.lit("all"))
 
 
-def known_orders(run: Run, staged: DataFrame) -> DataFrame:
-    """What the fact holds of the staged orders: whole months of ``fact_orders``, those that the staged order dates name and few others.
+def known_orders(run: Run, staged: DataFrame, table: str = "fact_orders") -> DataFrame:
+    """What the fact (or another table of orders by month) holds of the staged orders: whole months, those that the staged dates name and few others.
 
     An order that is not in the month of its staged date is new, unless its order date was changed after it came into the fact. To tell,
     the ids of such orders alone meet the id column of the other months; months with a hit are read as well.
     """
     orders = staged.select("order_id", F.substring("order_date", 1, 6).alias("month")).distinct()
     named = {r[0] for r in orders.select("month").distinct().collect()}  # bounded: one row per calendar month
-    others = [m for m in run.segments("fact_orders") if m not in named]
-    known = run.read("fact_orders", sorted(named))
+    others = [m for m in run.segments(table) if m not in named]
+    known = run.read(table, sorted(named))
     if not others:
         return known
-    lacking = run.stage("lacking_orders", orders.join(known, "order_id", "left_anti").select("order_id").distinct())
-    moved = run.read("fact_orders", others).join(lacking, "order_id", "left_semi").select(F.substring("order_date", 1, 6)).distinct()
+    lacking = run.stage(f"lacking_in_{table}", orders.join(known, "order_id", "left_anti").select("order_id").distinct())
+    moved = run.read(table, others).join(lacking, "order_id", "left_semi").select(F.substring("order_date", 1, 6)).distinct()
     hits = [r[0] for r in moved.collect()]  # bounded as well
-    return known.unionByName(run.read("fact_orders", hits)) if hits else known
+    return known.unionByName(run.read(table, hits)) if hits else known
 
 
 def load_fact(run: Run, staged: DataFrame, wait: bool = False) -> None:

@@ -680,6 +680,11 @@ SQL: dict[str, str] = {
     "fact_update": "SELECT * FROM {updated}",
     "end_to_end_star": "SELECT * FROM {fact_2}",
     "end_to_end_late_arrivals": "SELECT * FROM {late_fact_2}",
+    # By daily runs or as a stream, the fact is the same; only its own keys depend on the runs.
+    "end_to_end_streamed_orders": "SELECT * EXCLUDE (sales_id) FROM {fact_2}",
+    "stream_order_register": """
+        SELECT order_id, max(updated_at) AS updated_at
+        FROM (SELECT order_id, updated_at FROM {x_orders_1} UNION ALL SELECT order_id, updated_at FROM {x_orders_2}) o GROUP BY order_id""",
     "pending_sales": "SELECT * FROM {late_wait_2}",
     **CDC,
     "dq_keys": _dq_keys([*PRIMARY_KEYS.items(), *((t, [c]) for t, cs in UNIQUE_COLUMNS.items() for c in cs)], _STATE),

@@ -32,8 +32,9 @@ from ..sources.files import (
     write_parquet,
 )
 from ..sources.warehouse import Warehouse
+from ..streaming.arrivals import stream_orders
 from . import checks
-from .daily import run_batch
+from .daily import load_dimension, run_batch
 from .given_tables import EARLY_END, FIRST_END, FIRST_START, LEFT_SQL, SECOND_END, RetailStore
 from .setup import load_operational_tables, prepare_dataset
 from .summaries import refresh_summaries
@@ -224,6 +225,22 @@ class Star:
     def after(self, table: str) -> DataFrame:
         return self.second_run.read(table, seq=2)
 
+    @cached_property
+    def streamed(self) -> Warehouse:
+        """A star whose dimensions are merged by window and whose orders come as a stream of files, each delivered twice."""
+        warehouse, landing = Warehouse(self.spark, scratch_path(self.spark, "streamed-star")), scratch_path(self.spark, "landing")
+        checkpoint = scratch_path(self.spark, "stream")
+        for tables, start, end in ((self.first, FIRST_START, FIRST_END), (self.second, FIRST_END, SECOND_END)):
+            run = warehouse.begin(start, end, "dimensions")
+            for name, dim in DIMENSIONS.items():
+                load_dimension(run, run.stage(f"stg_{name}", STAGE[name](extract.EXTRACTIONS[name](tables, start, end))), dim)
+            run.commit()
+            orders = self._written(f"arriving-{end}", extract.extract_orders(tables, start, end))
+            for _ in range(2):
+                orders.write.mode("append").parquet(landing)
+            stream_orders(warehouse, landing, checkpoint).awaitTermination()
+        return warehouse
+
     def summary(self, table: str) -> DataFrame:
         return self.summarised[0].read(table)
 
@@ -539,6 +556,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "fact_update": _fact_update,
     "end_to_end_star": lambda s: s.after("fact_sales"),
     "end_to_end_late_arrivals": _late_arrivals,
+    "end_to_end_streamed_orders": lambda s: s.streamed.read("fact_sales").drop("sales_id"),
+    "stream_order_register": lambda s: s.streamed.read("order_register").groupBy("order_id").agg(F.max("updated_at").alias("updated_at")),
     "pending_sales": lambda s: s.late_run.read("pending_sales"),
     "cdc_apply_changes": _apply_changes,
     **{f"cdc_replayed_{n}": _replayed_changes(n) for n in CHANGED},

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.scd2 import late_rows
-from ..operators.staging import STAGE
-from ..plans.daily import load_dimension
-from ..schemas import DIMENSIONS, EXTRACT
+from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
+from ..plans.daily import known_orders, load_dates, load_dimension, load_fact, load_statuses
+from ..schemas import DIMENSIONS, EXTRACT, SERVING
 from ..sources.warehouse import Warehouse
 
 
@@ -50,3 +50,69 @@ def stream_dimension(warehouse: Warehouse, landing: str, name: str, checkpoint:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def latest_changes(extract: DataFrame) -> DataFrame:
+    """The lines of each order as of its last change; rows without an order or a date of change are left out."""
+    dated = extract.where("order_id IS NOT NULL AND updated_at IS NOT NULL")
+    last = dated.groupBy("order_id").agg(F.max("updated_at").alias("updated_at"))
+    return dated.join(last, ["order_id", "updated_at"]).select(extract.columns)
+
+
+def order_loader(warehouse: Warehouse, wait: bool = False) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that loads a micro-batch of order extracts into the fact, in one run however many days it spans.
+
+    Of the changes of an order in a micro-batch the last one counts, as in a daily run over the same days. A change that is not later than
+    what the stream has loaded of that order before (delivered again, or late) has no effect on the fact and is listed in the run's
+    ``late_orders``; ``order_register`` tells. A micro-batch that is delivered again after a restart finds itself in the run log.
+    The lines of one change of an order must come in one micro-batch, e.g. in one file: an order in the fact gets no further lines.
+    ``wait`` is that of ``load_fact``, for orders that come before what they name.
+    """
+
+    def load(extract: DataFrame, batch_id: int) -> None:
+        job, run_id = "stream-orders", str(batch_id)
+        if warehouse.has_run(job, run_id):
+            return
+        first, last = extract.agg(F.min("updated_at"), F.max("updated_at")).first()
+        if last is None:
+            return
+        run = warehouse.begin(first - dt.timedelta(days=1), last, job, run_id)
+        changes = run.stage("changes", latest_changes(extract))
+        orders = changes.select("order_id", F.coalesce(F.date_format("order_date", "yyyyMMdd"), F.lit("")).alias("order_date"), "updated_at").distinct()
+        known = known_orders(run, orders, "order_register").groupBy("order_id").agg(F.max("updated_at").alias("known_until"))
+        judged = changes.join(known, "order_id", "left")
+        is_late = F.coalesce(F.col("updated_at") <= F.col("known_until"), F.lit(False))
+        late = run.stage("late_orders", judged.where(is_late).select(changes.columns))
+        news = run.stage("news", judged.where(~is_late).select(changes.columns))
+
+        staged = run.stage("stg_sales", stage_sales(news), sort=STAGING_ORDER["sales"])
+        load_dates(run, run.stage("stg_date", stage_date(news)))
+        load_statuses(run)
+        load_fact(run, staged, wait)
+        entered = orders.join(late.select("order_id").distinct(), "order_id", "left_anti")
+        run.publish("order_register", entered.select(*SERVING["order_register"].names), F.substring("order_date", 1, 6))
+        run.commit()
+        run.clear_all(keep=["rejected_sales", "late_orders"])
+
+    return load
+
+
+def stream_orders(
+    warehouse: Warehouse, landing: str, checkpoint: str, again: str = "1 day", wait: bool = False, files: int | None = None
+) -> StreamingQuery:
+    """Load all order extracts (parquet) that have arrived in ``landing``, then stop; ``files`` is the most files of a micro-batch.
+
+    Rows that are delivered again within the time ``again`` are dropped before they reach the fact; those that come later are told by the
+    loader. That time runs by arrival, not by the day of the change: no row is dropped for being old, and what must be remembered
+    is bounded by what arrives in that time.
+    """
+    reader = warehouse.spark.readStream.schema(EXTRACT["orders"])
+    arrivals = (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(landing)
+    arrived = arrivals.withColumn("arrived", F.current_timestamp()).withWatermark("arrived", again)
+    once = arrived.dropDuplicatesWithinWatermark(EXTRACT["orders"].names).drop("arrived")
+    return (
+        once.writeStream.foreachBatch(order_loader(warehouse, wait))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
