@@ -8,7 +8,7 @@ from starloom.operators.bootstrap import order_status_lookup
 from starloom.plans.daily import extract_all, known_orders, newest_segment, run_batch, stage_all
 from starloom.schemas import DIMENSION_PARTITIONS, DIMENSIONS, EXTRACT, OPERATIONAL, SERVING, STAGING
 from starloom.sources.files import read_parquet
-from starloom.sources.warehouse import Warehouse
+from starloom.sources.warehouse import Run, Warehouse
 from starloom.streaming.arrivals import dimension_loader, stream_dimension
 
 AUDIT = dict(created_at="2016-01-01", updated_at="2016-01-01", is_active="Y")
@@ -83,6 +83,33 @@ def test_only_months_with_a_moved_order_are_rewritten(spark, tmp_path):
     assert rows(warehouse.read("fact_sales"), "order_id", "shipped_date") == [("1", "None"), ("2", "20160207"), ("3", "None")]
 
 
+def counted_stages(monkeypatch):
+    """The rows of each intermediate table, as they are written."""
+    counts, stage = {}, Run.stage
+
+    def counting(run, name, *rest, **options):
+        table = stage(run, name, *rest, **options)
+        counts[name] = table.count()
+        return table
+
+    monkeypatch.setattr(Run, "stage", counting)
+    return counts
+
+
+def test_only_orders_that_the_fact_holds_are_stored_to_meet_the_lines(spark, tmp_path, monkeypatch):
+    warehouse, counts = Warehouse(spark, str(tmp_path / "wh")), counted_stages(monkeypatch)
+    items = [ITEM, *[{**ITEM, "order_id": str(k)} for k in range(2, 30)]]
+    run_batch(warehouse, tables(spark, order_items=items), dt.date(2016, 1, 6))
+    assert counts["held_orders"] == 0
+    shipped = {**ORDER, "order_status_id": 3, "shipped_date": "2016-01-09", "updated_at": "2016-01-09"}
+    later = [{**ORDER, "order_id": str(k), "order_date": "2016-01-08", "updated_at": "2016-01-09"} for k in range(2, 30)]
+    run_batch(warehouse, tables(spark, orders=[shipped, *later], order_items=items), dt.date(2016, 1, 10))
+    assert counts["held_orders"] == 1 and counts["stg_sales"] == 29
+    fact = warehouse.read("fact_sales")
+    assert fact.count() == 29
+    assert rows(fact.where("shipped_date IS NOT NULL"), "order_id", "shipped_date", "order_status_id") == [("1", "20160109", "3")]
+
+
 def test_a_merge_reads_and_writes_only_the_partitions_of_its_ids(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     many = [{**PRODUCT, "product_id": f"p{k}"} for k in range(200)]
