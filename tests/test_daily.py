@@ -5,6 +5,7 @@ from frames import frame, rows
 from pyspark.sql import functions as F
 
 from starloom.operators.bootstrap import order_status_lookup
+from starloom.operators.fact import offered_lines
 from starloom.plans.daily import extract_all, known_orders, newest_segment, run_batch, stage_all
 from starloom.schemas import DIMENSION_PARTITIONS, DIMENSIONS, EXTRACT, OPERATIONAL, SERVING, STAGING
 from starloom.sources.files import read_parquet
@@ -192,6 +193,20 @@ def test_sales_wait_for_the_ids_they_name(spark, tmp_path):
     assert warehouse.read("pending_sales").count() == 0 and warehouse.read("fact_orders").count() == 1
 
 
+def test_lines_with_all_versions_are_not_settled_again(spark, tmp_path, monkeypatch):
+    warehouse, counts = Warehouse(spark, str(tmp_path / "wh")), counted_stages(monkeypatch)
+    items = [{**ITEM, "order_id": str(k)} for k in range(1, 9)] + [{**ITEM, "product_id": "late"}]
+    orders = [{**ORDER, "order_id": str(k)} for k in range(1, 9)]
+    run_batch(warehouse, tables(spark, orders=orders, order_items=items), dt.date(2016, 1, 6), wait=True)
+    assert counts["keyed_sales"] == 9 and counts["settled_sales"] == 1
+    assert warehouse.read("fact_sales").count() == 8
+    assert rows(warehouse.read("pending_sales"), "order_id", "product_id") == [("1", "late")]
+    # The batch meets few waiting lines without a shuffle of its own rows.
+    batch = spark.range(1000).select(*[F.col("id").cast(f.dataType).alias(f.name) if f.name in ("order_id", "product_id") else F.lit(None).cast(f.dataType).alias(f.name) for f in STAGING["sales"].fields])
+    plan = offered_lines(warehouse.read("pending_sales"), batch)._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("LeftSemi") > plan.index("LeftOuter")
+
+
 def test_sales_in_a_gap_between_versions_do_not_wait(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     gone = {**PRODUCT, "product_id": "gone", "updated_at": "2016-01-03", "is_active": "N"}
