@@ -6,6 +6,7 @@ from frames import frame, rows
 from starloom.schemas import EXTRACT, OPERATIONAL, RAW
 from starloom.session import shared_folder
 from starloom.sources.database import create_tables, drop_tables, read_database_table
+from starloom.plans.queries import Stored
 from starloom.plans.transform import read_staged_days, staging_path, transform_day, transform_days
 from starloom.sources.files import (
     WRONG_NUMBER,
@@ -164,3 +165,16 @@ def test_shared_folder_is_read_from_the_session(spark):
     with pytest.MonkeyPatch.context() as patch:
         patch.setattr(type(named.conf), "get", lambda self, name, default=None: "/shared/x/" if name == "spark.checkpoint.dir" else default)
         assert shared_folder(named) == "/shared/x"
+
+
+def test_stored_tables_are_written_when_asked_for_and_all_for_those_who_ask_for_all():
+    written = []
+    stored = Stored({"a": 1, "b": 2, "c": 3}, lambda name, plan: written.append(name) or plan)
+    assert "a" in stored and "d" not in stored and len(stored) == 3 and written == []
+    assert stored["b"] == 2 and written == ["b"]
+    assert dict(stored) == {"a": 1, "b": 2, "c": 3} == {**stored} and set(written) == {"a", "b", "c"}
+
+
+def test_parquet_is_written_with_zstd(spark, tmp_path):
+    write_parquet(spark.range(10), str(tmp_path / "t"))
+    assert all(f.endswith(".zstd.parquet") for f in spark.read.parquet(str(tmp_path / "t")).inputFiles())
