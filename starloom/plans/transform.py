@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.extract import EXTRACTIONS, Day
-from ..operators.staging import STAGE, STAGING_ORDER, stage_date, stage_sales
+from ..operators.staging import STAGE, STAGING_ORDER, repeated_lines, stage_date, stage_sales
 from ..schemas import DATE, EXTRACT, STAGING, STAGING_RECORDS_PER_FILE
 from ..session import build_session, run_together, scratch_path
 from ..sources.files import extract_path, read_csv, read_csv_checked, read_parquet, split_misfits, write_csv, write_parquet
@@ -54,7 +54,7 @@ def transform_day(spark: SparkSession, raw_root: str, run_date: dt.date | str, p
         extracts = {n: read_csv(spark, paths[n], s) for n, s in EXTRACT.items()}
         extracts["orders"] = _landed(spark, "orders", extracts["orders"])
     staged = {name: stage(extracts[name]) for name, stage in STAGE.items()}
-    staged |= {"date": stage_date(extracts["orders"]), "sales": stage_sales(extracts["orders"])}
+    staged |= {"date": stage_date(extracts["orders"]), "sales": _one_of_repeated(spark, extracts["orders"])}
     run_together(
         [
             lambda n=n, df=df: write_parquet(
@@ -81,7 +81,7 @@ def transform_days(spark: SparkSession, raw_root: str, days: Sequence[dt.date],
     extracts["orders"] = _landed(spark, "orders", extracts["orders"])
     by = ["run_date"]
     staged = {name: stage(extracts[name], by=by) for name, stage in STAGE.items()}
-    staged |= {"date": stage_date(extracts["orders"], by=by), "sales": stage_sales(extracts["orders"], by=by)}
+    staged |= {"date": stage_date(extracts["orders"], by=by), "sales": _one_of_repeated(spark, extracts["orders"], by)}
     run_together([lambda n=n, df=df: _replace_days(df, f"{processed_root.rstrip('/')}/{n}", days, STAGING_ORDER[n]) for n, df in staged.items()])
 
 
@@ -91,6 +91,7 @@ def _replace_days(rows: DataFrame, path: str, days: Sequence[dt.date], order: Se
     watched = rows.observe(seen, F.collect_set("run_date").alias("days"))  # bounded: calendar days
     out = watched.hint("rebalance", "run_date").sortWithinPartitions("run_date", *order)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", STAGING_RECORDS_PER_FILE)
+    writer = writer.option("compression", "zstd")
     writer.partitionBy("run_date").parquet(path)
     for day in sorted(set(days) - set(seen.get["days"])):
         write_parquet(rows.drop("run_date").limit(0), f"{path}/run_date={day}")
@@ -109,6 +110,11 @@ def _landed(spark: SparkSession, name: str, rows: DataFrame) -> DataFrame:
     return read_parquet(spark, path, rows.schema)
 
 
+def _one_of_repeated(spark: SparkSession, orders: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """The staged sales of stored extracts, in which only repeated lines are compared."""
+    return stage_sales(orders, by=by, several=_landed(spark, "repeated-lines", repeated_lines(orders, by)))
+
+
 def _without_misfits(spark: SparkSession, paths: Mapping[str, str], rejected: str) -> dict[str, DataFrame]:
     """The extracts without the lines that do not fit, which go to the table at ``rejected``. All text is parsed once."""
 

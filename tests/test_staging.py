@@ -4,7 +4,7 @@ import pytest
 from frames import day, frame, rows
 from pyspark.sql import functions as F
 
-from starloom.operators.staging import stage_customers, stage_date, stage_products, stage_sales, stage_staffs, stage_stores
+from starloom.operators.staging import repeated_lines, stage_customers, stage_date, stage_products, stage_sales, stage_staffs, stage_stores
 from starloom.schemas import EXTRACT, STAGING
 
 CUSTOMER = dict(
@@ -87,6 +87,23 @@ def test_repeated_product_first_or_sum(spark):
         stage_sales(orders, repeated="last")
 
 
+def test_only_repeated_lines_are_compared(spark, tmp_path):
+    lines = [{**ORDER, "order_id": str(k)} for k in range(50)]
+    lines += [{**ORDER, "order_id": "7", "quantity": 1}, {**ORDER, "order_id": "7", "quantity": 2}, {**ORDER, "order_id": "8", "discount": None}]
+    lines += [{**ORDER, "order_id": None}, {**ORDER, "order_id": None}, ORDER | {"order_id": "9"}]
+    orders = frame(spark, EXTRACT["orders"], lines).repartition(3)
+    repeated_lines(orders).write.parquet(str(tmp_path / "several"))
+    several = spark.read.parquet(str(tmp_path / "several"))
+    # A line that is left out for a missing value repeats nothing.
+    assert rows(several, "order_id") == [("7",), ("9",)]
+    staged = stage_sales(orders, several=several)
+    assert staged.schema.names == STAGING["sales"].names and rows(staged) == rows(stage_sales(orders))
+    assert staged.count() == 50 and rows(staged.filter("order_id = '7'"), "quantity") == [("1",)]
+    by_day = orders.withColumn("run_date", F.when(F.col("quantity") == 1, F.lit("2016-01-02")).otherwise(F.lit("2016-01-01")).cast("date"))
+    days = repeated_lines(by_day, ["run_date"])
+    assert rows(stage_sales(by_day, by=["run_date"], several=days)) == rows(stage_sales(by_day, by=["run_date"]))
+
+
 def test_dates(spark):
     orders = frame(
         spark,
