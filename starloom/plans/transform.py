@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.extract import EXTRACTIONS, Day
-from ..operators.staging import STAGE, STAGING_ORDER, repeated_lines, stage_date, stage_sales
+from ..operators.staging import STAGE, STAGING_ORDER, complete_lines, repeated_lines, stage_date, stage_sales
 from ..schemas import DATE, EXTRACT, STAGING, STAGING_RECORDS_PER_FILE
 from ..session import build_session, run_together, scratch_path
 from ..sources.files import extract_path, read_csv, read_csv_checked, read_parquet, split_misfits, write_csv, write_parquet
@@ -82,18 +82,21 @@ def transform_days(spark: SparkSession, raw_root: str, days: Sequence[dt.date],
     by = ["run_date"]
     staged = {name: stage(extracts[name], by=by) for name, stage in STAGE.items()}
     staged |= {"date": stage_date(extracts["orders"], by=by), "sales": _one_of_repeated(spark, extracts["orders"], by)}
-    run_together([lambda n=n, df=df: _replace_days(df, f"{processed_root.rstrip('/')}/{n}", days, STAGING_ORDER[n]) for n, df in staged.items()])
+    # A day has sales if it has a complete line: told by the stored lines, as a plan of joins may be found empty before it is observed.
+    lines = {"sales": complete_lines(extracts["orders"]).select("run_date")}
+    run_together([lambda n=n, df=df: _replace_days(df, f"{processed_root.rstrip('/')}/{n}", days, STAGING_ORDER[n], lines.get(n)) for n, df in staged.items()])
 
 
-def _replace_days(rows: DataFrame, path: str, days: Sequence[dt.date], order: Sequence[str]) -> None:
-    """Replace the partitions of the given days, also of those that have no rows."""
+def _replace_days(rows: DataFrame, path: str, days: Sequence[dt.date], order: Sequence[str], dated: DataFrame | None = None) -> None:
+    """Replace the partitions of the given days, also of those that have no rows. ``dated`` tells the days that have some; else the rows are observed."""
     seen = Observation()
-    watched = rows.observe(seen, F.collect_set("run_date").alias("days"))  # bounded: calendar days
+    watched = rows if dated is not None else rows.observe(seen, F.collect_set("run_date").alias("days"))  # bounded: calendar days
     out = watched.hint("rebalance", "run_date").sortWithinPartitions("run_date", *order)
     writer = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", STAGING_RECORDS_PER_FILE)
     writer = writer.option("compression", "zstd")
     writer.partitionBy("run_date").parquet(path)
-    for day in sorted(set(days) - set(seen.get["days"])):
+    found = seen.get["days"] if dated is None else [r[0] for r in dated.distinct().collect()]  # bounded as well
+    for day in sorted(set(days) - set(found)):
         write_parquet(rows.drop("run_date").limit(0), f"{path}/run_date={day}")
 
 
