@@ -313,3 +313,24 @@ def test_stream_of_extracts_equals_the_days_in_order(spark, tmp_path):
     # The same micro-batch delivered again is left out.
     dimension_loader(warehouse, "products")(frame(spark, EXTRACT["products"], days), 0)
     assert rows(warehouse.read("dim_products"), *columns) == expected
+
+
+def test_rows_that_lie_evenly_are_not_moved_to_be_written_by_segment(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    run = warehouse.begin(dt.date(2015, 12, 31), dt.date(2016, 1, 1))
+    numbers = spark.range(0, 8, 1, 4)
+    dates = numbers.select(*[(F.col("id") if f.name == "date_key" else F.lit(None)).cast(f.dataType).alias(f.name) for f in SERVING["dim_date"].fields])
+    run.publish("dim_date", dates, (F.col("date_key").cast("int") % 2).cast("string"), moved=False)
+    assert run.segments("dim_date") == ["0", "1"] and rows(run.read("dim_date"), "date_key") == [(str(k),) for k in range(8)]
+    assert len(list((tmp_path / "wh").glob("serving/dim_date/*/segment=*/*.parquet"))) == 8  # of each of four tasks, one per segment
+
+    published, publish = {}, Run.publish
+
+    def recording(run, table, *rest, **options):
+        published[table] = options.get("moved", True)
+        publish(run, table, *rest, **options)
+
+    monkeypatch.setattr(Run, "publish", recording)
+    run_batch(warehouse, tables(spark), dt.date(2016, 1, 6))
+    assert published["fact_sales"] is False and published["fact_orders"] is True
+    assert rows(warehouse.read("fact_sales"), "sales_id", "order_id") == [("1", "1")]
