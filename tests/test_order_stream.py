@@ -1,14 +1,15 @@
 import datetime as dt
 
 from frames import frame, rows
-from test_daily import ITEM, ORDER, tables
+from pyspark.sql import functions as F
+from test_daily import ITEM, ORDER, counted_stages, tables
 
 from starloom.operators.extract import EXTRACTIONS
 from starloom.operators.staging import STAGE
 from starloom.plans.daily import load_dimension, run_batch
 from starloom.schemas import DIMENSIONS, EXTRACT, SERVING
 from starloom.sources.warehouse import Warehouse
-from starloom.streaming.arrivals import latest_changes, order_loader, stream_orders
+from starloom.streaming.arrivals import latest_changes, order_loader, several_changes, stream_orders
 
 FACT = [c for c in SERVING["fact_sales"].names if c != "sales_id"]
 LINE = dict(order_id="1", customer_id="c", order_status="Pending", order_date="2016-01-05", required_date="2016-01-08", store_id="s", staff_id="f",
@@ -117,3 +118,28 @@ def test_orders_wait_for_what_they_name(spark, tmp_path):
     load(lines(spark, {"order_id": "2", "updated_at": "2016-01-10"}), 1)
     assert rows(warehouse.read("fact_sales"), "order_id") == [("1",), ("2",)]
     assert warehouse.read("pending_sales").count() == 0
+
+
+def test_a_micro_batch_is_computed_once(spark, tmp_path, monkeypatch):
+    warehouse = with_dimensions(spark, tmp_path / "wh", tables(spark))
+    counts, seen = counted_stages(monkeypatch), spark.sparkContext.accumulator(0)
+    given = lines(spark, *[dict(order_id=str(k)) for k in range(20)], dict(shipped_date="2016-01-07", updated_at="2016-01-07"))
+
+    def looked_at(row):
+        seen.add(1)
+        return row
+
+    order_loader(warehouse)(spark.createDataFrame(given.rdd.map(looked_at), given.schema), 0)
+    assert seen.value == 21
+    assert counts["several_changes"] == 1 and counts["changes"] == 20
+    assert rows(warehouse.read("fact_sales").where("shipped_date IS NOT NULL"), "order_id", "shipped_date") == [("1", "20160107")]
+
+
+def test_lines_of_orders_with_one_change_are_not_moved(spark, tmp_path):
+    several_changes(lines(spark, {}, dict(updated_at="2016-01-07"), dict(order_id="2"))).write.parquet(str(tmp_path / "several"))
+    several = spark.read.parquet(str(tmp_path / "several"))
+    assert rows(several) == [("1", "2016-01-07")]
+    many = spark.range(1000).select(*[(F.lit("2016-01-05") if f.name.endswith(("date", "_at")) else F.col("id")).cast(f.dataType).alias(f.name) for f in EXTRACT["orders"].fields])
+    found = latest_changes(many, several)
+    assert found.count() == 999  # order 1 has a later change elsewhere
+    assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
