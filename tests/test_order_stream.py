@@ -143,3 +143,35 @@ def test_lines_of_orders_with_one_change_are_not_moved(spark, tmp_path):
     found = latest_changes(many, several)
     assert found.count() == 999  # order 1 has a later change elsewhere
     assert "hashpartitioning" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_what_arrives_again_within_the_time_is_dropped_without_state(spark, tmp_path):
+    warehouse = with_dimensions(spark, tmp_path / "wh", tables(spark))
+    landing, checkpoint = str(tmp_path / "landing"), tmp_path / "checkpoint"
+
+    def arrive(*changed, again="1 day"):
+        lines(spark, *changed).coalesce(1).write.mode("append").parquet(landing)
+        stream_orders(warehouse, landing, str(checkpoint), again).awaitTermination()
+        return warehouse.log().where("job = 'stream-orders'").agg(F.max("run_id")).first()[0]
+
+    def late(number):
+        found = [str(p) for p in (tmp_path / "wh" / "staging").glob(f"run=stream-orders-{number}-*/late_orders")]
+        return rows(spark.read.parquet(*found), "order_id", "quantity", "updated_at")
+
+    shipped = dict(shipped_date="2016-01-09", updated_at="2016-01-09")
+    assert arrive({}, {}, dict(order_id="2"), dict(order_id="2", staff_id=None)) == "0"
+    assert rows(warehouse.read("recent_arrivals"), "order_id", "staff_id") == [("1", "f"), ("2", "None"), ("2", "f")]
+    assert arrive({}, dict(order_id="2", staff_id=None)) == "0"  # nothing else came: no run
+    # Beside news, a row that came before is dropped, and one with another value is late.
+    assert arrive({}, dict(quantity=3), dict(order_id="2", staff_id=None), dict(order_id="3"), dict(order_id="2", **shipped)) == "2"
+    assert late(2) == [("1", "3", "2016-01-05")]
+    assert rows(warehouse.read("fact_sales"), "order_id", "shipped_date") == [("1", "None"), ("2", "20160109"), ("3", "None")]
+    # After the time the register alone tells, and what came before it is forgotten.
+    spark.conf.set("spark.sql.session.timeZone", "+10:00")  # ten hours later by the clock of the minutes
+    try:
+        assert arrive({}, dict(order_id="4"), again="2 hours") == "3"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert late(3) == [("1", "2", "2016-01-05")]
+    assert rows(warehouse.read("recent_arrivals"), "order_id") == [("1",), ("4",)]
+    assert not (checkpoint / "state").exists()
